@@ -332,33 +332,36 @@ def partition_directories(t):
 
 @query
 def table_load(t):
-    """A whole load: delimited source, bound, partition date, partitioned write, read back."""
+    """A whole load: delimited source, bound, partition month, partitioned write, read back."""
     source, target = scratch_dir(t.spark, "load-in"), scratch_dir(t.spark, "load-out")
-    _keyed_orders(t).select("o_orderkey", "date_ts").write.option("header", "true").csv(source)
+    _keyed_orders(t).select("o_orderkey", "date_ts", "year", "month").write.option("header", "true").csv(source)
     spec = {
         "source": {"database": "raw", "table": "orders", "format": "textfile_csv", "path": source},
         "target": {"table": "orders"},
         "transforms": {
             "partition_key_conversion": {
-                "source_col": "date_ts", "target_col": "partition_date",
-                "parse_fn": "PARSE_DATE", "generated_column": False,
+                "source_cols": ["year", "month"], "target_col": "partition_month",
+                "parse_fn": "DATE", "generated_column": True,
             },
             "type_widening": [{"col": "o_orderkey", "from": "INT", "to": "INT64"}],
         },
         "validation": {"watermark_col": "date_ts", "null_check_cols": ["o_orderkey"]},
     }
     ingest.load_table(t.spark, spec, LOAD_BOUND, target)
-    loaded = t.spark.read.schema("o_orderkey bigint, date_ts string, partition_date date").parquet(target)
+    loaded = t.spark.read.schema("o_orderkey bigint, date_ts string, partition_month date").parquet(target)
     return plain(loaded)
 
 
 @query
 def clustered_write(t):
     path = scratch_dir(t.spark, "write")
-    writers.write_table(t["fact_sales"], path, "sale_date", ["customer_sk"])
+    monthly = t["fact_sales"].withColumn("sale_month", F.trunc("sale_date", "month"))
+    writers.write_table(monthly, path, "sale_month", ["customer_sk"])
     sales = t.spark.read.parquet(path)
     return plain(
-        sales.groupBy("sale_date").agg(F.count(F.lit(1)).alias("n"), F.sum("line_total").alias("revenue"))
+        sales.groupBy("sale_month", "sale_date").agg(
+            F.count(F.lit(1)).alias("n"), F.sum("line_total").alias("revenue")
+        )
     )
 
 
