@@ -45,12 +45,15 @@ def trimmed(c: str | Column) -> Column:
 def country_code(c: str | Column) -> Column:
     """Two-letter country code of a spelling; other two-letter values pass, the rest is ``XX``."""
     name = F.lower(trimmed(c))
-    code = F.when(name.isNull(), F.lit(None).cast("string"))
-    for iso, spellings in COUNTRY_SPELLINGS.items():
-        code = code.when(name.isin(spellings), iso)
+    spellings = F.create_map(
+        *[F.lit(word) for iso, words in COUNTRY_SPELLINGS.items() for pair in words for word in (pair, iso)]
+    )
     # two UTF-16 units, so that one character outside the basic plane counts as two
     two_units = F.octet_length(F.encode(name, "UTF-16BE")) == 4
-    return code.when(two_units, F.upper(name)).otherwise(UNKNOWN_COUNTRY)
+    code = F.coalesce(
+        F.try_element_at(spellings, name), F.when(two_units, F.upper(name)), F.lit(UNKNOWN_COUNTRY)
+    )
+    return F.when(_column(c).isNotNull(), code)
 
 
 def email_hash(c: str | Column) -> Column:

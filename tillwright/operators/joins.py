@@ -26,12 +26,13 @@ def followed_within(
     a left row has one slot only, so every pair appears once and outer rows stay single.
     A hot key is thus spread over its slots instead of meeting all its rows in one task.
     """
-    width = seconds * _MICROS_PER_SECOND
-    slot_of = lambda ts: F.floor(F.unix_micros(ts) / F.lit(width)).cast("bigint")
+    width = F.lit(seconds * _MICROS_PER_SECOND)
+    # start of the slot in whole microseconds; all arithmetic stays in integers
+    slot_of = lambda ts: F.unix_micros(ts) - F.pmod(F.unix_micros(ts), width)
     lhs = left.withColumn("_lslot", slot_of(F.col(left_ts)))
     slot = slot_of(F.col(right_ts))
     rhs = right.filter(F.col(right_ts).isNotNull()).withColumn(
-        "_rslot", F.explode(F.array(slot - 1, slot))
+        "_rslot", F.explode(F.array(slot - width, slot))
     )
     condition = [lhs[a] == rhs[b] for a, b in on]
     condition += [

@@ -115,6 +115,44 @@ def next_row(
     return _neighbour(df, keys, order, fields, out, slot, forward=True)
 
 
+def group_ordinal(
+    df: DataFrame, keys: Sequence[str], ts: str, tie: str, gap_micros: int, out: str, slot: Column
+) -> DataFrame:
+    """Number the runs of rows that follow each other within ``gap_micros``, per key from 1.
+
+    A narrow pass over key, time and tie-breaker finds the number of runs begun in each
+    slot; the carry rows then hold both the last time and the run number so far, and the
+    full rows are shuffled once.
+    """
+    order = [ts, tie]
+    apart = lambda later, earlier: F.unix_micros(later) - F.unix_micros(earlier) > gap_micros
+    narrow = previous_row(df.select(*keys, *order), keys, order, [ts], "_before", slot)
+    begins = F.col("_before").isNull() | apart(ts, f"_before.{ts}")
+    per_slot = narrow.groupBy(*keys, slot.alias("_slot")).agg(
+        F.count_if(begins).alias("_begun"), F.max(ts).alias("_last")
+    )
+    across = Window.partitionBy(*keys).orderBy("_slot")
+    earlier = across.rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_slot.select(
+        *keys,
+        "_slot",
+        F.lit(0).alias("_carry"),
+        F.lag("_last").over(across).alias("_time"),
+        F.coalesce(F.sum("_begun").over(earlier), F.lit(0)).alias("_step"),
+    )
+    rows = df.withColumns({"_slot": slot, "_carry": F.lit(1), "_time": F.col(ts)})
+    inside = Window.partitionBy(*keys, "_slot").orderBy("_carry", *order)
+    before = F.lag("_time").over(inside)
+    begun = F.when(before.isNull() | apart("_time", before), 1).otherwise(0).cast("bigint")
+    return (
+        _with_carry(rows, carry)
+        .withColumn("_step", F.when(F.col("_carry") == 0, F.col("_step")).otherwise(begun))
+        .withColumn(out, F.sum("_step").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+        .filter(F.col("_carry") == 1)
+        .drop("_time", *_HELPERS)
+    )
+
+
 def rank_desc(
     df: DataFrame,
     value: str,
@@ -125,7 +163,8 @@ def rank_desc(
     """RANK inside ``within`` and/or DENSE_RANK over everything, both from large to small.
 
     Equal values are first folded into one counted row, so neither a hot group nor a
-    hot value reaches a single task; ranks are running totals over those rows.
+    hot value reaches a single task; ranks are running totals over those rows. ``df`` is
+    read twice, so it should be stored or cheap.
     """
     slot = falling_slot(value)
     order = [F.col(value).desc_nulls_last()]
@@ -137,8 +176,10 @@ def rank_desc(
         )
         ranks = ranks.drop("_seen")
     if dense_rank_as:
-        distinct = counted.select(value).distinct()
-        dense = running_total(distinct, [], order, F.lit(1).cast("bigint"), dense_rank_as, slot)
+        # counting keeps the column needs of both rankings equal, so they share one shuffle
+        distinct = counted.groupBy(value).agg(F.sum("_n").alias("_rows"))
+        one = F.least("_rows", F.lit(1).cast("bigint"))
+        dense = running_total(distinct, [], order, one, dense_rank_as, slot).drop("_rows")
         dense = dense.withColumnRenamed(value, "_value")
         ranks = ranks.join(dense, F.col(value).eqNullSafe(F.col("_value"))).drop("_value")
     ranks = ranks.drop("_n").select(

@@ -17,6 +17,7 @@ from tillwright.functions.dates import month_start
 from tillwright.functions.enrich import trimmed
 from tillwright.operators.grouping import with_blank_row
 from tillwright.operators.ordered import (
+    group_ordinal,
     latest_per_key,
     next_row,
     previous_row,
@@ -631,14 +632,9 @@ def sessionised_clicks(
     gap_minutes: int = SESSION_GAP_MINUTES,
 ) -> DataFrame:
     """Clicks with a session id: a session ends after a pause of more than ``gap_minutes``."""
-    order = [ts, event_id]
-    slot = time_slot(ts)
-    seen = previous_row(clicks, [user], order, [ts], "_before", slot)
-    pause = F.unix_micros(ts) - F.unix_micros(f"_before.{ts}")
-    starts = F.col(f"_before.{ts}").isNull() | (pause > gap_minutes * 60 * 1_000_000)
-    marked = seen.withColumn("_start", starts.cast("bigint")).drop("_before")
-    numbered = running_total(marked, [user], order, "_start", "_session", slot)
-    return numbered.withColumn("session_id", F.concat_ws("-", user, "_session")).drop("_start", "_session")
+    gap = gap_minutes * 60 * 1_000_000
+    numbered = group_ordinal(clicks, [user], ts, event_id, gap, "_session", time_slot(ts))
+    return numbered.withColumn("session_id", F.concat_ws("-", user, "_session")).drop("_session")
 
 
 def session_state_snapshot(sessions: DataFrame) -> DataFrame:

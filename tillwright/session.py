@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every job relies on. None of them fixes a partition count:
 # adaptive execution picks that from the data it sees.
@@ -43,6 +43,18 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/tillwright/{name}-{uuid.uuid4().hex}"
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared scratch folder and continue from the files.
+
+    For reduced data that several branches of a plan need: they then read these files
+    instead of computing their common input again, and a lost executor costs no more
+    than the reading task. This runs a job when it is called.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def setting(spark: SparkSession, key: str, value: str):
     """Set one runtime setting for the duration of a block."""
