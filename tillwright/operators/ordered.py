@@ -115,6 +115,27 @@ def next_row(
     return _neighbour(df, keys, order, fields, out, slot, forward=True)
 
 
+def ordered_lists(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    fields: Sequence[str],
+    out: str,
+    slot: Column,
+    per_row: int,
+) -> DataFrame:
+    """All ``fields`` of a key in order, as arrays of at most ``per_row`` entries.
+
+    A key with more entries gets further rows, numbered from 0 in ``part``: no entry is
+    lost and no single array, task or row grows with a hot key.
+    """
+    numbered = running_total(df, keys, order, F.lit(1).cast("bigint"), "_n", slot)
+    part = F.floor((F.col("_n") - 1) / per_row).cast("bigint").alias("part")
+    entries = F.collect_list(F.struct(F.col("_n").alias("n"), F.struct(*fields).alias("entry")))
+    parts = numbered.groupBy(*keys, part).agg(F.array_sort(entries).alias("_entries"))
+    return parts.select(*keys, "part", F.col("_entries.entry").alias(out))
+
+
 def group_ordinal(
     df: DataFrame, keys: Sequence[str], ts: str, tie: str, gap_micros: int, out: str, slot: Column
 ) -> DataFrame:

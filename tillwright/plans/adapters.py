@@ -55,22 +55,32 @@ def hours(number: Column) -> Column:
     return F.make_dt_interval(hours=number.cast("int"))
 
 
+def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The same table as a stream of files."""
+    prepare(spark)
+    reader = spark.readStream.schema(SCHEMAS[name]).option("pathGlobFilter", f"{name}.parquet")
+    return reader.parquet(sf_dir)
+
+
 class TestTables:
     """Lazy access to the adapted tables: ``tables["fact_sales"]``."""
 
     __test__ = False
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = prepare(spark), sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, streaming: bool = False):
+        self.spark, self.sf_dir, self.streaming = prepare(spark), sf_dir, streaming
 
     def raw(self, name: str) -> DataFrame:
-        return read(self.spark, self.sf_dir, name)
+        return (stream if self.streaming else read)(self.spark, self.sf_dir, name)
+
+    def as_streams(self) -> TestTables:
+        return TestTables(self.spark, self.sf_dir, streaming=True)
 
     def __getitem__(self, name: str) -> DataFrame:
         return getattr(self, name)()
 
     def keys(self):
-        return [n for n in vars(type(self)) if not n.startswith("_") and n not in ("raw", "keys")]
+        return [n for n in vars(type(self)) if not n.startswith("_") and n not in ("raw", "keys", "as_streams")]
 
     # -- dimensions
 
@@ -304,21 +314,19 @@ class TestTables:
         )
 
     def invoice_documents(self) -> DataFrame:
-        """Nested supplier invoices: one per order, its lines as an array."""
-        li = self.raw("lineitem")
-        line = F.struct(
-            F.concat(F.lit("P-"), F.col("l_partkey")).alias("sku"),
-            F.col("l_quantity").cast("bigint").alias("qty"),
-            (F.col("l_partkey") % 90 + 1).cast("decimal(10,2)").alias("unit_price"),
+        """Nested supplier invoices: an article line and a freight line each."""
+        quantity = F.col("l_quantity").cast("bigint")
+        line = lambda sku, qty, price: F.struct(
+            sku.alias("sku"), qty.alias("qty"), price.cast("decimal(10,2)").alias("unit_price")
         )
-        return li.groupBy("l_orderkey").agg(
-            F.min("l_shipdate").alias("received_ts"), F.collect_list(line).alias("line_items")
-        ).select(
-            F.concat(F.lit("SI-"), F.col("l_orderkey")).alias("invoice_no"),
-            (F.col("l_orderkey") % 100).alias("supplier_sk"),
+        article = line(F.concat(F.lit("P-"), F.col("l_partkey")), quantity, F.col("l_partkey") % 90 + 1)
+        freight = line(F.lit("FREIGHT"), F.lit(1).cast("bigint"), F.col("l_linenumber") * 3)
+        return self.raw("lineitem").select(
+            F.concat_ws("-", F.lit("SI"), "l_orderkey", "l_partkey").alias("invoice_no"),
+            F.col("l_suppkey").alias("supplier_sk"),
             F.lit("EUR").alias("currency"),
-            "received_ts",
-            "line_items",
+            F.col("l_shipdate").alias("received_ts"),
+            F.array(article, freight).alias("line_items"),
         )
 
     def tracking_scans(self) -> DataFrame:
@@ -368,6 +376,56 @@ class TestTables:
             F.col("changed_on"),
         )
 
+    def customer_signups(self) -> DataFrame:
+        """Sign-up records, one per order, with untidy contact data."""
+        o, c = self.raw("orders"), self.raw("customer")
+        return o.join(c, o.o_custkey == c.c_custkey).select(
+            F.col("o_custkey").cast("string").alias("customer_id"),
+            F.concat(F.lit(" Mail"), F.col("o_orderkey"), F.lit("@Example.COM ")).alias("email"),
+            F.concat(F.lit("+49 (0) "), F.col("o_custkey"), F.lit("-"), F.col("o_orderkey")).alias("phone"),
+            F.col("c_name").alias("first_name"),
+            F.lit(" Doe ").alias("last_name"),
+            F.concat(F.lit("Street "), F.col("o_orderkey") % 100).alias("addr_line1"),
+            F.concat(F.lit("City"), F.col("o_custkey") % 40).alias("addr_city"),
+            F.lit("R").alias("addr_region"),
+            F.lit("DE").alias("addr_country"),
+            (F.col("o_custkey") % 40 + 10000).cast("string").alias("addr_postal"),
+            F.date_format("o_orderdate", "yyyyMMdd").alias("signup_date"),
+        )
+
+    def dim_geography(self) -> DataFrame:
+        """Postal areas, one per nation."""
+        key = F.col("n_nationkey")
+        return self.raw("nation").select(
+            key.cast("bigint").alias("geo_sk"),
+            F.lit("de").alias("country_iso2"),
+            F.concat(F.lit("CITY"), key).alias("city"),
+            (key + 10000).cast("string").alias("postal_code"),
+            (key / 2.0).alias("latitude"),
+            (key * 2.0).alias("longitude"),
+        )
+
+    def product_catalog_feed(self) -> DataFrame:
+        """Two deliveries of every product; the later one is discontinued for some."""
+        p = self.raw("part")
+        feed = F.explode(F.array(F.lit("20240101"), F.lit("20240201"))).alias("feed_date")
+        later = F.col("feed_date") == "20240201"
+        return p.select("*", feed).select(
+            F.concat(F.lit("P-"), F.col("p_partkey")).alias("sku"),
+            (F.col("p_partkey") * 7).cast("string").alias("upc"),
+            F.concat(F.lit(" "), F.initcap("p_name")).alias("name"),
+            F.col("p_type").alias("category"),
+            F.col("p_brand").alias("subcategory"),
+            F.upper(F.substring_index("p_name", " ", 1)).alias("color"),
+            F.col("p_size").cast("string").alias("size"),
+            money("p_retailprice", 10).alias("msrp"),
+            (F.col("p_partkey") % 500).cast("decimal(10,2)").alias("cost"),
+            (F.col("p_partkey") % 10).cast("string").alias("supplier_id"),
+            F.when(later & (F.col("p_partkey") % 4 == 0), F.lit("2024-01-15").cast("date"))
+            .when(F.col("p_partkey") % 4 == 1, F.lit("2025-01-01").cast("date")).alias("discontinued_at"),
+            "feed_date",
+        )
+
     # -- facts of the event table
 
     def mobile_events(self) -> DataFrame:

@@ -20,6 +20,7 @@ from tillwright.operators.ordered import (
     group_ordinal,
     latest_per_key,
     next_row,
+    ordered_lists,
     previous_row,
     running_total,
     time_slot,
@@ -28,7 +29,6 @@ from tillwright.plans.views import recency_bucket
 
 SESSION_GAP_MINUTES = 30
 BOT_CLICKS_PER_MINUTE = 60
-UNIT_RECORD = "array<struct<sku:string,qty:bigint,unit_price:decimal(10,2)>>"
 
 # Carrier status words and the event type they stand for.
 CARRIER_STATUS = {
@@ -672,19 +672,28 @@ def supplier_invoice_lines(invoices: DataFrame) -> DataFrame:
     )
 
 
-def tracking_history(scans: DataFrame) -> DataFrame:
-    """A shipment's scans as one array in time order (the array is the stored column)."""
-    return scans.groupBy("shipment_id").agg(
-        F.array_sort(F.collect_list(F.struct("ts", "status", "location"))).alias("tracking_events")
+def tracking_history(scans: DataFrame, per_row: int = 10_000) -> DataFrame:
+    """A shipment's scans in time order as an array; a shipment with more than ``per_row``
+    scans continues in further parts."""
+    fields = ["ts", "status", "location"]
+    return ordered_lists(
+        scans, ["shipment_id"], fields, fields, "tracking_events", time_slot("ts"), per_row
     )
 
 
-def email_clicks(events: DataFrame) -> DataFrame:
-    """E-mail engagement per send and day with the clicks in time order."""
-    click = F.when(F.col("event_type") == "click", F.struct(F.col("event_ts").alias("ts"), F.col("link_url").alias("url")))
-    return events.groupBy("send_id", "campaign_sk", "user_sk", F.to_date("event_ts").alias("event_date")).agg(
-        F.count(F.lit(1)).alias("events"),
-        F.array_sort(F.collect_list(click)).alias("clicks"),
+def email_clicks(events: DataFrame, per_row: int = 10_000) -> DataFrame:
+    """The clicks of every send and day in time order, with the number of all its events.
+    More than ``per_row`` clicks continue in further parts."""
+    sends = ["send_id", "campaign_sk", "user_sk", "event_date"]
+    dated = events.withColumn("event_date", F.to_date("event_ts"))
+    counted = dated.groupBy(*sends).agg(F.count(F.lit(1)).alias("events"))
+    clicked = dated.filter(F.col("event_type") == "click").select(
+        *sends, F.col("event_ts").alias("ts"), F.col("link_url").alias("url")
+    )
+    lists = ordered_lists(clicked, sends, ["ts", "url"], ["ts", "url"], "clicks", time_slot("ts"), per_row)
+    none = F.array().cast("array<struct<ts:timestamp,url:string>>")
+    return counted.join(lists, sends, "left").withColumns(
+        {"part": F.coalesce("part", F.lit(0).cast("bigint")), "clicks": F.coalesce("clicks", none)}
     )
 
 

@@ -549,27 +549,72 @@ ORACLE: dict[str, str] = {
                    AS running_balance
         FROM entries""",
     "supplier_invoice_lines": f"""
-        SELECT 'SI-' || l_orderkey AS invoice_no, l_orderkey % 100 AS supplier_sk, 'P-' || l_partkey AS sku,
-               CAST(l_quantity AS BIGINT) AS quantity, {_dbl('l_partkey % 90 + 1')} AS unit_cost,
-               {_dbl('CAST(l_quantity AS BIGINT) * (l_partkey % 90 + 1)')} AS line_total, 'EUR' AS currency_code,
-               {_ts('seen_at')} AS received_ts, {_int('year(seen_at)')} AS invoice_year, {_int('month(seen_at)')} AS invoice_month,
-               {_day("date_trunc('month', seen_at)")} AS partition_month
-        FROM (SELECT *, min(l_shipdate) OVER (PARTITION BY l_orderkey) AS seen_at FROM lineitem)""",
+        WITH lines AS (
+            SELECT *, 1 AS line_no, 'P-' || l_partkey AS sku, CAST(l_quantity AS BIGINT) AS qty,
+                   l_partkey % 90 + 1 AS price FROM lineitem
+            UNION ALL SELECT *, 2, 'FREIGHT', 1, l_linenumber * 3 FROM lineitem)
+        SELECT 'SI-' || l_orderkey || '-' || l_partkey AS invoice_no, {_int('line_no')} AS line_no,
+               l_suppkey AS supplier_sk, sku, qty AS quantity, {_dbl('price')} AS unit_cost,
+               {_dbl('qty * price')} AS line_total, 'EUR' AS currency_code, {_ts('l_shipdate')} AS received_ts,
+               {_int('year(l_shipdate)')} AS invoice_year, {_int('month(l_shipdate)')} AS invoice_month,
+               {_day("date_trunc('month', l_shipdate)")} AS partition_month
+        FROM lines""",
     "tracking_history": """
         WITH scans AS (
-            SELECT 'SH-' || l_orderkey AS shipment_id, l_shipdate + l_linenumber * INTERVAL 1 HOUR AS seen_at,
+            SELECT 'SH-' || l_orderkey AS shipment_id, l_shipdate + l_linenumber * INTERVAL 1 HOUR AS ts,
                    ['PICKED_UP', 'IN_TRANSIT', 'DELIVERED'][l_linenumber % 3 + 1] AS status,
                    'D' || l_partkey AS location
-            FROM lineitem)
-        SELECT shipment_id, string_agg(status || '@' || strftime(seen_at, '%Y-%m-%d %H') || '@' || location, ','
-                                       ORDER BY seen_at, status, location) AS history
-        FROM scans GROUP BY shipment_id""",
-    "email_clicks": f"""
-        SELECT 'SEND-' || user_id AS send_id, user_id % 7 AS campaign_sk, user_id AS user_sk,
-               {_day('ts')} AS event_date, count(*) AS events,
-               coalesce(string_agg('/l/' || event_id, ',' ORDER BY ts, '/l/' || event_id)
-                        FILTER (event_type = 'click'), '') AS clicks
-        FROM events GROUP BY user_id, CAST(ts AS DATE)""".replace(_day("ts"), _day("CAST(ts AS DATE)")),
+            FROM lineitem),
+        numbered AS (
+            SELECT *, row_number() OVER (PARTITION BY shipment_id ORDER BY ts, status, location) AS n FROM scans)
+        SELECT shipment_id, (n - 1) // 3 AS part,
+               string_agg(status || '@' || strftime(ts, '%Y-%m-%d %H') || '@' || location, ',' ORDER BY n) AS history
+        FROM numbered GROUP BY shipment_id, (n - 1) // 3""",
+    "email_clicks": """
+        WITH sends AS (
+            SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS events FROM events GROUP BY 1, 2),
+        clicks AS (
+            SELECT user_id, CAST(ts AS DATE) AS day, event_id,
+                   row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS n
+            FROM events WHERE event_type = 'click'),
+        lists AS (
+            SELECT user_id, day, (n - 1) // 2 AS part, string_agg('/l/' || event_id, ',' ORDER BY n) AS clicks
+            FROM clicks GROUP BY 1, 2, 3)
+        SELECT 'SEND-' || s.user_id AS send_id, s.user_id % 7 AS campaign_sk, s.user_id AS user_sk,
+               CAST(s.day AS VARCHAR) AS event_date, events, coalesce(part, 0) AS part, coalesce(clicks, '') AS clicks
+        FROM sends s LEFT JOIN lists l ON s.user_id = l.user_id AND s.day = l.day""",
+    "cleansed_customers": f"""
+        SELECT CAST(o_custkey AS VARCHAR) AS customer_id, 'mail' || o_orderkey || '@example.com' AS email_norm,
+               '+490' || o_custkey || o_orderkey AS phone_norm, c_name AS first_name, 'Doe' AS last_name,
+               'Street ' || (o_orderkey % 100) AS addr_line1, 'City' || (o_custkey % 40) AS addr_city,
+               'R' AS addr_region, 'DE' AS addr_country, CAST(o_custkey % 40 + 10000 AS VARCHAR) AS addr_postal,
+               {_ts('o_orderdate')} AS eff_from_ts, {_day('o_orderdate')} AS load_date,
+               CASE WHEN o_custkey % 40 < 25 THEN CAST(o_custkey % 40 AS DOUBLE) / 2 END AS geocoded_lat,
+               CASE WHEN o_custkey % 40 < 25 THEN CAST(o_custkey % 40 * 2 AS DOUBLE) END AS geocoded_lon
+        FROM orders JOIN customer ON o_custkey = c_custkey
+        QUALIFY row_number() OVER (PARTITION BY o_custkey
+                ORDER BY o_orderdate DESC, ' Mail' || o_orderkey || '@Example.COM ' DESC) = 1""",
+    "cleansed_products": """
+        SELECT 'P-' || p_partkey AS sku, CAST(p_partkey * 7 AS VARCHAR) AS upc, lower(p_name) AS name_norm,
+               lower(p_type) AS category_norm, p_brand AS subcategory, split_part(lower(p_name), ' ', 1) AS color_norm,
+               CAST(p_size AS VARCHAR) AS size_norm, CAST(CAST(p_retailprice AS DECIMAL(10,2)) AS DOUBLE) AS msrp,
+               CAST(p_partkey % 500 AS DOUBLE) AS cost, CAST(p_partkey % 10 AS VARCHAR) AS supplier_id,
+               p_partkey % 4 <> 0 AS available, '2024-01-31' AS load_date
+        FROM part""",
+    "geocoded_addresses": """
+        WITH addresses AS (
+            SELECT DISTINCT 'Street ' || (o_orderkey % 100) AS addr_line1, 'City' || (o_custkey % 40) AS addr_city,
+                   o_custkey % 40 AS k FROM orders)
+        SELECT sha256(lower(addr_line1) || '|' || lower(addr_city) || '|r|de|' || (k + 10000)) AS raw_addr_hash,
+               addr_line1, addr_city, 'R' AS addr_region, 'DE' AS addr_country,
+               CAST(k + 10000 AS VARCHAR) AS addr_postal,
+               CASE WHEN k < 25 THEN CAST(k AS DOUBLE) / 2 END AS lat, CASE WHEN k < 25 THEN CAST(k * 2 AS DOUBLE) END AS lon,
+               CASE WHEN k < 25 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS confidence,
+               CASE WHEN k < 25 THEN 'dim_geography' END AS provider, '2024-01-31' AS load_date
+        FROM addresses""",
+    "approx_members": _with("store", f"""
+        SELECT DISTINCT region, TRUE AS close FROM events LEFT JOIN store ON store_sk = event_id % 10
+        WHERE event_type = 'click' AND CAST(ts AS DATE) >= {EVENTS_TODAY} - 30"""),
     "web_session": _with("web_log", f"""
         SELECT {_ts('CAST(event_ts AS TIMESTAMP)')} AS event_ts, ip, url, user_id, city, state,
                event_ts[1:10] AS event_date, country FROM web_log"""),
@@ -592,8 +637,20 @@ ORACLE: dict[str, str] = {
         FROM parts""",
 }
 
+# ------------------------------------------------------------ streaming runs
+ORACLE["stream_dedup"] = f"""
+    SELECT DISTINCT CAST(user_id AS VARCHAR) AS user_id, {_ts("date_trunc('hour', ts)")} AS event_ts,
+           '/p/' || event_type AS page_url FROM events"""
+ORACLE["stream_cdc"] = ORACLE["cdc_merge"]
+# a session is out once the watermark, ten minutes behind the last event, has passed its end
+ORACLE["stream_sessions"] = _with("sessions", f"""
+    SELECT user_sk, {_ts('min(event_ts)')} AS started_ts, {_ts('max(event_ts)')} AS last_event_ts, count(*) AS clicks
+    FROM sessions GROUP BY user_sk, session_id
+    HAVING max(event_ts) + INTERVAL 30 MINUTE <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""")
+
 _ORDERS_FEED = f"""
     SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS status,
            {_dbl('CAST(o_totalprice AS DECIMAL(14,2))')} AS total, {_day('o_orderdate')} AS day FROM orders"""
 ORACLE["csv_feed"] = _ORDERS_FEED
 ORACLE["orc_feed"] = _ORDERS_FEED
+ORACLE["parquet_feed"] = _ORDERS_FEED

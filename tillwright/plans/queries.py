@@ -19,6 +19,7 @@ from tillwright.plans import derived, views
 from tillwright.plans.adapters import TestTables, money
 from tillwright.session import scratch_dir
 from tillwright.sources import readers, writers
+from tillwright.streaming import jobs
 
 SALES_TODAY = "2001-08-02"
 SHIPPING_TODAY = "2000-01-01"
@@ -537,21 +538,56 @@ def points_ledger(t):
 
 @query
 def supplier_invoice_lines(t):
-    # the position inside a gathered invoice is arbitrary, so it is left out here
-    return plain(derived.supplier_invoice_lines(t["invoice_documents"]).drop("line_no"))
+    return plain(derived.supplier_invoice_lines(t["invoice_documents"]))
+
+
+def _joined(entries: str, show: Callable[[Column], Column]) -> Column:
+    return F.array_join(F.transform(entries, show), ",")
 
 
 @query
 def tracking_history(t):
-    df = derived.tracking_history(t["tracking_scans"])
-    event = lambda e: F.concat_ws("@", e["status"], F.date_format(e["ts"], "yyyy-MM-dd HH"), e["location"])
-    return df.select("shipment_id", F.array_join(F.transform("tracking_events", event), ",").alias("history"))
+    df = derived.tracking_history(t["tracking_scans"], per_row=3)
+    show = lambda e: F.concat_ws("@", e["status"], F.date_format(e["ts"], "yyyy-MM-dd HH"), e["location"])
+    return df.select("shipment_id", "part", _joined("tracking_events", show).alias("history"))
 
 
 @query
 def email_clicks(t):
-    df = derived.email_clicks(t["email_events"])
-    return plain(df.withColumn("clicks", F.array_join("clicks.url", ",")))
+    df = derived.email_clicks(t["email_events"], per_row=2)
+    return plain(df.withColumn("clicks", _joined("clicks", lambda e: e["url"])))
+
+
+@query
+def cleansed_customers(t):
+    places = derived.geocoded_addresses(t["customer_signups"], t["dim_geography"], EVENTS_TODAY)
+    # the hash is compared through the history tests; here the attributes themselves are
+    return plain(derived.cleansed_customers(t["customer_signups"], places).drop("record_hash"))
+
+
+@query
+def cleansed_products(t):
+    return plain(derived.cleansed_products(t["product_catalog_feed"], EVENTS_TODAY))
+
+
+@query
+def geocoded_addresses(t):
+    return plain(derived.geocoded_addresses(t["customer_signups"], t["dim_geography"], EVENTS_TODAY))
+
+
+@query
+def approx_members(t):
+    """Whether the approximate member count lies within 5 % of the exact one."""
+    panel = views.vw_active_member_panel(t, EVENTS_TODAY)
+    off = F.abs(F.col("approx_active_members") - F.col("exact_active_members"))
+    return panel.select("region", (off <= F.col("exact_active_members") * 0.05).alias("close"))
+
+
+@query
+def parquet_feed(t):
+    path = scratch_dir(t.spark, "parquet")
+    _orders_text(t).write.parquet(path)
+    return plain(readers.read_parquet(t.spark, path, ORDERS_SCHEMA))
 
 
 @query
@@ -568,5 +604,33 @@ def date_dimension(t):
     return plain(per_day.join(days, "d_date"))
 
 
+# ---------------------------------------------------------------- streaming runs
+
+
+def _files_of(stream: DataFrame, name: str) -> DataFrame:
+    spark, path = stream.sparkSession, scratch_dir(stream.sparkSession, name)
+    jobs.to_files(stream, path, scratch_dir(spark, f"{name}-state")).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(path)
+
+
+@query
+def stream_dedup(t):
+    clicks = t.as_streams()["clicks"].select("user_id", "event_ts", "page_url")
+    return plain(_files_of(jobs.deduplicated_clicks(clicks), "stream-dedup"))
+
+
+@query
+def stream_sessions(t):
+    return plain(_files_of(jobs.click_sessions(t.as_streams()["app_clicks"]), "stream-sessions"))
+
+
+@query
+def stream_cdc(t):
+    changes = t.as_streams()["returns_cdc"]
+    log = scratch_dir(t.spark, "stream-cdc")
+    jobs.log_changes(changes, log, scratch_dir(t.spark, "stream-cdc-state")).awaitTermination()
+    return plain(jobs.current_returns(t.spark, log, changes.schema))
+
+
 def build(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: QUERIES[name](TestTables(spark, sf_dir))

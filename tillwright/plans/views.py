@@ -249,7 +249,7 @@ def vw_active_member_panel(t: Tables, as_of: Day) -> DataFrame:
         .agg(F.sum("points").alias("points"))
         .groupBy("region")
         .agg(
-            F.approx_count_distinct("member_id").alias("approx_active_members"),
+            F.approx_count_distinct("member_id", 0.01).alias("approx_active_members"),
             F.count("member_id").alias("exact_active_members"),
             F.sum("points").alias("total_points_redeemed"),
         )
