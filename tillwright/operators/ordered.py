@@ -26,11 +26,17 @@ def falling_slot(value: str | Column, steps: int = 512) -> Column:
     """Slot number for a numeric ordering from large to small.
 
     Logarithmic, so it needs no pass over the data to find its bounds, and it has at
-    most ``2 * steps * ln(max)`` values.
+    most ``2 * steps * ln(max)`` values. Nulls come last, infinity and NaN first.
     """
     number = (F.col(value) if isinstance(value, str) else value).cast("double")
     size = F.floor(F.log1p(F.abs(number)) * steps)
-    return F.when(number < 0, size).otherwise(-size)
+    last, infinity = F.lit(2**62), F.lit(float("inf"))
+    return (
+        F.when(number.isNull() | (number == -infinity), last)
+        .when(F.isnan(number) | (number == infinity), -last)
+        .when(number < 0, size)
+        .otherwise(-size)
+    )
 
 
 def _with_carry(rows: DataFrame, carry: DataFrame) -> DataFrame:
