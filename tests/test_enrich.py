@@ -69,3 +69,22 @@ def test_payment_terms_file(spark, make, tmp_path):
     listed = "SUP-001,10\nSUP-009,abc\nSUP-009\nSUP-009, 77 ,more\nSUP-001,15\nSUP-001,x\n"
     (tmp_path / "terms.csv").write_text(listed)
     assert days(spark, make, str(tmp_path / "terms.csv")) == [15, 45, 60, 30, 30, 77, 45]
+
+
+def test_sql_functions_agree_with_the_columns(spark, make):
+    from tillwright.plans.register import register_functions
+
+    register_functions(spark)
+    values = ["United States", "\tusa\n", "in", "it's", None, "", "\u00a0Italia\u3000", "AP-1234-09", " AP-1234-09\n",
+              "8.8.8.8", ".1.2", "1e1.2", "10.1", "99999999999999999999.1", " A@b.C ", "SUP-003", " SUP-002 ", "\\"]
+    df = make([(i, v) for i, v in enumerate(values)], "i int, v string")
+    with_terms = enrich.with_payment_terms(df, enrich.supplier_terms(spark), "v", "days")
+    want = with_terms.select(
+        "i", enrich.country_code("v"), enrich.email_hash("v"), enrich.sku_parts("v"), enrich.ip_region("v"), "days"
+    )
+    have = spark.sql(
+        """SELECT i, normalize_country(v), hash_customer_email(v), parse_legacy_sku(v), geoip_city(v),
+                  lookup_supplier_terms(v) FROM {df}""",
+        df=df,
+    )
+    assert sorted(map(tuple, have.collect())) == sorted(map(tuple, want.collect()))

@@ -87,3 +87,28 @@ def test_hot_join_key_is_split(spark, make):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_shuffles_grow_with_the_input(spark, t):
+    from tillwright import session
+
+    start = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = session.BYTES_PER_PARTITION
+    session.BYTES_PER_PARTITION = 1000
+    try:
+        total = session.fit_shuffles(spark, t.raw("lineitem"))
+        assert int(spark.conf.get(start)) == -(-total // 1000)
+        session.fit_shuffles(spark, t.raw("region"))  # never lowered
+        assert int(spark.conf.get(start)) == -(-total // 1000)
+    finally:
+        session.BYTES_PER_PARTITION = before
+        spark.conf.unset(start)
+
+
+def test_views_under_their_names(spark, t):
+    from tillwright.plans.register import register_views
+
+    names = register_views(spark, t, "2001-08-02", ("vw_daily_sales_by_country", "vw_sales_rollup_by_region"))
+    assert names == ["vw_daily_sales_by_country", "vw_sales_rollup_by_region"]
+    top = spark.sql("SELECT country, sum(orders) AS n FROM vw_daily_sales_by_country GROUP BY country")
+    assert top.count() == 8

@@ -28,6 +28,7 @@ UNKNOWN_COUNTRY = "XX"
 # Shape of a legacy product code, and the answer for anything else.
 SKU_PATTERN = r"^([A-Z]{2})-(\d{3,5})-(\d{1,3})$"
 UNKNOWN_SKU = "UNKNOWN|0|0"
+OCTET_PATTERN = r"^\s*[+-]?[0-9]+\s*$"
 
 # Payment terms in days.
 STANDARD_TERMS = {"SUP-001": 30, "SUP-002": 45, "SUP-003": 60}
@@ -74,7 +75,7 @@ def sku_parts(c: str | Column) -> Column:
 def ip_region(c: str | Column) -> Column:
     """Coarse region by the first octet of an address."""
     octet = F.substring_index(trimmed(c), ".", 1)
-    is_number = trimmed(c).contains(".") & octet.rlike(r"^\s*[+-]?[0-9]+\s*$")
+    is_number = trimmed(c).contains(".") & octet.rlike(OCTET_PATTERN)
     # more digits than a decimal holds is still just a large number
     number = F.coalesce(octet.try_cast("decimal(38,0)"), F.lit(256))
     return (

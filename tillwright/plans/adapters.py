@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwright.plans.derived import calendar
-from tillwright.session import prepare
+from tillwright.session import fit_shuffles, prepare
 
 # Columns of the given tables. Reading the file's zone-less times as
 # instants (session zone UTC) keeps time filters free of casts, so they reach the scan.
@@ -40,7 +40,9 @@ FIRST_DAY, LAST_DAY = "1995-01-01", "2001-12-31"
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     prepare(spark)
-    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+    fit_shuffles(spark, df)
+    return df
 
 
 def pick(options: tuple[str, ...], number: Column) -> Column:
@@ -543,6 +545,13 @@ class TestTables:
             F.to_date("ts").alias("snapshot_date"),
         )
 
+    def events_eu(self) -> DataFrame:
+        e = self.raw("events")
+        return e.select(
+            F.col("event_id").cast("string").alias("event_id"), F.col("ts").alias("event_ts"),
+            F.col("user_id").cast("string").alias("user_id"), "event_type", F.col("props").alias("payload_json"),
+        )
+
     def email_events(self) -> DataFrame:
         e = self.raw("events")
         return e.select(

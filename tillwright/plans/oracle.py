@@ -291,6 +291,15 @@ ORACLE: dict[str, str] = {
         SELECT s_suppkey, printf('SUP-%03d', s_suppkey) AS supplier_id,
                CAST(CASE s_suppkey WHEN 2 THEN 45 WHEN 3 THEN 60 ELSE 30 END AS BIGINT) AS payment_term_days
         FROM supplier""",
+    "sql_functions": f"""
+        SELECT c_custkey, {_pick(SALE_ISO, 'c_nationkey', 8)} AS country,
+               sha256(lower(c_name) || '@example.com') AS email,
+               CASE WHEN c_custkey BETWEEN 100 AND 99999 THEN 'AB|' || c_custkey || '|7' ELSE 'UNKNOWN|0|0' END AS sku,
+               CASE WHEN c_custkey % 256 IN (10, 172, 192) THEN 'Internal' WHEN c_custkey % 256 < 64 THEN 'Americas'
+                    WHEN c_custkey % 256 < 128 THEN 'EMEA' WHEN c_custkey % 256 < 192 THEN 'APAC'
+                    ELSE 'Other' END AS region,
+               CAST(CASE c_custkey WHEN 2 THEN 45 WHEN 3 THEN 60 ELSE 30 END AS BIGINT) AS days
+        FROM customer""",
     # ------------------------------------------------------------ ingest steps
     "bound_string": _with("keyed_orders", f"""
         SELECT o_orderkey, date_ts FROM keyed_orders WHERE CAST(o_orderdate AS DATE) <= {BOUND_DAY}"""),
@@ -308,6 +317,9 @@ ORACLE: dict[str, str] = {
     "epoch_ts": f"SELECT o_orderkey, {_ts('o_orderdate')} AS epoch_ms FROM orders",
     "map_json": """
         SELECT event_id, '{"kind":"' || event_type || '","user":"' || user_id || '"}' AS props_json FROM events""",
+    "json_fields": """
+        SELECT CAST(event_id AS VARCHAR) AS event_id, event_type,
+               CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS BIGINT) AS k FROM events""",
     "conform_types": f"""
         SELECT l_orderkey, {_int('l_linenumber')} AS l_linenumber, {_int('l_quantity')} AS l_quantity,
                {_dbl('CAST(l_extendedprice AS DECIMAL(14,2))')} AS l_extendedprice FROM lineitem""",

@@ -15,8 +15,8 @@ from pyspark.sql import types as T
 
 from tillwright.functions import enrich
 from tillwright.operators import checks, ingest
-from tillwright.plans import derived, views
-from tillwright.plans.adapters import TestTables, money
+from tillwright.plans import derived, register, views
+from tillwright.plans.adapters import SALE_COUNTRIES, TestTables, money, pick
 from tillwright.session import scratch_dir
 from tillwright.sources import readers, writers
 from tillwright.streaming import jobs
@@ -178,6 +178,26 @@ def payment_terms(t):
     return enrich.with_payment_terms(s, enrich.supplier_terms(t.spark), "supplier_id")
 
 
+@query
+def sql_functions(t):
+    """The five functions under their SQL names, called from SQL text."""
+    register.register_functions(t.spark)
+    c = t.raw("customer").select(
+        "c_custkey",
+        F.concat(F.lit(" "), pick(SALE_COUNTRIES, F.col("c_nationkey"))).alias("country"),
+        F.concat(F.lower("c_name"), F.lit("@example.com")).alias("email"),
+        F.concat(F.lit("AB-"), F.col("c_custkey"), F.lit("-7")).alias("sku"),
+        F.concat(F.col("c_custkey") % 256, F.lit(".0.0.1")).alias("ip"),
+        F.format_string("SUP-%03d", F.col("c_custkey")).alias("supplier"),
+    )
+    return t.spark.sql(
+        """SELECT c_custkey, normalize_country(country) AS country, hash_customer_email(email) AS email,
+                  parse_legacy_sku(sku) AS sku, geoip_city(ip) AS region, lookup_supplier_terms(supplier) AS days
+           FROM {customers}""",
+        customers=c,
+    )
+
+
 # ---------------------------------------------------------------- ingest steps
 
 
@@ -237,6 +257,13 @@ def map_json(t):
     return ingest.map_to_json(e.select("event_id", pairs.alias("properties")), "properties", "props_json")
 
 
+@query
+def json_fields(t):
+    """A field of JSON text, read when it is asked for."""
+    field = F.get_json_object("payload_json", "$.k").try_cast("bigint").alias("k")
+    return t["events_eu"].select("event_id", "event_type", field)
+
+
 @query
 def conform_types(t):
     """Widening and retyping to a declared schema."""

@@ -29,6 +29,31 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Input bytes (compressed columns) meant for one shuffle partition, and the most partitions
+# one shuffle may start with; adaptive execution merges the small ones afterwards.
+BYTES_PER_PARTITION = 64 * 2**20
+MOST_PARTITIONS = 32_768
+LARGE_INPUT = 10 * 2**40
+
+
+def fit_shuffles(spark: SparkSession, *tables: DataFrame) -> int:
+    """Let shuffles start with enough partitions for these inputs; returns their bytes.
+
+    Adaptive execution only merges partitions, so a fixed default would leave hundreds of
+    gigabytes in each at large scale. The number is only ever raised. Very large inputs
+    are also read in larger splits, to keep the number of tasks in hand.
+    """
+    total = sum(int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) for df in tables)
+    start = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    now = int(spark.conf.get(start, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    need = min(-(-total // BYTES_PER_PARTITION), MOST_PARTITIONS)
+    if need > now:
+        spark.conf.set(start, str(need))
+    if total > LARGE_INPUT:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(512 * 2**20))
+    return total
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder path under the cluster's shared ``spark.checkpoint.dir``.
 

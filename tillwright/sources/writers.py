@@ -19,7 +19,8 @@ def write_table(
     small dates and splits a hot one into several files, so no task has to write a whole
     hot date. Inside a file rows are sorted by the cluster columns, which makes the
     min/max statistics useful. The count is observed in the writing stage itself, so the
-    source is not scanned a second time and a repeated map stage cannot inflate it.
+    source is not scanned a second time and a repeated map stage cannot inflate it. The
+    check for empty input stops at the first row it finds.
     """
     if df.isEmpty():
         return 0
@@ -44,7 +45,7 @@ class DryRun(NamedTuple):
 
 def dry_run(df: DataFrame, preview_rows: int = 5) -> DryRun:
     """What a load would write: row count, schema and a short preview. Nothing is written."""
-    return DryRun(df.count(), df._jdf.schema().treeString(), df.limit(preview_rows).collect())
+    return DryRun(df.count(), df.schema.treeString(), df.limit(preview_rows).collect())
 
 
 def audit_row(
