@@ -30,11 +30,18 @@ def test_no_cross_join_and_no_python(spark, name):
     assert not re.search(r"CartesianProduct|NestedLoop|Python|MapInPandas|BatchEval", plan)
 
 
-@pytest.mark.parametrize("name", ["daily_sales_by_country", "customer_ltv", "sales_cube", "cohort_retention", "top_countries"])
+@pytest.mark.parametrize("name", ["daily_sales_by_country", "customer_ltv", "cohort_retention", "top_countries"])
 def test_sales_are_scanned_once(spark, name):
     assert plan_of(driver.queries()[name](spark, SF)).count("lineitem.parquet") == 1
 
 
+def test_cube_levels_share_one_scan(t):
+    df = derived.sales_cube(t["fact_sales"])
+    df.collect()
+    final = plan_of(df).split("== Initial Plan ==")[0]
+    assert final.count("lineitem.parquet") == 1 and "ReusedExchange" in final
+
+
 def test_filters_and_columns_reach_the_scan(t):
     plan = plan_of(views.vw_otd_by_carrier_30d(t, "2000-01-01"))
     assert "GreaterThanOrEqual(l_shipdate,1999-12-02" in plan

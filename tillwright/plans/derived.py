@@ -549,25 +549,34 @@ def agg_returns_by_reason_monthly(fact_returns: DataFrame, fact_sales: DataFrame
 
 
 def sales_cube(fact_sales: DataFrame) -> DataFrame:
-    """Dashboard cube over (country, month, product), (country, month), (country) and the total."""
-    month_key = (F.year("sale_date") * 100 + F.month("sale_date")).cast("bigint")
-    per_invoice = fact_sales.groupBy(
-        "country", month_key.alias("month_key"), "product_sk", "invoice_no"
-    ).agg(F.sum("line_total").alias("revenue"), F.sum("quantity").alias("units"), F.count(F.lit(1)).alias("rows"))
-    per_invoice = with_blank_row(per_invoice, "rows")
-    c, m, p = F.col("country"), F.col("month_key"), F.col("product_sk")
-    cube = per_invoice.groupingSets([[c, m, p], [c, m], [c], []], c, m, p).agg(
+    """Dashboard cube over (country, month, product), (country, month), (country) and the total.
+
+    Only the three upper levels go through grouping sets, over rows folded to one per
+    invoice; the product level is a plain aggregate. Both start from the same first
+    aggregate with the same columns, so they share its scan and its shuffle.
+    """
+    month_key = (F.year("sale_date") * 100 + F.month("sale_date")).cast("bigint").alias("month_key")
+    amounts = [F.sum("revenue").alias("revenue"), F.sum("units").alias("units")]
+    lines = fact_sales.groupBy("country", month_key, "product_sk", "invoice_no").agg(
+        F.sum("line_total").alias("revenue"), F.sum("quantity").alias("units")
+    )
+    products = lines.groupBy("country", "month_key", "product_sk").agg(
+        F.count("invoice_no").alias("orders"), *amounts, F.lit(3).alias("dim_level")
+    )
+    invoices = lines.groupBy("country", "month_key", "invoice_no").agg(*amounts, F.count(F.lit(1)).alias("rows"))
+    c, m = F.col("country"), F.col("month_key")
+    upper = with_blank_row(invoices, "rows").groupingSets([[c, m], [c], []], c, m).agg(
         F.count_distinct("invoice_no").alias("orders"),
-        F.sum("revenue").cast("decimal(18,2)").alias("revenue"),
-        F.sum("units").alias("units"),
-        F.grouping_id().alias("_bits"),
-        F.sum("rows").alias("_rows"),
-    ).filter((F.col("_rows") > 0) | (F.col("_bits") == 7))
-    level = 3 - F.bit_count("_bits")
+        *amounts,
+        F.sum("rows").alias("rows"),
+        (2 - F.bit_count(F.grouping_id())).alias("dim_level"),
+    )
+    upper = upper.filter((F.col("rows") > 0) | (F.col("dim_level") == 0)).drop("rows")
     key = F.concat_ws("|", "country", F.col("month_key").cast("string"), F.col("product_sk").cast("string"))
-    return cube.select(
-        level.cast("bigint").alias("dim_level"), key.alias("cube_key"),
-        "country", "month_key", "product_sk", "orders", "revenue", "units",
+    return products.unionByName(upper, allowMissingColumns=True).select(
+        F.col("dim_level").cast("bigint").alias("dim_level"), key.alias("cube_key"),
+        "country", "month_key", "product_sk", "orders",
+        F.col("revenue").cast("decimal(18,2)").alias("revenue"), "units",
     )
 
 
