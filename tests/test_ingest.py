@@ -184,3 +184,69 @@ def test_load_table(spark, tmp_path):
     # loading again replaces the table
     assert ingest.load_table(spark, spec, "2024-05-31T00:00:00Z", str(target)).rows == 1
     assert spark.read.parquet(str(target)).count() == 1
+
+
+def test_catalog_specs_load(spark, tmp_path):
+    """A delimited, a JSON and a key-value feed loaded by nothing but the catalog."""
+    from tillwright import catalog
+
+    sales, target = tmp_path / "sales", str(tmp_path / "sales-out")
+    (sales / "date_ts=20240531_23").mkdir(parents=True)
+    head = "invoice_no,stock_code,description,quantity,invoice_date,unit_price,customer_id,country"
+    (sales / "date_ts=20240531_23" / "a.csv").write_text(f"{head}\nI1,S,d,2,2024-05-31,1.50,c,US\n,S,d,x,,,,\n")
+    table = catalog.table("raw.sales_retail")
+    load = ingest.load_table(spark, table.spec(str(sales)), W, target)
+    back = spark.read.parquet(target)
+    assert load.rows == 2 and dict(back.dtypes) == {f.name: f.dataType.simpleString() for f in table.schema}
+    assert rows(back, "quantity", "date_ts", "partition_date") == [
+        (2, "20240531_23", date(2024, 5, 31)), (None, "20240531_23", date(2024, 5, 31)),
+    ]
+    assert rows(load.checks, "column", "null_count") == [("invoice_no", 1)]
+
+    events, target = tmp_path / "events", str(tmp_path / "events-out")
+    folder = events / "event_date=20240531" / "hour_bucket=5"
+    folder.mkdir(parents=True)
+    (folder / "a.json").write_text(
+        '{"event_id": "e1", "user_id": "u", "event_ts": "2024-05-31T05:00:00Z", "properties": {"k": null},'
+        ' "context": {"referrer": "ad"}, "items": [{"sku": "s", "qty": 1, "price": 1.5}]}\n'
+    )
+    table = catalog.table("raw.mobile_events")
+    assert ingest.load_table(spark, table.spec(str(events)), W, target).rows == 1
+    row = spark.read.parquet(target).first()
+    assert (row.properties, row.context.referrer, row.hour_bucket) == ('{"k":null}', "ad", 5)
+    assert row.partition_date == date(2024, 5, 31)
+
+    stock, target = str(tmp_path / "stock"), str(tmp_path / "stock-out")
+    kudu = "'w' AS warehouse_id, 's' AS sku, 3 AS on_hand, 1 AS allocated, 2 AS available, 1717243200000 AS last_updated_ts"
+    spark.sql(f"SELECT {kudu}").write.parquet(stock)
+    assert ingest.load_table(spark, catalog.table("retail.inventory_realtime_snapshot").spec(stock), W, target).rows == 1
+    back = spark.read.parquet(target)
+    assert dict(back.dtypes)["on_hand"] == "bigint" and back.first().last_updated_ts == datetime(2024, 6, 1, 12)
+
+
+def test_source_and_target_profiles_agree(make):
+    """Hourly keys of one day are one partition on both sides."""
+    spec = {
+        "source": {},
+        "transforms": {"partition_key_conversion": {"source_col": "date_ts", "target_col": "partition_date"}},
+        "validation": {"watermark_col": "date_ts"},
+    }
+    df = make([("20240531_22",), ("20240531_23",), ("20240601_00",), ("20240602_00",)], "date_ts string")
+    native = {"source": {"partition_cols": ["sale_date"]}, "validation": {}}
+    days = make([(date(2024, 1, 1),), (date(2024, 1, 1),)], "sale_date date")
+    plain = make([("x",)], "snapshot_hour string")
+    out = ingest.load_profile(
+        {"a": df, "b": days, "c": plain},
+        {"a": spec, "b": native, "c": {"source": {"partition_cols": ["snapshot_hour"]}}},
+        W,
+    )
+    assert rows(out) == [("a", 3, 2), ("b", 2, 1), ("c", 1, None)]
+
+
+def test_every_catalog_table_has_a_spec():
+    from tillwright import catalog
+
+    for table in catalog.tables().values():
+        spec = ingest.check_spec(table.spec("/x"))
+        rule = ingest._partition_rule(spec)
+        assert (rule["target"] if rule else ingest.native_partition(spec)) == table.partition, table.name

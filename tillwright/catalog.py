@@ -6,6 +6,7 @@ import re
 from dataclasses import dataclass
 from functools import cache
 from pathlib import Path
+from typing import Any
 
 from pyspark.sql.types import StructType
 
@@ -27,6 +28,52 @@ class Table:
     def schema(self) -> StructType:
         return StructType.fromDDL(self.ddl)
 
+    def spec(self, path: str, **format_options: Any) -> dict[str, Any]:
+        """The load specification of this table for a source at ``path``.
+
+        Delimited text is read as text and typed afterwards by the target schema; JSON gets
+        the declared types, with maps where the table holds JSON text.
+        """
+        database, table = self.name.split(".", 1)
+        derived = bool(self.generated_from) or (
+            self.partition is not None and self.bound_column not in (None, self.partition)
+        )
+        fields = [f for f in self.schema.fields if not (derived and f.name == self.partition)]
+        kinds = {f.name: f.dataType.simpleString() for f in fields}
+        source_schema = None
+        if self.source_format in ("textfile_csv", "textfile_tsv"):
+            source_schema = ", ".join(f"{name} string" for name in kinds)
+        elif self.source_format == "json_serde":
+            kinds |= {name: "map<string,string>" for name in self.json_columns}
+            source_schema = ", ".join(f"{name} {kind}" for name, kind in kinds.items())
+        rule = None
+        if derived:
+            parts = self.generated_from if len(self.generated_from) > 1 else ()
+            rule = {
+                "target_col": self.partition,
+                "parse_fn": "DATE" if parts else "PARSE_DATE",
+                "source_cols": list(parts),
+                "source_col": None if parts else (*self.generated_from, self.bound_column)[0],
+                "generated_column": bool(self.generated_from),
+            }
+        return {
+            "source": {
+                "database": database, "table": table, "format": self.source_format, "path": path,
+                "format_options": format_options, "schema": source_schema,
+                "partition_cols": [] if derived or not self.partition else [self.partition],
+            },
+            "target": {"table": table, "schema": self.ddl, "cluster": list(self.cluster)},
+            "transforms": {
+                "partition_key_conversion": rule,
+                "map_to_json": [{"source_col": c, "target_col": c} for c in self.json_columns],
+                "kudu_epoch_conversion": [
+                    {"col": f.name, "from_unit": "millis"} for f in fields
+                    if self.source_format == "kudu" and f.dataType.simpleString() == "timestamp"
+                ],
+            },
+            "validation": {"watermark_col": self.bound_column, "null_check_cols": list(self.keys)},
+        }
+
 
 def _number_columns(ddl: str) -> str:
     """``col_1..col_60 string`` stands for sixty numbered columns of one type."""

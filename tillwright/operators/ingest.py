@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping, Sequence
-from datetime import date, datetime
+from datetime import datetime
 from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillwright.operators.checks import null_keys
+from tillwright.functions.dates import date_of_key
+from tillwright.operators.checks import null_keys, profile
 from tillwright.sources.readers import read_source
 from tillwright.sources.writers import write_table
 
@@ -55,12 +56,6 @@ def bound(df: DataFrame, column: str | None, upto: str | None, strict: bool = Tr
     return df.filter(F.col(column) <= limit)
 
 
-def date_of_key(column: str | Column) -> Column:
-    """Date of a ``yyyyMMdd`` or ``yyyyMMdd_HH`` string; null when it is no date."""
-    c = F.col(column) if isinstance(column, str) else column
-    return F.try_to_date(F.substring(c, 1, 8), "yyyyMMdd")
-
-
 def date_of_parts(parts: Sequence[str]) -> Column:
     """Date of year, month and optional day columns; null when they make no date."""
     if len(parts) not in (2, 3):
@@ -208,7 +203,10 @@ def load_table(
     cluster: Sequence[str] = (),
     strict: bool = True,
 ) -> Load:
-    """Read, transform and write one table, then set up its null-key check on what was written."""
+    """Read, transform and write one table, then set up its null-key check on what was written.
+
+    A schema in the target section types the columns; cluster columns may stand there too.
+    """
     check_spec(spec)
     df = apply_transforms(read_source(spark, spec), spec, upto, strict)
     rule = _partition_rule(spec)
@@ -216,7 +214,9 @@ def load_table(
         # Parquet has no generated columns, so the layout column is computed here
         df = partition_date(df, rule["target"], rule["source"], rule["parts"])
     partition = rule["target"] if rule else native_partition(spec)
-    rows = write_table(df, target_path, partition, cluster)
+    if spec["target"].get("schema"):
+        df = conform(df, T.StructType.fromDDL(spec["target"]["schema"]))
+    rows = write_table(df, target_path, partition, cluster or spec["target"].get("cluster") or ())
     keys = (spec.get("validation") or {}).get("null_check_cols") or ()
     if not rows or not keys:
         return Load(rows, None)
@@ -230,5 +230,18 @@ def native_partition(spec: Mapping[str, Any]) -> str | None:
     return columns[0] if columns and columns[0].endswith(("_date", "_start")) else None
 
 
-def as_day(value: str | date) -> date:
-    return value if isinstance(value, date) else date.fromisoformat(value)
+def load_profile(
+    tables: Mapping[str, DataFrame], specs: Mapping[str, Mapping[str, Any]], upto: str | None
+) -> DataFrame:
+    """Row and partition counts of source tables, bounded and partitioned exactly as a load
+    would, so that they can be compared with the profile of the loaded tables."""
+    entries = {}
+    for name, df in tables.items():
+        spec = specs[name]
+        rule = _partition_rule(spec)
+        df = bound(df, (spec.get("validation") or {}).get("watermark_col"), upto)
+        if rule:
+            df = partition_date(df, rule["target"], rule["source"], rule["parts"])
+        partition = rule["target"] if rule else native_partition(spec)
+        entries[name] = (df, [partition] if partition else [])
+    return profile(entries)

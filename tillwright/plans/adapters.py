@@ -286,6 +286,8 @@ class TestTables:
         return li.select(
             F.concat(F.lit("P-"), F.col("l_partkey")).alias("sku"),
             (F.col("l_suppkey") % 10).alias("warehouse_sk"),
+            F.concat(F.lit("W-"), F.col("l_suppkey") % 10).alias("warehouse_id"),
+            (F.col("l_partkey") % 90 + F.col("l_linenumber")).cast("decimal(10,2)").alias("unit_cost"),
             kind.alias("movement_type"),
             F.col("l_quantity").cast("bigint").alias("quantity"),
             (F.col("l_shipdate") + hours(F.col("l_orderkey") % 24)).alias("movement_ts"),
@@ -294,7 +296,7 @@ class TestTables:
     def warehouse_picks(self) -> DataFrame:
         li = self.raw("lineitem")
         return li.select(
-            (F.col("l_suppkey") % 10).alias("warehouse_sk"),
+            F.concat(F.lit("W-"), F.col("l_suppkey") % 10).alias("warehouse_id"),
             F.concat(F.lit("P-"), F.col("l_partkey")).alias("sku"),
             F.col("l_quantity").cast("bigint").alias("quantity"),
             (F.col("l_shipdate") + hours(F.col("l_orderkey") % 24)).alias("picked_at"),
@@ -347,6 +349,7 @@ class TestTables:
             o.join(c, o.o_custkey == c.c_custkey)
             .join(n, c.c_nationkey == n.n_nationkey)
             .select(
+                F.to_date(F.trunc("o_orderdate", "month")).alias("period_date"),
                 pick(CHANNELS, F.col("o_orderkey")).alias("channel"),
                 (F.col("o_custkey") % 4).alias("campaign_sk"),
                 F.concat(F.lit("R"), F.col("n_regionkey")).alias("region"),
@@ -517,6 +520,9 @@ class TestTables:
             F.date_trunc("hour", "ts").alias("event_ts"),
             F.concat(F.lit("/p/"), F.col("event_type")).alias("page_url"),
             F.col("event_id").cast("string").alias("ip"),
+            pick(SALE_COUNTRIES, F.col("user_id")).alias("country"),
+            F.lit("phone").alias("device_type"),
+            F.lit("https://ref/").alias("referrer_url"),
         )
 
     def app_clicks(self) -> DataFrame:
@@ -540,6 +546,7 @@ class TestTables:
             F.col("user_id").alias("customer_sk"),
             F.col("ts").alias("return_ts"),
             money("value").alias("refund_amount"),
+            pick(REASONS, F.col("user_id")).alias("reason_code"),
             F.col("event_type").alias("status"),
             op.alias("op"),
             F.to_date("ts").alias("snapshot_date"),

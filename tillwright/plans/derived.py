@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillwright.functions.dates import month_start
+from tillwright.functions.dates import date_of_key, day_key, month_start
 from tillwright.functions.enrich import trimmed
 from tillwright.operators.grouping import with_blank_row
 from tillwright.operators.ordered import (
@@ -220,12 +221,16 @@ def dedup_clickstream(
     )
     score = F.least(F.lit(1.0), F.col("_n") / per_minute).cast("decimal(4,3)")
     matched = F.col("user_id").eqNullSafe(F.col("_user")) & F.col("_minute").eqNullSafe(F.col("_at"))
-    return (
+    kept = (
         single.join(rate, matched)
         .withColumn("bot_score", score)
         .filter(F.col("bot_score") < bot_limit)
         .drop("_minute", "_user", "_at", "_n")
     )
+    layout = {"date_ts": day_key(F.col("event_ts")), "partition_date": F.to_date("event_ts")}
+    if "country" in kept.columns:
+        layout["country_partition"] = F.col("country")
+    return kept.withColumns({name: c for name, c in layout.items() if name not in kept.columns})
 
 
 def address_hash() -> Column:
@@ -265,15 +270,17 @@ def geocoded_addresses(addresses: DataFrame, dim_geography: DataFrame, load_date
 
 def parsed_loyalty_events(lines: DataFrame) -> DataFrame:
     """Types for the regex-parsed loyalty feed; ``key=value`` pairs become JSON."""
+    event_ts = F.try_to_timestamp("event_ts_str", F.lit("yyyy-MM-dd'T'HH:mm:ss"))
     return lines.select(
-        F.try_to_timestamp("event_ts_str", F.lit("yyyy-MM-dd'T'HH:mm:ss")).alias("event_ts"),
+        event_ts.alias("event_ts"),
         "member_id",
         "event_type",
         F.col("points").try_cast("bigint").alias("points"),
         "store_id",
         "tx_id",
         F.to_json(F.str_to_map("meta_raw", F.lit(";"), F.lit("="))).alias("meta"),
-        *[c for c in ("date_ts", "partition_date") if c in lines.columns],
+        *[c for c in ("date_ts",) if c in lines.columns],
+        (date_of_key("date_ts") if "date_ts" in lines.columns else F.to_date(event_ts)).alias("partition_date"),
     )
 
 
@@ -293,6 +300,7 @@ def normalized_carrier_events(*feeds: DataFrame) -> DataFrame:
             F.coalesce("delivered_at", "shipped_at").alias("event_ts"),
             *[F.get(place, F.lit(i)).alias(f"location_{n}") for i, n in enumerate(("city", "region", "country"))],
             "date_ts",
+            date_of_key("date_ts").alias("partition_date"),
         )
 
     united = one(feeds[0])
@@ -339,7 +347,7 @@ def fraud_scored(pos_transactions: DataFrame, fraud_signals: DataFrame) -> DataF
 
 
 def warehouse_kpi_snapshot(
-    movements: DataFrame, picks: DataFrame, key: str = "warehouse_sk"
+    movements: DataFrame, picks: DataFrame, key: str = "warehouse_id"
 ) -> DataFrame:
     """Hourly stock flow and picking speed. The backlog is what came in and was not shipped
     so far; the running sum sees one row per warehouse and hour."""
@@ -366,14 +374,15 @@ def warehouse_kpi_snapshot(
         rate.alias("pick_rate_uph"),
         F.sum(F.col("units_in") - F.col("units_shipped")).over(upto).alias("backlog_units"),
         F.try_divide("_ms", "_picks").cast("bigint").alias("avg_pick_ms"),
+        day_key(F.col("snapshot_ts")).alias("date_ts"),
         F.to_date("snapshot_ts").alias("partition_date"),
     )
 
 
 def agg_hourly_warehouse_kpi(snapshot: DataFrame, dim_warehouse: DataFrame) -> DataFrame:
-    known = dim_warehouse.select("warehouse_sk", "region")
-    return snapshot.join(known, "warehouse_sk").select(
-        "warehouse_sk", "region", "units_in", "units_picked", "units_shipped", "pick_rate_uph", "backlog_units",
+    known = dim_warehouse.select("warehouse_id", "warehouse_sk")
+    return snapshot.join(known, "warehouse_id").select(
+        "warehouse_sk", "units_in", "units_picked", "units_shipped", "pick_rate_uph", "backlog_units",
         (F.col("avg_pick_ms").cast("decimal(14,4)") / 1000).cast("decimal(8,2)").alias("avg_pick_seconds"),
         F.date_format("snapshot_ts", "yyyyMMddHH").alias("snapshot_hour"),
     )
@@ -382,18 +391,36 @@ def agg_hourly_warehouse_kpi(snapshot: DataFrame, dim_warehouse: DataFrame) -> D
 def fact_inventory_snapshot(movements: DataFrame) -> DataFrame:
     """End-of-day stock per article and warehouse, one row per day with a movement.
 
-    Receipts count up, everything else down. The running sum sees one row per day.
+    Receipts count up, everything else down. Allocated is what was picked and not yet
+    shipped, in transit what was shipped that day; the average cost is that of all
+    receipts so far. The running sums see one row per day.
     """
-    signed = F.when(F.col("movement_type") == "RECEIPT", F.col("quantity")).otherwise(-F.col("quantity"))
+    kind, quantity = F.col("movement_type"), F.col("quantity")
+    of = lambda name, c=quantity: F.sum(F.when(kind == name, c).otherwise(0))
+    cost = F.col("unit_cost") if "unit_cost" in movements.columns else F.lit(None).cast("decimal(12,4)")
     daily = movements.groupBy("sku", "warehouse_sk", F.to_date("movement_ts").alias("snapshot_date")).agg(
-        F.sum(signed).alias("_delta"), F.max("movement_ts").alias("last_movement_ts")
+        F.sum(F.when(kind == "RECEIPT", quantity).otherwise(-quantity)).alias("_delta"),
+        of("RECEIPT").alias("_received"),
+        F.sum(F.when(kind == "RECEIPT", quantity * cost)).alias("_paid"),
+        of("PICK").alias("_picked"),
+        of("SHIP").alias("_shipped"),
+        F.max("movement_ts").alias("last_movement_ts"),
     )
     upto = (
         Window.partitionBy("sku", "warehouse_sk")
         .orderBy("snapshot_date")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return daily.withColumn("on_hand_units", F.sum("_delta").over(upto)).drop("_delta")
+    so_far = lambda c: F.sum(c).over(upto)
+    stock = daily.select(
+        "sku", "warehouse_sk",
+        so_far("_delta").alias("on_hand_units"),
+        F.greatest(so_far("_picked") - so_far("_shipped"), F.lit(0).cast("bigint")).alias("allocated_units"),
+        F.col("_shipped").alias("in_transit_units"),
+        _ratio(so_far("_paid"), so_far("_received"), "decimal(12,4)").alias("avg_cost"),
+        "last_movement_ts", "snapshot_date",
+    )
+    return stock.withColumn("available_units", F.col("on_hand_units") - F.col("allocated_units"))
 
 
 # ---------------------------------------------------------------- sales aggregates
@@ -515,20 +542,20 @@ def agg_daily_carrier_otd(fact_shipments: DataFrame) -> DataFrame:
 
 
 def agg_marketing_attribution_cube(sales: DataFrame) -> DataFrame:
-    """Every combination of channel, campaign and region, with its grouping bits."""
-    grain = ["channel", "campaign_sk", "region"]
-    folded = sales.groupBy(*grain).agg(
-        F.sum("revenue").alias("revenue"), F.sum("units").alias("units"), F.sum("cost").alias("cost"),
-        F.count(F.lit(1)).alias("rows"),
-    )
-    cube = with_blank_row(folded, "rows").cube(*grain).agg(
+    """Every combination of channel, campaign and region within a period, with its grouping
+    bits (1 = summed over, channel highest)."""
+    period = F.col("period_date")
+    grain = [F.col(c) for c in ("channel", "campaign_sk", "region")]
+    folded = sales.groupBy(period, *grain).agg(
+        F.sum("revenue").alias("revenue"), F.sum("units").alias("units"), F.sum("cost").alias("cost")
+    )
+    sets = [[period, *some] for n in range(4) for some in combinations(grain, n)]
+    cube = folded.groupingSets(sets, period, *grain).agg(
         F.sum("revenue").cast("decimal(16,2)").alias("attributed_revenue"),
         F.sum("units").alias("attributed_units"),
         F.sum("cost").cast("decimal(14,2)").alias("cost"),
         F.grouping_id().cast("bigint").alias("grouping_id"),
-        F.sum("rows").alias("_rows"),
     )
-    cube = cube.filter((F.col("_rows") > 0) | (F.col("grouping_id") == 7)).drop("_rows")
     return cube.withColumn("roas", _ratio(F.col("attributed_revenue"), F.col("cost"), "decimal(8,4)"))
 
 
@@ -548,7 +575,7 @@ def agg_returns_by_reason_monthly(fact_returns: DataFrame, fact_sales: DataFrame
     )
 
 
-def sales_cube(fact_sales: DataFrame) -> DataFrame:
+def sales_cube(fact_sales: DataFrame, as_of: str | date | None = None) -> DataFrame:
     """Dashboard cube over (country, month, product), (country, month), (country) and the total.
 
     Only the three upper levels go through grouping sets, over rows folded to one per
@@ -577,6 +604,7 @@ def sales_cube(fact_sales: DataFrame) -> DataFrame:
         F.col("dim_level").cast("bigint").alias("dim_level"), key.alias("cube_key"),
         "country", "month_key", "product_sk", "orders",
         F.col("revenue").cast("decimal(18,2)").alias("revenue"), "units",
+        (F.lit(as_of).cast("date") if as_of else F.current_date()).alias("as_of_date"),
     )
 
 
@@ -603,24 +631,29 @@ def change_history(
     """Slowly changing history: a row per change, valid in ``[eff_from, eff_to)``.
 
     A state equal to the one before it is no change. ``tie`` orders states of one time.
+    ``history_id`` is a hash of key and start.
     """
     order = [changed, tie] if tie else [changed]
     hashed = states.select(key, *order, *attributes).withColumn("_hash", attribute_hash(attributes))
     slot = time_slot(changed, grain)
     seen = previous_row(hashed, [key], order, ["_hash"], "_before", slot)
-    changes = seen.filter(~F.col("_before._hash").eqNullSafe(F.col("_hash"))).drop("_before", "_hash")
+    reason = F.when(F.col("_before").isNull(), "initial").otherwise("change")
+    changes = seen.filter(~F.col("_before._hash").eqNullSafe(F.col("_hash")))
+    changes = changes.withColumn("change_reason", reason).drop("_before", "_hash")
     chained = next_row(changes, [key], order, [changed], "_after", slot)
     return chained.select(
+        F.xxhash64(key, *order).alias("history_id"),
         key,
         *attributes,
         F.col(changed).alias("eff_from"),
         F.col(f"_after.{changed}").alias("eff_to"),
         F.col(f"_after.{changed}").isNull().alias("is_current"),
+        "change_reason",
     )
 
 
-def loyalty_points_ledger(events: DataFrame) -> DataFrame:
-    """Every member's points movements with the balance after each."""
+def loyalty_points_ledger(events: DataFrame, valid_days: int = 365) -> DataFrame:
+    """Every member's points movements with the balance after each. Earned points expire."""
     delta = F.when(F.col("event_type") == "REDEEM", -F.col("points")).otherwise(F.col("points"))
     entries = events.select(
         F.col("event_id").alias("entry_id"),
@@ -629,7 +662,9 @@ def loyalty_points_ledger(events: DataFrame) -> DataFrame:
         "event_ts",
         "event_type",
         F.col("tx_id").alias("reference_id"),
-    )
+        F.when(F.col("event_type") != "REDEEM", F.timestamp_add("DAY", F.lit(valid_days), F.col("event_ts")))
+        .alias("expiry_ts"),
+    )
     return running_total(
         entries, ["member_id"], ["event_ts", "entry_id"], "points_delta", "running_balance",
         time_slot("event_ts"),
@@ -643,19 +678,23 @@ def sessionised_clicks(
     """Clicks with a session id: a session ends after a pause of more than ``gap_minutes``."""
     gap = gap_minutes * 60 * 1_000_000
     numbered = group_ordinal(clicks, [user], ts, event_id, gap, "_session", time_slot(ts))
-    return numbered.withColumn("session_id", F.concat_ws("-", user, "_session")).drop("_session")
+    named = {"session_id": F.concat_ws("-", user, "_session"), "event_date": F.to_date(ts)}
+    return numbered.withColumns(named).drop("_session")
 
 
 def session_state_snapshot(sessions: DataFrame) -> DataFrame:
-    """Latest state of every session."""
+    """Latest state of every session; platform and country where the clicks carry them."""
     latest = lambda c: F.max_by(c, F.struct("event_ts", "event_id"))
+    bought = F.col("event_type") == "purchase"
+    carried = [c for c in ("platform", "geo_country") if c in sessions.columns]
     return sessions.groupBy("session_id").agg(
-        latest("user_sk").alias("user_sk"),
+        latest(F.col("user_sk").cast("string")).alias("user_id"),
         F.min("event_ts").alias("started_ts"),
         F.max("event_ts").alias("last_event_ts"),
-        F.sum(F.when(F.col("event_type") == "purchase", F.col("amount")).otherwise(0)).alias("cart_value"),
-        F.count_if(F.col("event_type") == "purchase").alias("cart_items"),
+        F.sum(F.when(bought, F.col("amount")).otherwise(0)).cast("decimal(12,2)").alias("cart_value"),
+        F.count_if(bought).alias("cart_items"),
         latest("screen").alias("current_screen"),
+        *[latest(c).alias(c) for c in carried],
     )
 
 
@@ -663,9 +702,10 @@ def session_state_snapshot(sessions: DataFrame) -> DataFrame:
 
 
 def supplier_invoice_lines(invoices: DataFrame) -> DataFrame:
-    """One row per line of a nested supplier invoice."""
+    """One row per line of a nested supplier invoice; the line's id is a hash of its place."""
     line = F.posexplode("line_items").alias("line_no", "line")
     return invoices.select("invoice_no", "supplier_sk", "currency", "received_ts", line).select(
+        F.xxhash64("invoice_no", "line_no").alias("invoice_line_id"),
         "invoice_no",
         (F.col("line_no") + 1).cast("bigint").alias("line_no"),
         "supplier_sk",
@@ -691,11 +731,13 @@ def tracking_history(scans: DataFrame, per_row: int = 10_000) -> DataFrame:
 
 
 def email_clicks(events: DataFrame, per_row: int = 10_000) -> DataFrame:
-    """The clicks of every send and day in time order, with the number of all its events.
-    More than ``per_row`` clicks continue in further parts."""
+    """The clicks of every send and day in time order, with its last event and the number of
+    all its events. More than ``per_row`` clicks continue in further parts."""
     sends = ["send_id", "campaign_sk", "user_sk", "event_date"]
     dated = events.withColumn("event_date", F.to_date("event_ts"))
-    counted = dated.groupBy(*sends).agg(F.count(F.lit(1)).alias("events"))
+    last = F.max(F.struct("event_ts", "link_url", "event_type")).alias("last")
+    counted = dated.groupBy(*sends).agg(F.count(F.lit(1)).alias("events"), last)
+    counted = counted.select(*sends, "events", "last.*")
     clicked = dated.filter(F.col("event_type") == "click").select(
         *sends, F.col("event_ts").alias("ts"), F.col("link_url").alias("url")
     )

@@ -85,7 +85,8 @@ _INPUTS = {
     "movements": """
         SELECT 'P-' || l_partkey AS sku, l_suppkey % 10 AS warehouse_sk, CAST(l_quantity AS BIGINT) AS quantity,
                CASE WHEN l_linenumber <= 2 THEN 'RECEIPT' WHEN l_linenumber = 3 THEN 'SHIP' ELSE 'PICK' END AS kind,
-               l_shipdate + (l_orderkey % 24) * INTERVAL 1 HOUR AS ts, l_partkey % 5000 + 1000 AS ms
+               l_shipdate + (l_orderkey % 24) * INTERVAL 1 HOUR AS ts, l_partkey % 5000 + 1000 AS ms,
+               l_partkey % 90 + l_linenumber AS cost
         FROM lineitem""",
     "keyed_orders": """
         SELECT o_orderkey, o_orderdate,
@@ -150,10 +151,12 @@ def _history(key: str, attributes: str, source: str, order: str, ts: str, show)
     changed = " OR ".join(f"{a} IS DISTINCT FROM lag({a}) OVER w" for a in names)
     return f"""
         WITH states AS ({source}),
-        flagged AS (SELECT *, {changed} OR row_number() OVER w = 1 AS changed FROM states
+        flagged AS (SELECT *, row_number() OVER w = 1 AS first_state, {changed} OR row_number() OVER w = 1 AS changed
+                    FROM states
                     WINDOW w AS (PARTITION BY {key} ORDER BY {order}))
         SELECT {key}, {attributes}, {show(ts)} AS eff_from,
-               {show(f'lead({ts}) OVER w')} AS eff_to, lead({ts}) OVER w IS NULL AS is_current
+               {show(f'lead({ts}) OVER w')} AS eff_to, lead({ts}) OVER w IS NULL AS is_current,
+               CASE WHEN first_state THEN 'initial' ELSE 'change' END AS change_reason
         FROM flagged WHERE changed WINDOW w AS (PARTITION BY {key} ORDER BY {order})"""
 
 
@@ -338,7 +341,8 @@ ORACLE: dict[str, str] = {
         SELECT {_ts("date_trunc('second', ts)")} AS event_ts, 'MBR' || user_id AS member_id,
                CASE WHEN event_type = 'click' THEN 'REDEEM' ELSE 'EARN' END AS event_type,
                CAST(floor(value) AS BIGINT) AS points, 'STORE' || (event_id % 10) AS store_id,
-               'TXN' || event_id AS tx_id, '{{"channel":"' || event_type || '","tier":"gold"}}' AS meta
+               'TXN' || event_id AS tx_id, '{{"channel":"' || event_type || '","tier":"gold"}}' AS meta,
+               {_day('ts')} AS partition_date
         FROM events""",
     "snapshot_feed": f"""
         SELECT event_id, {_ts("date_trunc('millisecond', ts)")} AS last_updated_ts FROM events""",
@@ -393,7 +397,10 @@ ORACLE: dict[str, str] = {
             FROM events GROUP BY 1, 2, 3),
         scored AS (SELECT *, least(1.0, count(*) OVER (PARTITION BY user_id, seen_at) / 8.0) AS score FROM single)
         SELECT CAST(user_id AS VARCHAR) AS user_id, {_ts('seen_at')} AS event_ts, page_url,
-               CAST(user_id AS VARCHAR) AS session_id, ip, round({_dbl('score')}, 3) AS bot_score
+               CAST(user_id AS VARCHAR) AS session_id, ip, {_pick(SALE_COUNTRIES, 'user_id', 8)} AS country,
+               {_pick(SALE_COUNTRIES, 'user_id', 8)} AS country_partition, 'phone' AS device_type,
+               'https://ref/' AS referrer_url, round({_dbl('score')}, 3) AS bot_score,
+               strftime(seen_at, '%Y%m%d') AS date_ts, {_day('seen_at')} AS partition_date
         FROM scored WHERE score < 0.5""",
     "carrier_events": f"""
         SELECT 'T-' || l_orderkey || '-' || l_linenumber AS tracking_no, {_pick(CARRIERS, 'l_suppkey', 4)} AS carrier,
@@ -402,12 +409,12 @@ ORACLE: dict[str, str] = {
                {_ts("CASE WHEN l_linestatus <> 'O' THEN l_shipdate + l_linenumber * INTERVAL 12 HOUR ELSE l_shipdate END")}
                    AS event_ts,
                'City' || (l_suppkey % 7) AS location_city, 'Region' AS location_region, 'US' AS location_country,
-               strftime(l_shipdate, '%Y%m%d') AS date_ts
+               strftime(l_shipdate, '%Y%m%d') AS date_ts, {_day('l_shipdate')} AS partition_date
         FROM lineitem""",
     "cdc_merge": f"""
         SELECT event_id // 3 AS return_id, 'INV-' || (event_id // 3) AS invoice_no, user_id AS customer_sk,
                {_ts('ts')} AS return_ts, {_dbl('CAST(value AS DECIMAL(12,2))')} AS refund_amount,
-               event_type AS status, {_day('ts')} AS snapshot_date, event_type = 'error' AS is_deleted
+               {_pick(REASONS, 'user_id', 5)} AS reason_code, event_type AS status, {_day('ts')} AS snapshot_date, event_type = 'error' AS is_deleted
         FROM events QUALIFY row_number() OVER (PARTITION BY event_id // 3 ORDER BY ts DESC) = 1""",
     "fraud_scored": _with("pos", f""", per_customer AS (
             SELECT CAST(user_id AS VARCHAR) AS customer_id, max(event_id % 1000) / 1000.0 AS score,
@@ -420,25 +427,35 @@ ORACLE: dict[str, str] = {
                {_day('txn_ts')} AS score_date
         FROM pos LEFT JOIN per_customer ON pos.customer_id = per_customer.customer_id"""),
     "warehouse_kpi": _with("movements kpi", f"""
-        SELECT warehouse_sk, {_ts('hour')} AS snapshot_ts, {_int('units_in')} AS units_in,
+        SELECT 'W-' || warehouse_sk AS warehouse_id, {_ts('hour')} AS snapshot_ts, {_int('units_in')} AS units_in,
                {_int('units_picked')} AS units_picked, {_int('units_shipped')} AS units_shipped,
                {_ratio('units_picked * 3600000', 'ms', 2)} AS pick_rate_uph, {_int('backlog')} AS backlog_units,
-               {_int('ms')} // picks AS avg_pick_ms, {_day('hour')} AS partition_date
+               {_int('ms')} // picks AS avg_pick_ms, strftime(hour, '%Y%m%d') AS date_ts,
+               {_day('hour')} AS partition_date
         FROM kpi"""),
     "hourly_warehouse_kpi": _with("movements kpi store", f"""
-        SELECT warehouse_sk, region, {_int('units_in')} AS units_in, {_int('units_picked')} AS units_picked,
+        SELECT warehouse_sk, {_int('units_in')} AS units_in, {_int('units_picked')} AS units_picked,
                {_int('units_shipped')} AS units_shipped, {_ratio('units_picked * 3600000', 'ms', 2)} AS pick_rate_uph,
                {_int('backlog')} AS backlog_units, {_ratio(f"{_int('ms')} // picks", '1000', 2)} AS avg_pick_seconds,
                strftime(hour, '%Y%m%d%H') AS snapshot_hour
         FROM kpi JOIN store ON store_sk = warehouse_sk"""),
     "inventory_snapshot": _with("movements", f""", daily AS (
             SELECT sku, warehouse_sk, CAST(ts AS DATE) AS day, max(ts) AS last_ts,
-                   sum(CASE WHEN kind = 'RECEIPT' THEN quantity ELSE -quantity END) AS delta
-            FROM movements GROUP BY 1, 2, 3)
+                   sum(CASE WHEN kind = 'RECEIPT' THEN quantity ELSE -quantity END) AS delta,
+                   sum(CASE WHEN kind = 'RECEIPT' THEN quantity ELSE 0 END) AS received,
+                   sum(CASE WHEN kind = 'RECEIPT' THEN quantity * cost END) AS paid,
+                   sum(CASE WHEN kind = 'PICK' THEN quantity ELSE 0 END) AS picked,
+                   sum(CASE WHEN kind = 'SHIP' THEN quantity ELSE 0 END) AS shipped
+            FROM movements GROUP BY 1, 2, 3),
+        upto AS (
+            SELECT *, sum(delta) OVER w AS on_hand, sum(received) OVER w AS all_received, sum(paid) OVER w AS all_paid,
+                   greatest(sum(picked) OVER w - sum(shipped) OVER w, 0) AS allocated
+            FROM daily WINDOW w AS (PARTITION BY sku, warehouse_sk ORDER BY day ROWS UNBOUNDED PRECEDING))
         SELECT sku, warehouse_sk, {_day('day')} AS snapshot_date, {_ts('last_ts')} AS last_movement_ts,
-               {_int('sum(delta) OVER (PARTITION BY sku, warehouse_sk ORDER BY day ROWS UNBOUNDED PRECEDING)')}
-                   AS on_hand_units
-        FROM daily"""),
+               {_int('on_hand')} AS on_hand_units, {_int('allocated')} AS allocated_units,
+               {_int('shipped')} AS in_transit_units, {_int('on_hand - allocated')} AS available_units,
+               {_ratio('all_paid', 'all_received', 4)} AS avg_cost
+        FROM upto"""),
     "daily_sales_by_store": _with("pos", f"""
         SELECT store_sk, {_day('txn_ts')} AS sale_date, {_dbl('sum(gross)')} AS gross_revenue,
                {_dbl('sum(gross - discount)')} AS net_revenue, {_int('sum(line_count)')} AS units_sold,
@@ -497,15 +514,16 @@ ORACLE: dict[str, str] = {
         FROM fact_shipments GROUP BY carrier, shipped_ts"""),
     "attribution_cube": f"""
         WITH sales AS (
-            SELECT {_pick(CHANNELS, 'o_orderkey', 3)} AS channel, o_custkey % 4 AS campaign_sk,
+            SELECT date_trunc('month', o_orderdate) AS period, {_pick(CHANNELS, 'o_orderkey', 3)} AS channel, o_custkey % 4 AS campaign_sk,
                    'R' || n_regionkey AS region, CAST(o_totalprice AS DECIMAL(14,2)) AS revenue,
                    o_orderkey % 9 AS units, o_orderkey % 1000 * 100 AS cost
             FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)
-        SELECT channel, campaign_sk, region, {_dbl('sum(revenue)')} AS attributed_revenue,
+        SELECT {_day('period')} AS period_date, channel, campaign_sk, region,
+               {_dbl('sum(revenue)')} AS attributed_revenue,
                {_int('sum(units)')} AS attributed_units, {_dbl('sum(cost)')} AS cost,
                {_int('GROUPING(channel, campaign_sk, region)')} AS grouping_id,
                {_ratio('sum(revenue)', 'sum(cost)', 4)} AS roas
-        FROM sales GROUP BY CUBE (channel, campaign_sk, region)""",
+        FROM sales GROUP BY period, CUBE (channel, campaign_sk, region)""",
     "returns_by_reason": _with("fact_returns fact_sales", f""", sold AS (
             SELECT invoice_no, min(sale_date) AS sale_date FROM fact_sales GROUP BY 1)
         SELECT reason_code, {_day("date_trunc('month', return_date)")} AS month_start, count(*) AS return_count,
@@ -519,7 +537,7 @@ ORACLE: dict[str, str] = {
                     ELSE 0 END AS BIGINT) AS dim_level,
                concat_ws('|', country, CAST(month_key AS VARCHAR), CAST(product_sk AS VARCHAR)) AS cube_key,
                country, month_key, product_sk, count(DISTINCT invoice_no) AS orders,
-               {_dbl('sum(line_total)')} AS revenue, {_int('sum(quantity)')} AS units
+               {_dbl('sum(line_total)')} AS revenue, {_int('sum(quantity)')} AS units, '2001-08-02' AS as_of_date
         FROM dated GROUP BY GROUPING SETS ((country, month_key, product_sk), (country, month_key), (country), ())"""),
     "top_countries": _with("fact_sales", f""", daily AS (
             SELECT sale_date, country, count(DISTINCT invoice_no) AS orders, sum(line_total) AS revenue
@@ -541,12 +559,13 @@ ORACLE: dict[str, str] = {
         "seen_at", "seen_at", _day,
     ),
     "sessionise": _with("sessions", f"""
-        SELECT event_id, user_sk, {_ts('event_ts')} AS event_ts, event_type, screen, amount, session_id
+        SELECT event_id, user_sk, {_ts('event_ts')} AS event_ts, event_type, screen, amount, session_id,
+               {_day('event_ts')} AS event_date
         FROM sessions"""),
     "session_state": _with("sessions", f"""
-        SELECT session_id, arg_max(user_sk, event_ts) AS user_sk, {_ts('min(event_ts)')} AS started_ts,
+        SELECT session_id, CAST(arg_max(user_sk, event_ts) AS VARCHAR) AS user_id, {_ts('min(event_ts)')} AS started_ts,
                {_ts('max(event_ts)')} AS last_event_ts,
-               {_int("sum(CASE WHEN event_type = 'purchase' THEN amount ELSE 0 END)")} AS cart_value,
+               {_dbl("sum(CASE WHEN event_type = 'purchase' THEN amount ELSE 0 END)")} AS cart_value,
                count(*) FILTER (event_type = 'purchase') AS cart_items,
                arg_max(screen, event_ts) AS current_screen
         FROM sessions GROUP BY session_id"""),
@@ -557,6 +576,7 @@ ORACLE: dict[str, str] = {
             FROM events)
         SELECT event_id AS entry_id, 'M' || user_id AS member_id, {_int('delta')} AS points_delta,
                {_ts('ts')} AS event_ts, kind AS event_type, 'TX' || event_id AS reference_id,
+               {_ts("CASE WHEN kind = 'EARN' THEN ts + INTERVAL 365 DAY END")} AS expiry_ts,
                {_int('sum(delta) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)')}
                    AS running_balance
         FROM entries""",
@@ -584,7 +604,9 @@ ORACLE: dict[str, str] = {
         FROM numbered GROUP BY shipment_id, (n - 1) // 3""",
     "email_clicks": """
         WITH sends AS (
-            SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS events FROM events GROUP BY 1, 2),
+            SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS events, max(ts) AS last_ts,
+                   arg_max(event_type, ts) AS last_type, '/l/' || arg_max(event_id, ts) AS last_link
+            FROM events GROUP BY 1, 2),
         clicks AS (
             SELECT user_id, CAST(ts AS DATE) AS day, event_id,
                    row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS n
@@ -593,7 +615,8 @@ ORACLE: dict[str, str] = {
             SELECT user_id, day, (n - 1) // 2 AS part, string_agg('/l/' || event_id, ',' ORDER BY n) AS clicks
             FROM clicks GROUP BY 1, 2, 3)
         SELECT 'SEND-' || s.user_id AS send_id, s.user_id % 7 AS campaign_sk, s.user_id AS user_sk,
-               CAST(s.day AS VARCHAR) AS event_date, events, coalesce(part, 0) AS part, coalesce(clicks, '') AS clicks
+               CAST(s.day AS VARCHAR) AS event_date, events, strftime(last_ts, '%Y-%m-%d %H:%M:%S.%f') AS event_ts,
+               last_type AS event_type, last_link AS link_url, coalesce(part, 0) AS part, coalesce(clicks, '') AS clicks
         FROM sends s LEFT JOIN lists l ON s.user_id = l.user_id AND s.day = l.day""",
     "cleansed_customers": f"""
         SELECT CAST(o_custkey AS VARCHAR) AS customer_id, 'mail' || o_orderkey || '@example.com' AS email_norm,

@@ -525,7 +525,7 @@ def returns_by_reason(t):
 
 @query
 def sales_cube(t):
-    return plain(derived.sales_cube(t["fact_sales"]))
+    return plain(derived.sales_cube(t["fact_sales"], SALES_TODAY))
 
 
 @query
@@ -537,14 +537,18 @@ def top_countries(t):
 def address_history(t):
     attributes = ["address_line1", "address_city", "address_country"]
     return plain(
-        derived.change_history(t["customer_addresses"], "customer_sk", attributes, "changed_ts", "order_no")
+        derived.change_history(t["customer_addresses"], "customer_sk", attributes, "changed_ts", "order_no").drop(
+            "history_id"
+        )
     )
 
 
 @query
 def supplier_terms_history(t):
     return plain(
-        derived.change_history(t["supplier_terms_changes"], "supplier_sk", ["payment_terms_days"], "changed_on")
+        derived.change_history(
+            t["supplier_terms_changes"], "supplier_sk", ["payment_terms_days"], "changed_on"
+        ).drop("history_id")
     )
 
 
@@ -565,7 +569,7 @@ def points_ledger(t):
 
 @query
 def supplier_invoice_lines(t):
-    return plain(derived.supplier_invoice_lines(t["invoice_documents"]))
+    return plain(derived.supplier_invoice_lines(t["invoice_documents"]).drop("invoice_line_id"))
 
 
 def _joined(entries: str, show: Callable[[Column], Column]) -> Column:

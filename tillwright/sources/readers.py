@@ -47,7 +47,8 @@ def read_csv(
         .option("emptyValue", null_value)
     )
     if schema is not None:
-        reader = reader.schema(_as_struct(schema))
+        # with a header, a column in another place than the schema says is an error
+        reader = reader.schema(_as_struct(schema)).option("enforceSchema", str(not header).lower())
     return _load(spark, lambda: reader.csv(path))
 
 
