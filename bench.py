@@ -48,6 +48,7 @@ def main() -> None:
         build(name)(spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
         print(name, seconds[name], file=sys.stderr, flush=True)
+    scale = sf_dir.rstrip("/").rsplit("sf", 1)[-1]
     print(
         json.dumps(
             {
@@ -55,7 +56,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
-                "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1],
+                "sf": float(scale) if scale.replace(".", "", 1).isdigit() else sf_dir,
             }
         )
     )
