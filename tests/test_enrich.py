@@ -14,7 +14,7 @@ def one(make, fn, value):
     [
         ("United States", "US"), ("usa", "US"), ("united kingdom", "GB"), ("FR", "FR"), ("germany", "DE"),
         ("india", "XX"), ("in", "IN"), (None, None), ("\tusa\n", "US"), ("zz", "ZZ"), ("", "XX"), (" ", "XX"),
-        (" Italia　", "IT"), ("U.S.A.", "US"), ("\U0001f600", "\U0001f600"),
+        ("\u00a0Italia\u3000", "IT"), ("U.S.A.", "US"), ("\U0001f600", "\U0001f600"),
     ],
 )
 def test_country_code(make, value, code):

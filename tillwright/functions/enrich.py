@@ -10,8 +10,8 @@ from tillwright.operators.joins import lookup_with_default
 # What counts as white space when trimming: ASCII blanks, the Unicode space separators,
 # line and paragraph separators, and the byte order mark.
 WHITE_SPACE = (
-    "\t\n\u000b\f\r              "
-    "    　﻿"
+    "\t\n\u000b\f\r \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000\ufeff"
 )
 
 # Spellings of the countries that are recognised by name.

@@ -53,7 +53,7 @@ def audit_row(
     bound: str | None,
     tables_loaded: int,
     run_id: str,
-    job: str = "bulk_load",
+    job: str = "table_load",
     completed_at: datetime | None = None,
 ) -> DataFrame:
     """The one-row record of a finished load; write it with ``write_table`` to replace the last one."""
