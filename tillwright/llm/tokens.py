@@ -29,6 +29,8 @@ _ODD[ord("<")] = True
 _WHOLE = re.compile(r"<\||[^\S \t\n\r\x0b\x0c]")
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else 32 if c in b"\t\n\r\x0b\x0c" else c for c in range(256))
 _MARKS = b",.;:!?"
+# a space and letters of ASCII and Latin-1, in UTF-8
+_LETTERS = re.compile(rb" (?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 
 
 class Encoder:
@@ -40,7 +42,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.lower = lower
-        self.plain = re.compile(rb" [A-Za-z]+").fullmatch
+        self.plain = _LETTERS.fullmatch
         self.edge = np.zeros(1 + max(self.tokenizer.get_vocab().values()), bool)
         marked = (lambda t: t.endswith("</w>")) if lower else (lambda t: t.startswith("\u0120"))
         self.edge[[i for t, i in self.tokenizer.get_vocab().items() if marked(t)]] = True
@@ -50,25 +52,33 @@ class Encoder:
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
-    def _look(self, piece: bytes) -> bytes | None:
-        found = self.young.get(piece)
-        if found is None and (found := self.old.get(piece)) is not None:
-            self.young[piece] = found
+    def _known(self, pieces: list[bytes]) -> list[bytes | None]:
+        """What is known of each piece; what only the older half of the memory knows moves to the younger."""
+        found = list(map(self.young.get, pieces))
+        if self.old:
+            for k in [k for k, x in enumerate(found) if x is None]:
+                if (x := self.old.get(pieces[k])) is not None:
+                    found[k] = self.young[pieces[k]] = x
         return found
 
     def _learn(self, pieces: list[bytes]) -> None:
         """Encode pieces not known yet. A letter run and one mark after it are never one token."""
-        parts = {}
+        plain = list(filter(self.plain, pieces))
+        rest, parts = [], {}
         for piece in pieces:
-            word = piece[:-1]
-            if piece[-1:] in _MARKS and word.strip().isalpha() and word.isascii():
-                parts[piece] = (word, piece[-1:])
-        new = dict.fromkeys(p for p in pieces if p not in parts)
-        new.update(dict.fromkeys(x for pair in parts.values() for x in pair if self._look(x) is None))
-        plain = [p for p in new if self.plain(p)]
+            if not self.plain(piece):
+                word = piece[:-1]
+                if piece[-1:] in _MARKS and self.plain(word):
+                    parts[piece] = (word, piece[-1:])
+                else:
+                    rest.append(piece)
+        inner = list(dict.fromkeys(x for pair in parts.values() for x in pair))
+        inner = set(x for x, known in zip(inner, self._known(inner)) if known is None)
+        for x in inner.difference(plain, rest):
+            (plain if self.plain(x) else rest).append(x)
         for k in range(0, len(plain), 500):
             self._learn_plain(plain[k : k + 500])
-        rest = [p for p in new if p not in self.young]
+        rest += [p for p in plain if p not in self.young]
         for piece, out in zip(rest, self.tokenizer.encode_batch_fast([p.decode() for p in rest], add_special_tokens=False)):
             self.young[piece] = np.array(out.ids, dtype="<u4").tobytes()
         for piece, (word, mark) in parts.items():
@@ -98,7 +108,7 @@ class Encoder:
         chunks = pa.BinaryArray.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
         coded = chunks.dictionary_encode()
         words = coded.dictionary.to_pylist()
-        known = [self._look(w) for w in words]
+        known = self._known(words)
         if missing := [w for w, k in zip(words, known) if k is None]:
             self._learn(missing)
             known = [self.young[w] if k is None else k for w, k in zip(words, known)]
