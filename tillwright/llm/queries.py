@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import mixing, packing, sharding, token_orc
+from tillwright.llm import langid, mixing, packing, sharding, simhash, token_orc, warc
 from tillwright.llm.common import shared_path, table
 
 SHARDS = [f"shard-{k:03d}" for k in range(128)]
@@ -31,12 +31,29 @@ def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces, docs.count())
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs, langid.learn(docs), ["doc_id", "text"])
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    return warc.resolved(warc.records(spark, path))
+
+
 def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id")
     return sharding.place(docs, "doc_id", SHARDS)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_orc, op3_mix, op4_pack, op10_shard)
+    f.__name__: f for f in (op2_token_orc, op3_mix, op4_pack, op5_simhash, op7_language, op9_warc, op10_shard)
 }
 ORACLE: dict[str, str] = {}
