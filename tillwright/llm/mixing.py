@@ -15,7 +15,7 @@ order, shards and places come from MD5 sums of a seed with the row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tillwright.llm.common import WORD, row_key, stored
@@ -27,7 +27,11 @@ MOST = 2
 WEIGHTS = (5, 2, 1)
 SEED = "mix"
 
-_ALL = Window.orderBy("source").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+def _all() -> WindowSpec:
+    """All sources: one small row for each."""
+    return Window.orderBy("source").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
 
 
 def number(digest: Column) -> Column:
@@ -49,9 +53,9 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, whole: float =
     filling = Window.orderBy((F.col("source_size") / F.col("weight")), "place")
     capped = F.coalesce(F.sum(F.col("source_size") * most).over(filling.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     rest = F.sum("weight").over(filling.rowsBetween(0, Window.unboundedFollowing))
-    levels = weighed.withColumn("level", (F.sum("source_size").over(_ALL) * whole - capped) / rest).withColumn("at", F.row_number().over(filling))
+    levels = weighed.withColumn("level", (F.sum("source_size").over(_all()) * whole - capped) / rest).withColumn("at", F.row_number().over(filling))
     holds = F.col("level") * F.col("weight") <= F.col("source_size") * most
-    level = F.min_by("level", F.when(holds, F.col("at"))).over(_ALL)
+    level = F.min_by("level", F.when(holds, F.col("at"))).over(_all())
     cap = (F.col("source_size") * most).cast("double")
     return levels.select("source", "source_size", F.least(cap, F.coalesce(level * F.col("weight"), cap)).alias("target"))
 
@@ -86,7 +90,7 @@ def apportion(parties: DataFrame, within: list[str], party: str, votes: str, sea
 def quotas(sizes: DataFrame, block: int = BLOCK, shard_words: int = SHARD_WORDS, **options) -> tuple[DataFrame, DataFrame]:
     """Sources with target, quota and number of shards; shards (source, shard) with words and quota."""
     aims = targets(sizes, **options)
-    seats = F.round(F.sum("target").over(_ALL) / block).cast("long")
+    seats = F.round(F.sum("target").over(_all()) / block).cast("long")
     sources = apportion(aims.withColumns({"all": F.lit(0), "seats": seats}), ["all"], "source", "target", "seats").drop("all", "seats")
     sources = stored(sources.withColumn("shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words))), "mix-sources")
     cells = dealt(sizes, sources).groupBy("source", "shard").agg(F.sum("size").alias("words"), F.first("quota").alias("source_quota"))
