@@ -8,12 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import langid, mixing, packing, sharding, simhash, token_orc, warc
+from tillwright.llm import ball_tree, langid, mixing, multi_index, packing, sharding, simhash, token_orc, warc
 from tillwright.llm.common import shared_path, table
 
 SHARDS = [f"shard-{k:03d}" for k in range(128)]
 
 
+def op1_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.nearest(table(spark, sf_dir, "embeddings"), 20, 20)
+
+
 def op2_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "tokens")
     token_orc.write_token_orc(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), 2, lower=True)
@@ -36,6 +40,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_tree.best(table(spark, sf_dir, "embeddings"), 20, 20)
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = langid.identify(docs, langid.learn(docs), ["doc_id", "text"])
@@ -54,6 +62,6 @@ def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_orc, op3_mix, op4_pack, op5_simhash, op7_language, op9_warc, op10_shard)
+    f.__name__: f for f in (op1_multi_index, op2_token_orc, op3_mix, op4_pack, op5_simhash, op6_ball_tree, op7_language, op9_warc, op10_shard)
 }
 ORACLE: dict[str, str] = {}
