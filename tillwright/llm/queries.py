@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import ball_tree, langid, mixing, multi_index, packing, sharding, simhash, token_orc, warc
+from tillwright.llm import ball_tree, langid, masked_lm, mixing, multi_index, packing, sharding, simhash, token_orc, warc
 from tillwright.llm.common import shared_path, table
 
 SHARDS = [f"shard-{k:03d}" for k in range(128)]
@@ -50,6 +50,10 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op8_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return masked_lm.score(table(spark, sf_dir, "documents"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "warc")
     warc.write(table(spark, sf_dir, "pages"), path)
@@ -62,6 +66,6 @@ def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_multi_index, op2_token_orc, op3_mix, op4_pack, op5_simhash, op6_ball_tree, op7_language, op9_warc, op10_shard)
+    f.__name__: f for f in (op1_multi_index, op2_token_orc, op3_mix, op4_pack, op5_simhash, op6_ball_tree, op7_language, op8_masked_lm, op9_warc, op10_shard)
 }
 ORACLE: dict[str, str] = {}
