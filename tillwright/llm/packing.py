@@ -75,9 +75,9 @@ def sum_of_squares(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarr
     open_by_gap: list[list[int]] = [[] for _ in range(size + 1)]
     sequence, offset, used = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64), 0
     for k, n in enumerate(lengths.tolist()):
-        # half of what the sum of squares grows by, less 1, when gap g becomes g - n; a full sequence is not open
-        change = count[: size + 1 - n] - count[n:]
-        change[0] = -count[n] - 1
+        # what the sum of squares grows by, less 2, when gap g becomes g - n; a full sequence is not open
+        change = 2 * (count[: size + 1 - n] - count[n:])
+        change[0] = -2 * count[n] - 1
         best = int(np.where(count[n:] > 0, change, np.iinfo(np.int64).max).argmin()) + n
         if count[best] > 0:
             bin_ = open_by_gap[best].pop()

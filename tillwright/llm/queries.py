@@ -68,4 +68,101 @@ def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_multi_index, op2_token_orc, op3_mix, op4_pack, op5_simhash, op6_ball_tree, op7_language, op8_masked_lm, op9_warc, op10_shard)
 }
-ORACLE: dict[str, str] = {}
+_WORDS = "len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
+
+
+def _number(digest: str, digits: int) -> str:
+    return f"('0x' || substr({digest}, 1, {digits}))::BIGINT"
+
+
+#: Each quotient of the apportionment is a row, the blocks' runs are compared word by word in closed form.
+_MIX = f"""
+WITH d AS (
+  SELECT doc_id, source, {_WORDS}::BIGINT AS size, md5('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS k
+  FROM documents
+), t AS (
+  SELECT source, sum(size)::BIGINT AS s, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS p FROM d GROUP BY source
+), w AS (
+  SELECT *, [5, 2, 1][(p % 3 + 1)::INTEGER] AS weight FROM t
+), l AS (
+  SELECT *, row_number() OVER filling AS at,
+    ((sum(s) OVER ())::DOUBLE * 1.5::DOUBLE
+      - coalesce(sum(2 * s) OVER (filling ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+      / (sum(weight) OVER (filling ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level
+  FROM w WINDOW filling AS (ORDER BY s::DOUBLE / weight, p)
+), g AS (
+  SELECT min_by(level, at) AS lv FROM l WHERE level * weight <= 2 * s
+), a AS (
+  SELECT source, s, least((2 * s)::DOUBLE, coalesce(lv * weight, (2 * s)::DOUBLE)) AS target, greatest(1, ceil(s / 16777216))::BIGINT AS shards
+  FROM l, g
+), n AS (
+  SELECT round(sum(target) / 8)::BIGINT AS seats, sum(target) AS whole, count(*) AS parties FROM a
+), q AS (
+  SELECT source, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, source NULLS LAST) AS place, seats
+  FROM (SELECT *, unnest(range(0, (target / whole * (seats + parties))::BIGINT + 2)) AS k FROM a, n WHERE target > 0)
+), sq AS (
+  SELECT source, count(*) AS quota FROM q WHERE place <= seats GROUP BY source
+), e AS (
+  SELECT d.*, a.s, a.target, coalesce(sq.quota, 0) AS source_quota, {_number("d.k", 8)} % a.shards AS shard
+  FROM d JOIN a ON d.source IS NOT DISTINCT FROM a.source LEFT JOIN sq ON d.source IS NOT DISTINCT FROM sq.source
+), c AS (
+  SELECT source, shard, sum(size)::BIGINT AS words, first(source_quota) AS seats, first(s) AS s FROM e GROUP BY source, shard
+), cn AS (
+  SELECT *, count(*) OVER (PARTITION BY source) AS parties FROM c
+), cq AS (
+  SELECT source, shard, seats, row_number() OVER (PARTITION BY source ORDER BY words / (2 * k + 1) DESC, shard) AS place
+  FROM (SELECT *, unnest(range(0, (words / s * (seats + parties))::BIGINT + 2)) AS k FROM cn WHERE words > 0)
+), cs AS (
+  SELECT source, shard, count(*) AS quota FROM cq WHERE place <= seats GROUP BY source, shard
+), b AS (
+  SELECT c.source, c.shard, greatest(1, ceil(words / 8))::BIGINT AS blocks, coalesce(cs.quota, 0) AS quota,
+    {_number("md5('mix:' || coalesce(c.source, '') || ':' || c.shard)", 8)} AS seed
+  FROM c LEFT JOIN cs ON c.source IS NOT DISTINCT FROM cs.source AND c.shard = cs.shard
+), r AS (
+  SELECT e.*, least(quota, 2 * blocks) // blocks AS copies, least(quota, 2 * blocks) % blocks AS more, seed % blocks AS f, blocks,
+    (sum(size) OVER (PARTITION BY e.source, e.shard ORDER BY k ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS a0
+  FROM e JOIN b ON e.source IS NOT DISTINCT FROM b.source AND e.shard = b.shard
+)
+SELECT doc_id, size, s AS source_size, target, (copies * size
+  + greatest(0, least(a0 + size, least(f + more, blocks) * 8) - greatest(a0, f * 8))
+  + greatest(0, least(a0 + size, (f + more - blocks) * 8) - a0))::BIGINT AS taken
+FROM r
+"""
+
+_BEST = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda c: floor(64 * c::DOUBLE)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND NOT list_bool_or(list_transform(embedding, lambda c: c IS NULL OR NOT isfinite(c)))
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.x, c.x)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
+"""
+
+_WARC = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages
+), f AS (
+  SELECT d, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY d
+)
+SELECT page_id, n::BIGINT AS payload_bytes, p.d AS payload_digest,
+  CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN f ON p.d = f.d
+"""
+
+
+def _shards() -> str:
+    """The table of slots as a literal, tested against a plain filling."""
+    held = ",".join(map(str, sharding.fill(SHARDS)))
+    slot = _number("md5(coalesce(doc_id::VARCHAR, ''))", 12)
+    return f"""
+WITH s AS (SELECT doc_id, {slot} % {sharding.SLOTS} AS slot FROM documents), h AS (SELECT string_split('{held}', ',') AS held)
+SELECT doc_id, slot, 'shard-' || lpad(held[slot + 1], 3, '0') AS shard FROM s, h
+"""
+
+
+ORACLE: dict[str, str] = {
+    "op3_mix": _MIX, "op6_ball_tree": _BEST, "op9_warc": _WARC, "op10_shard": _shards(),
+}
