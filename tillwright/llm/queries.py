@@ -85,13 +85,13 @@ WITH d AS (
 ), w AS (
   SELECT *, [5, 2, 1][(p % 3 + 1)::INTEGER] AS weight FROM t
 ), l AS (
-  SELECT *, row_number() OVER filling AS at,
+  SELECT *, row_number() OVER filling AS nth,
     ((sum(s) OVER ())::DOUBLE * 1.5::DOUBLE
       - coalesce(sum(2 * s) OVER (filling ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
       / (sum(weight) OVER (filling ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level
   FROM w WINDOW filling AS (ORDER BY s::DOUBLE / weight, p)
 ), g AS (
-  SELECT min_by(level, at) AS lv FROM l WHERE level * weight <= 2 * s
+  SELECT min_by(level, nth) AS lv FROM l WHERE level * weight <= 2 * s
 ), a AS (
   SELECT source, s, least((2 * s)::DOUBLE, coalesce(lv * weight, (2 * s)::DOUBLE)) AS target, greatest(1, ceil(s / 16777216))::BIGINT AS shards
   FROM l, g
