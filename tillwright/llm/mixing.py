@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tillwright.llm.common import WORD, row_key, stored
 
 BLOCK = 8
-SHARD_WORDS = 1 << 24
+SHARD_WORDS = 1 << 20
 SHARE = 1.5
 MOST = 2
 WEIGHTS = (5, 2, 1)

@@ -93,7 +93,7 @@ WITH d AS (
 ), g AS (
   SELECT min_by(level, nth) AS lv FROM l WHERE level * weight <= 2 * s
 ), a AS (
-  SELECT source, s, least((2 * s)::DOUBLE, coalesce(lv * weight, (2 * s)::DOUBLE)) AS target, greatest(1, ceil(s / 16777216))::BIGINT AS shards
+  SELECT source, s, least((2 * s)::DOUBLE, coalesce(lv * weight, (2 * s)::DOUBLE)) AS target, greatest(1, ceil(s / 1048576))::BIGINT AS shards
   FROM l, g
 ), n AS (
   SELECT round(sum(target) / 8)::BIGINT AS seats, sum(target) AS whole, count(*) AS parties FROM a
