@@ -141,10 +141,10 @@ class Encoder:
             return []
         data = b"".join(group)
         bounds = np.concatenate([[0], np.cumsum([len(x) for x in group])]).astype(np.int64)
-        odd = np.concatenate([[0], np.cumsum(_ODD[np.frombuffer(data, np.uint8)])])
+        odd = np.searchsorted(np.flatnonzero(_ODD[np.frombuffer(data, np.uint8)]), bounds)
         ids, first = self._pieces(data, bounds)
         out = [ids[a:b] for a, b in zip(first[:-1], first[1:])]
-        for k in np.flatnonzero(odd[bounds[1:]] > odd[bounds[:-1]]):
+        for k in np.flatnonzero(np.diff(odd)):
             text = group[k].decode()
             if _WHOLE.search(text):
                 out[k] = self.whole(text)
