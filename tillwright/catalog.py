@@ -8,8 +8,11 @@ from functools import cache
 from pathlib import Path
 from typing import Any
 
+from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
+from tillwright.sources.readers import scan_bounded
+
 
 @dataclass(frozen=True)
 class Table:
@@ -28,6 +31,18 @@ class Table:
     def schema(self) -> StructType:
         return StructType.fromDDL(self.ddl)
 
+    def scan(self, df: DataFrame, low: Any = None, high: Any = None) -> DataFrame:
+        """The rows of this table within bounds on its partition column.
+
+        Tables that declare it may not be scanned without a bound; the others pass whole.
+        """
+        if low is None and high is None and not self.must_bound:
+            return df
+        column = self.partition or self.bound_column
+        if column is None:
+            raise ValueError(f"{self.name} has no column to bound")
+        return scan_bounded(df, column, low, high)
+
     def spec(self, path: str, **format_options: Any) -> dict[str, Any]:
         """The load specification of this table for a source at ``path``.
 

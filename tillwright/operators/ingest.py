@@ -22,6 +22,22 @@ log = logging.getLogger(__name__)
 END_OF_DAY = "_99"
 
 
+# The greatest value that a bound keeps, by the type of its column, given the bound's text and its day.
+_LIMITS = {
+    "string": lambda _, day: F.lit(f"{day:%Y%m%d}{END_OF_DAY}"),
+    "timestamp": lambda text, _: F.to_timestamp(F.lit(text)),
+    "timestamp_ntz": lambda text, _: F.to_timestamp(F.lit(text)).cast("timestamp_ntz"),
+    "date": lambda _, day: F.lit(day),
+}
+
+
+def _limit(df: DataFrame, column: str, upto: str) -> Column:
+    kind = dict(df.dtypes).get(column, "missing")
+    if kind not in _LIMITS:
+        raise ValueError(f"no bound on column {column!r} ({kind})")
+    return _LIMITS[kind](upto, datetime.fromisoformat(upto).date())
+
+
 def bound(df: DataFrame, column: str | None, upto: str | None, strict: bool = True) -> DataFrame:
     """Keep rows up to the frozen load bound ``upto`` (ISO time).
 
@@ -29,32 +45,16 @@ def bound(df: DataFrame, column: str | None, upto: str | None, strict: bool = Tr
     bound or a bound column everything passes. A bound that cannot be applied raises;
     with ``strict=False`` it is logged and the full table passes.
     """
-    if not upto or not column:
+    if not (column and upto):
         return df
-
-    def refuse(reason: str) -> DataFrame:
+    try:
+        return df.filter(F.col(column) <= _limit(df, column, upto))
+    except ValueError as reason:
         if strict:
-            raise ValueError(reason)
-        log.warning("%s; no bound applied", reason)
+            raise
+        log.warning("%s; the whole table passes", reason)
         return df
 
-    if column not in df.columns:
-        return refuse(f"bound column {column!r} is not in the data")
-    try:
-        day = datetime.fromisoformat(upto.replace("Z", "+00:00")).date()
-    except ValueError:
-        return refuse(f"bound {upto!r} is not an ISO time")
-    kind = df.schema[column].dataType
-    if isinstance(kind, T.StringType):
-        limit = F.lit(f"{day:%Y%m%d}{END_OF_DAY}")
-    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        limit = F.lit(upto).cast("timestamp").cast(kind)
-    elif isinstance(kind, T.DateType):
-        limit = F.lit(day)
-    else:
-        return refuse(f"bound column {column!r} has type {kind.simpleString()}")
-    return df.filter(F.col(column) <= limit)
-
 
 def date_of_parts(parts: Sequence[str]) -> Column:
     """Date of year, month and optional day columns; null when they make no date."""

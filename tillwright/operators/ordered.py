@@ -121,25 +121,13 @@ def next_row(
     return _neighbour(df, keys, order, fields, out, slot, forward=True)
 
 
-def ordered_lists(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    fields: Sequence[str],
-    out: str,
-    slot: Column,
-    per_row: int,
-) -> DataFrame:
-    """All ``fields`` of a key in order, as arrays of at most ``per_row`` entries.
+def ordered_lists(df: DataFrame, keys: Sequence[str], order: Sequence[str], fields: Sequence[str], out: str) -> DataFrame:
+    """All ``fields`` of a key in order, as one array.
 
-    A key with more entries gets further rows, numbered from 0 in ``part``: no entry is
-    lost and no single array, task or row grows with a hot key.
+    ``keys`` hold a slot that the data defines (a day), which bounds what one row gathers at any size of the table.
     """
-    numbered = running_total(df, keys, order, F.lit(1).cast("bigint"), "_n", slot)
-    part = F.floor((F.col("_n") - 1) / per_row).cast("bigint").alias("part")
-    entries = F.collect_list(F.struct(F.col("_n").alias("n"), F.struct(*fields).alias("entry")))
-    parts = numbered.groupBy(*keys, part).agg(F.array_sort(entries).alias("_entries"))
-    return parts.select(*keys, "part", F.col("_entries.entry").alias(out))
+    entries = F.collect_list(F.struct(F.struct(*order).alias("at"), F.struct(*fields).alias("entry")))
+    return df.groupBy(*keys).agg(F.array_sort(entries).alias("_entries")).select(*keys, F.col("_entries.entry").alias(out))
 
 
 def group_ordinal(
@@ -218,10 +206,11 @@ def rank_desc(
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column]) -> DataFrame:
-    """The first row of every key under ``newest_first``.
+    """The first row of every key under ``newest_first``; ties go by a hash of the row.
 
     ``row_number() = 1`` is planned with a group limit below the shuffle, so each map
     task sends at most one row per key, however hot the key is.
     """
-    w = Window.partitionBy(*keys).orderBy(*newest_first)
+    tie = F.xxhash64(*[F.col(c) for c, kind in df.dtypes if "map<" not in kind])
+    w = Window.partitionBy(*keys).orderBy(*newest_first, tie)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")

@@ -35,8 +35,6 @@ CARRIERS = ("UPS", "FEDEX", "DHL", "USPS")
 REASONS = ("DAMAGED", "WRONG_ITEM", "LATE", "NOT_NEEDED", "OTHER")
 CHANNELS = ("email", "search", "social")
 
-FIRST_DAY, LAST_DAY = "1995-01-01", "2001-12-31"
-
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     prepare(spark)
@@ -129,7 +127,10 @@ class TestTables:
         )
 
     def dim_date(self) -> DataFrame:
-        return calendar(self.spark, FIRST_DAY, LAST_DAY)
+        """The days from the first order to the last; a table without orders has one day."""
+        day = F.to_date("o_orderdate")
+        span = self.raw("orders").agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
+        return calendar(self.spark, span["first"] or "1970-01-01", span["last"] or "1970-01-01")
 
     def dim_category(self) -> DataFrame:
         """Regions, their nations and their suppliers as a tree; a root has no or an empty parent."""
@@ -434,7 +435,7 @@ class TestTables:
     # -- facts of the event table
 
     def mobile_events(self) -> DataFrame:
-        e = self.raw("events").filter(F.col("event_type").isin("view", "click"))
+        e = self.raw("events").filter(~F.col("event_type").eqNullSafe("purchase"))
         return e.select(
             F.col("event_id").cast("string").alias("event_id"),
             F.col("user_id").cast("string").alias("user_id"),

@@ -721,31 +721,21 @@ def supplier_invoice_lines(invoices: DataFrame) -> DataFrame:
     )
 
 
-def tracking_history(scans: DataFrame, per_row: int = 10_000) -> DataFrame:
-    """A shipment's scans in time order as an array; a shipment with more than ``per_row``
-    scans continues in further parts."""
+def tracking_history(scans: DataFrame) -> DataFrame:
+    """A shipment's scans of a day in time order as an array."""
     fields = ["ts", "status", "location"]
-    return ordered_lists(
-        scans, ["shipment_id"], fields, fields, "tracking_events", time_slot("ts"), per_row
-    )
+    dated = scans.withColumn("scan_date", F.to_date("ts"))
+    return ordered_lists(dated, ["shipment_id", "scan_date"], fields, fields, "tracking_events")
 
 
-def email_clicks(events: DataFrame, per_row: int = 10_000) -> DataFrame:
-    """The clicks of every send and day in time order, with its last event and the number of
-    all its events. More than ``per_row`` clicks continue in further parts."""
+def email_clicks(events: DataFrame) -> DataFrame:
+    """The clicks of every send and day in time order, with its last event and the number of all its events."""
     sends = ["send_id", "campaign_sk", "user_sk", "event_date"]
     dated = events.withColumn("event_date", F.to_date("event_ts"))
     last = F.max(F.struct("event_ts", "link_url", "event_type")).alias("last")
-    counted = dated.groupBy(*sends).agg(F.count(F.lit(1)).alias("events"), last)
-    counted = counted.select(*sends, "events", "last.*")
-    clicked = dated.filter(F.col("event_type") == "click").select(
-        *sends, F.col("event_ts").alias("ts"), F.col("link_url").alias("url")
-    )
-    lists = ordered_lists(clicked, sends, ["ts", "url"], ["ts", "url"], "clicks", time_slot("ts"), per_row)
-    none = F.array().cast("array<struct<ts:timestamp,url:string>>")
-    return counted.join(lists, sends, "left").withColumns(
-        {"part": F.coalesce("part", F.lit(0).cast("bigint")), "clicks": F.coalesce("clicks", none)}
-    )
+    click = F.when(F.col("event_type") == "click", F.struct(F.col("event_ts").alias("ts"), F.col("link_url").alias("url")))
+    found = dated.groupBy(*sends).agg(F.count(F.lit(1)).alias("events"), last, F.array_sort(F.collect_list(click)).alias("clicks"))
+    return found.select(*sends, "events", "last.*", "clicks")
 
 
 def fact_web_session(web_log: DataFrame) -> DataFrame:

@@ -213,7 +213,7 @@ ORACLE: dict[str, str] = {
         FROM events s LEFT JOIN customer ON c_custkey = s.user_id
         LEFT JOIN events f ON f.event_type = 'purchase' AND f.user_id = c_custkey
                           AND f.ts BETWEEN s.ts AND s.ts + INTERVAL 1 DAY
-        WHERE s.event_type IN ('view', 'click')""",
+        WHERE s.event_type IS DISTINCT FROM 'purchase'""",
     "active_member_panel": _with("store", f"""
         SELECT region, count(DISTINCT user_id) AS exact_active_members,
                {_int('sum(CAST(floor(value) AS BIGINT))')} AS total_points_redeemed
@@ -225,18 +225,14 @@ ORACLE: dict[str, str] = {
         FROM fact_sales JOIN store ON store_sk = customer_sk
         WHERE sale_date >= {SALES_TODAY} - 7 GROUP BY ROLLUP (region, store_sk)"""),
     "category_tree": """
-        WITH RECURSIVE category AS (
-            SELECT 'R' || r_regionkey AS category_id, CASE WHEN r_regionkey % 2 = 0 THEN '' END AS parent_id,
-                   r_name AS name FROM region
-            UNION ALL SELECT 'N' || n_nationkey, 'R' || n_regionkey, n_name FROM nation
-            UNION ALL SELECT 'S' || s_suppkey, 'N' || s_nationkey, s_name FROM supplier),
-        tree AS (
-            SELECT category_id, name, parent_id, name AS path, CAST(0 AS BIGINT) AS depth
-            FROM category WHERE parent_id IS NULL OR parent_id = ''
-            UNION ALL
-            SELECT c.category_id, c.name, c.parent_id, t.path || ' > ' || c.name, t.depth + 1
-            FROM category c JOIN tree t ON c.parent_id = t.category_id WHERE t.depth < 8)
-        SELECT * FROM tree""",
+        SELECT 'R' || r_regionkey AS category_id, r_name AS name, CASE WHEN r_regionkey % 2 = 0 THEN '' END AS parent_id,
+               r_name AS path, 0::BIGINT AS depth FROM region
+        UNION ALL
+        SELECT 'N' || n_nationkey, n_name, 'R' || r_regionkey, concat_ws(' > ', r_name, n_name), 1
+        FROM region JOIN nation ON n_regionkey = r_regionkey
+        UNION ALL
+        SELECT 'S' || s_suppkey, s_name, 'N' || n_nationkey, concat_ws(' > ', r_name, n_name, s_name), 2
+        FROM region JOIN nation ON n_regionkey = r_regionkey JOIN supplier ON s_nationkey = n_nationkey""",
     "carrier_otd": _with("fact_shipments", f"""
         SELECT carrier, count(*) AS shipments,
                round(avg(CASE WHEN delivered_ts <= shipped_ts + INTERVAL 48 HOUR THEN 1.0 ELSE 0.0 END), 6) AS otd_rate,
@@ -597,11 +593,10 @@ ORACLE: dict[str, str] = {
                    ['PICKED_UP', 'IN_TRANSIT', 'DELIVERED'][l_linenumber % 3 + 1] AS status,
                    'D' || l_partkey AS location
             FROM lineitem),
-        numbered AS (
-            SELECT *, row_number() OVER (PARTITION BY shipment_id ORDER BY ts, status, location) AS n FROM scans)
-        SELECT shipment_id, (n - 1) // 3 AS part,
-               string_agg(status || '@' || strftime(ts, '%Y-%m-%d %H') || '@' || location, ',' ORDER BY n) AS history
-        FROM numbered GROUP BY shipment_id, (n - 1) // 3""",
+        dated AS (SELECT *, CAST(CAST(ts AS DATE) AS VARCHAR) AS scan_date FROM scans)
+        SELECT shipment_id, scan_date,
+               string_agg(status || '@' || strftime(ts, '%Y-%m-%d %H') || '@' || location, ',' ORDER BY ts, status, location) AS history
+        FROM dated GROUP BY shipment_id, scan_date""",
     "email_clicks": """
         WITH sends AS (
             SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS events, max(ts) AS last_ts,
@@ -612,11 +607,10 @@ ORACLE: dict[str, str] = {
                    row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS n
             FROM events WHERE event_type = 'click'),
         lists AS (
-            SELECT user_id, day, (n - 1) // 2 AS part, string_agg('/l/' || event_id, ',' ORDER BY n) AS clicks
-            FROM clicks GROUP BY 1, 2, 3)
+            SELECT user_id, day, string_agg('/l/' || event_id, ',' ORDER BY n) AS clicks FROM clicks GROUP BY 1, 2)
         SELECT 'SEND-' || s.user_id AS send_id, s.user_id % 7 AS campaign_sk, s.user_id AS user_sk,
                CAST(s.day AS VARCHAR) AS event_date, events, strftime(last_ts, '%Y-%m-%d %H:%M:%S.%f') AS event_ts,
-               last_type AS event_type, last_link AS link_url, coalesce(part, 0) AS part, coalesce(clicks, '') AS clicks
+               last_type AS event_type, last_link AS link_url, coalesce(clicks, '') AS clicks
         FROM sends s LEFT JOIN lists l ON s.user_id = l.user_id AND s.day = l.day""",
     "cleansed_customers": f"""
         SELECT CAST(o_custkey AS VARCHAR) AS customer_id, 'mail' || o_orderkey || '@example.com' AS email_norm,

@@ -578,14 +578,14 @@ def _joined(entries: str, show: Callable[[Column], Column]) -> Column:
 
 @query
 def tracking_history(t):
-    df = derived.tracking_history(t["tracking_scans"], per_row=3)
+    df = derived.tracking_history(t["tracking_scans"])
     show = lambda e: F.concat_ws("@", e["status"], F.date_format(e["ts"], "yyyy-MM-dd HH"), e["location"])
-    return df.select("shipment_id", "part", _joined("tracking_events", show).alias("history"))
+    return plain(df.select("shipment_id", "scan_date", _joined("tracking_events", show).alias("history")))
 
 
 @query
 def email_clicks(t):
-    df = derived.email_clicks(t["email_events"], per_row=2)
+    df = derived.email_clicks(t["email_events"])
     return plain(df.withColumn("clicks", _joined("clicks", lambda e: e["url"])))
 
 

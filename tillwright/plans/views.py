@@ -19,7 +19,6 @@ from tillwright.functions.enrich import country_code
 from tillwright.operators.grouping import with_blank_row
 from tillwright.operators.joins import followed_within, with_ancestry
 from tillwright.operators.ordered import rank_desc
-from tillwright.session import staged
 
 Tables = Mapping[str, DataFrame]
 Day = str | date
@@ -174,8 +173,7 @@ def vw_customer_lifetime_value(t: Tables, as_of: Day) -> DataFrame:
 
 
 def vw_product_performance(t: Tables, as_of: Day | None = None) -> DataFrame:
-    """Sales per product and country with both ranks. The folded sales are stored once,
-    because ranking needs them twice and the facts should be scanned once."""
+    """Sales per product and country with both ranks, recomputed whenever the view is read."""
     per_invoice = t["fact_sales"].groupBy("product_sk", "country", "invoice_no").agg(
         F.sum("line_total").alias("revenue"), F.sum("quantity").alias("units")
     )
@@ -194,7 +192,7 @@ def vw_product_performance(t: Tables, as_of: Day | None = None) -> DataFrame:
         (F.col("units") * F.col("copies")).alias("units"),
         "orders",
     )
-    return rank_desc(staged(sold, "sold"), "revenue", ["country"], "country_rank", "global_rank")
+    return rank_desc(sold, "revenue", ["country"], "country_rank", "global_rank")
 
 
 def vw_monthly_cohort_retention(t: Tables, as_of: Day | None = None) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from contextlib import contextmanager
 
@@ -29,57 +28,33 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-# Input bytes (compressed columns) meant for one shuffle partition, and the most partitions
-# one shuffle may start with; adaptive execution merges the small ones afterwards.
+# Input bytes (compressed columns) meant for one shuffle partition; adaptive execution merges
+# the small ones afterwards.
 BYTES_PER_PARTITION = 64 * 2**20
-MOST_PARTITIONS = 32_768
-LARGE_INPUT = 10 * 2**40
 
 
 def fit_shuffles(spark: SparkSession, *tables: DataFrame) -> int:
     """Let shuffles start with enough partitions for these inputs; returns their bytes.
 
     Adaptive execution only merges partitions, so a fixed default would leave hundreds of
-    gigabytes in each at large scale. The number is only ever raised. Very large inputs
-    are also read in larger splits, to keep the number of tasks in hand.
+    gigabytes in each at large scale. The number is only ever raised.
     """
     total = sum(int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) for df in tables)
     start = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     now = int(spark.conf.get(start, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    need = min(-(-total // BYTES_PER_PARTITION), MOST_PARTITIONS)
+    need = -(-total // BYTES_PER_PARTITION)
     if need > now:
         spark.conf.set(start, str(need))
-    if total > LARGE_INPUT:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", str(512 * 2**20))
     return total
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new folder path under the cluster's shared ``spark.checkpoint.dir``.
-
-    Only where that is unset, and only for a local master, a temporary folder is used.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        base = tempfile.mkdtemp(prefix="tillwright-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    """A new folder path under the cluster's shared ``spark.checkpoint.dir``; where that is
+    unset, under the warehouse, which is shared as well."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/tillwright/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared scratch folder and continue from the files.
-
-    For reduced data that several branches of a plan need: they then read these files
-    instead of computing their common input again, and a lost executor costs no more
-    than the reading task. This runs a job when it is called.
-    """
-    path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 @contextmanager
 def setting(spark: SparkSession, key: str, value: str):
     """Set one runtime setting for the duration of a block."""
