@@ -30,25 +30,22 @@ def test_change_log_over_several_batches(spark, make, tmp_path):
     ]
 
 
-def test_gap_of_exactly_thirty_minutes_is_one_session(spark, make, tmp_path):
-    source = str(tmp_path / "in")
-    minutes = [0, 30, 61, 600]
-    data = [(1, T0 + timedelta(minutes=m)) for m in minutes]
-    make(data, "user_sk bigint, event_ts timestamp").write.parquet(source)
-    stream = spark.readStream.schema("user_sk bigint, event_ts timestamp").parquet(source)
-    out = scratch_dir(spark, "sessions")
-    sessions = jobs.click_sessions(stream)
-    jobs.to_files(sessions, out, scratch_dir(spark, "cp")).awaitTermination()
-    done = rows(spark.read.schema(sessions.schema).parquet(out), "started_ts", "clicks")
-    # the last session is still open
-    assert done == [(T0, 2), (T0 + timedelta(minutes=61), 1)]
-
-
-def test_repeats_in_later_batches_are_dropped(spark, make, tmp_path):
-    source, out, checkpoint = str(tmp_path / "in"), scratch_dir(spark, "dedup"), scratch_dir(spark, "cp")
+def test_sessions_over_batches_out_of_order(spark, make, tmp_path):
+    source, log, checkpoint = str(tmp_path / "in"), scratch_dir(spark, "sessions"), scratch_dir(spark, "cp")
+    schema = "user_sk bigint, event_ts timestamp"
+    for minutes in ([600, 61], [0], [30, 610, 610]):  # a gap of exactly thirty minutes is one session
+        make([(1, T0 + timedelta(minutes=m)) for m in minutes], schema).coalesce(1).write.mode("append").parquet(source)
+        jobs.log_click_times(spark.readStream.schema(schema).parquet(source), log, checkpoint).awaitTermination()
+    found = rows(jobs.click_sessions(spark, log), "started_ts", "clicks", "is_open")
+    assert found == [(T0, 2, False), (T0 + timedelta(minutes=61), 1, False), (T0 + timedelta(minutes=600), 3, True)]
+
+
+def test_clicks_of_late_batches_stay_and_repeats_go(spark, make, tmp_path):
+    source, log, checkpoint = str(tmp_path / "in"), scratch_dir(spark, "dedup"), scratch_dir(spark, "cp")
     schema = "user_id string, event_ts timestamp, page_url string"
-    for batch in ([("u", T0, "/a"), ("u", T0, "/a")], [("u", T0, "/a"), ("u", T0, "/b")]):
+    day = lambda d: T0 + timedelta(days=d)
+    for batch in ([("u", day(1), "/a"), ("u", day(1), "/a")], [("u", day(2), "/a")], [("u", day(0), "/b"), ("u", day(1), "/a")]):
         make(batch, schema).coalesce(1).write.mode("append").parquet(source)
         stream = spark.readStream.schema(schema).parquet(source)
-        jobs.to_files(jobs.deduplicated_clicks(stream), out, checkpoint).awaitTermination()
-    assert rows(spark.read.schema(schema).parquet(out), "page_url") == [("/a",), ("/b",)]
+        jobs.log_clicks(stream, log, checkpoint).awaitTermination()
+    assert rows(jobs.deduplicated_clicks(spark, log, schema), "event_ts", "page_url") == [(day(0), "/b"), (day(1), "/a"), (day(2), "/a")]

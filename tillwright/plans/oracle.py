@@ -671,11 +671,10 @@ ORACLE["stream_dedup"] = f"""
     SELECT DISTINCT CAST(user_id AS VARCHAR) AS user_id, {_ts("date_trunc('hour', ts)")} AS event_ts,
            '/p/' || event_type AS page_url FROM events"""
 ORACLE["stream_cdc"] = ORACLE["cdc_merge"]
-# a session is out once the watermark, ten minutes behind the last event, has passed its end
 ORACLE["stream_sessions"] = _with("sessions", f"""
-    SELECT user_sk, {_ts('min(event_ts)')} AS started_ts, {_ts('max(event_ts)')} AS last_event_ts, count(*) AS clicks
-    FROM sessions GROUP BY user_sk, session_id
-    HAVING max(event_ts) + INTERVAL 30 MINUTE <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""")
+    SELECT user_sk, {_ts('min(event_ts)')} AS started_ts, {_ts('max(event_ts)')} AS last_event_ts, count(*) AS clicks,
+           max(event_ts) + INTERVAL 30 MINUTE >= (SELECT max(event_ts) FROM sessions) AS is_open
+    FROM sessions GROUP BY user_sk, session_id""")
 
 _ORDERS_FEED = f"""
     SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS status,

@@ -638,21 +638,19 @@ def date_dimension(t):
 # ---------------------------------------------------------------- streaming runs
 
 
-def _files_of(stream: DataFrame, name: str) -> DataFrame:
-    spark, path = stream.sparkSession, scratch_dir(stream.sparkSession, name)
-    jobs.to_files(stream, path, scratch_dir(spark, f"{name}-state")).awaitTermination()
-    return spark.read.schema(stream.schema).parquet(path)
-
-
 @query
 def stream_dedup(t):
-    clicks = t.as_streams()["clicks"].select("user_id", "event_ts", "page_url")
-    return plain(_files_of(jobs.deduplicated_clicks(clicks), "stream-dedup"))
+    clicks = t.as_streams()["clicks"].select(*jobs.CLICK)
+    log = scratch_dir(t.spark, "stream-dedup")
+    jobs.log_clicks(clicks, log, scratch_dir(t.spark, "stream-dedup-state")).awaitTermination()
+    return plain(jobs.deduplicated_clicks(t.spark, log, clicks.schema))
 
 
 @query
 def stream_sessions(t):
-    return plain(_files_of(jobs.click_sessions(t.as_streams()["app_clicks"]), "stream-sessions"))
+    log = scratch_dir(t.spark, "stream-sessions")
+    jobs.log_click_times(t.as_streams()["app_clicks"], log, scratch_dir(t.spark, "stream-sessions-state")).awaitTermination()
+    return plain(jobs.click_sessions(t.spark, log))
 
 
 @query

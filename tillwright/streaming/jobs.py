@@ -1,61 +1,80 @@
 """Streaming forms of click deduplication, sessions and the change-feed merge.
 
-State is bounded by a watermark (clicks, sessions) or lives in files (change feed), and
-every job restarts from its checkpoint folder. State is hash partitioned by
-``spark.sql.shuffle.partitions`` as of the first start, so set that for the cluster then.
+Every job folds each batch and keeps the result as a folder of a log, named by the batch, which it overwrites if the
+batch is run again after a failure. What the log says is merged when it is read, so neither late rows nor open
+sessions are lost, in whatever order files arrive. Jobs restart from their checkpoint folder.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tillwright.operators.ordered import latest_per_key
+from tillwright.operators.ordered import group_ordinal, latest_per_key, time_slot
 from tillwright.plans.derived import SESSION_GAP_MINUTES, merged_returns_cdc
 
-DELAY = "10 minutes"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def deduplicated_clicks(clicks: DataFrame, delay: str = DELAY) -> DataFrame:
-    """Each click (user, time, page) once, as long as its repeats come within ``delay``."""
-    return clicks.withWatermark("event_ts", delay).dropDuplicatesWithinWatermark(
-        ["user_id", "event_ts", "page_url"]
-    )
+CLICK = ["user_id", "event_ts", "page_url"]
+COUNTED = "user_sk bigint, event_ts timestamp, clicks bigint"
 
 
-def click_sessions(
-    clicks: DataFrame, delay: str = DELAY, gap_minutes: int = SESSION_GAP_MINUTES
-) -> DataFrame:
-    """Finished sessions per user; only counts and bounds are kept as state, never the clicks."""
-    window = F.session_window("event_ts", f"{gap_minutes} minutes")
-    return (
-        clicks.withWatermark("event_ts", delay)
-        .groupBy(window, "user_sk")
-        .agg(
-            F.min("event_ts").alias("started_ts"),
-            F.max("event_ts").alias("last_event_ts"),
-            F.count(F.lit(1)).alias("clicks"),
-        )
-        .drop("session_window")
-    )
+def log_batches(stream: DataFrame, fold: Callable[[DataFrame], DataFrame], log: str, checkpoint: str) -> StreamingQuery:
+    """Process what is there, one folder of ``fold(batch)`` per batch, and stop."""
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        fold(batch).write.mode("overwrite").parquet(f"{log}/batch_id={batch_id}")
 
-def to_files(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Process what is there and stop. Exactly once, through the file sink's log."""
-    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     return (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", path)
+        stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
+def _logged(spark: SparkSession, log: str, schema: StructType | str) -> DataFrame:
+    return spark.read.schema(schema).parquet(log).drop("batch_id")
+
+
+def log_clicks(clicks: DataFrame, log: str, checkpoint: str) -> StreamingQuery:
+    """Each click (user, time, page) of a batch once."""
+    return log_batches(clicks.select(*CLICK), lambda batch: batch.dropDuplicates(CLICK), log, checkpoint)
+
+
+def deduplicated_clicks(spark: SparkSession, log: str, schema: StructType | str) -> DataFrame:
+    """Each click once, however late its repeats came."""
+    return _logged(spark, log, schema).dropDuplicates(CLICK)
+
+
+def _counted(clicks: DataFrame) -> DataFrame:
+    return clicks.groupBy("user_sk", "event_ts").agg(F.count(F.lit(1)).alias("clicks"))
+
+
+def log_click_times(clicks: DataFrame, log: str, checkpoint: str) -> StreamingQuery:
+    """How many clicks a user made at each time, per batch."""
+    return log_batches(clicks, _counted, log, checkpoint)
+
+
+def click_sessions(spark: SparkSession, log: str, gap_minutes: int = SESSION_GAP_MINUTES) -> DataFrame:
+    """All sessions per user. ``is_open``: the latest click of all is no later than the gap, so more may follow."""
+    times = _logged(spark, log, COUNTED).groupBy("user_sk", "event_ts").agg(F.sum("clicks").alias("clicks"))
+    gap = gap_minutes * 60 * 1_000_000
+    numbered = group_ordinal(times, ["user_sk"], "event_ts", "clicks", gap, "_session", time_slot("event_ts"))
+    sessions = numbered.groupBy("user_sk", "_session").agg(
+        F.min("event_ts").alias("started_ts"),
+        F.max("event_ts").alias("last_event_ts"),
+        F.sum("clicks").alias("clicks"),
+    )
+    latest = times.agg(F.max("event_ts").alias("_latest"))
+    reach = F.col("last_event_ts") + F.make_dt_interval(mins=F.lit(gap_minutes))
+    return sessions.join(latest, reach >= F.col("_latest"), "left").select(
+        "user_sk", "started_ts", "last_event_ts", "clicks", F.col("_latest").isNotNull().alias("is_open")
+    )
+
+
 CHANGE_ORDER = ("snapshot_date", "return_ts")
 
 
@@ -65,22 +84,8 @@ def _newest_first():
 
 
 def log_changes(changes: DataFrame, log: str, checkpoint: str) -> StreamingQuery:
-    """Append the latest change per return of every batch to a change log.
-
-    Each batch owns the folder named by its number and overwrites it, so a batch that is
-    run again after a failure leaves the same files.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        latest = latest_per_key(batch, ["return_id"], _newest_first())
-        latest.write.mode("overwrite").parquet(f"{log}/batch_id={batch_id}")
-
-    return (
-        changes.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    """Append the latest change per return of every batch to a change log."""
+    return log_batches(changes, lambda batch: latest_per_key(batch, ["return_id"], _newest_first()), log, checkpoint)
 
 
 def current_returns(spark: SparkSession, log: str, schema: StructType) -> DataFrame:
