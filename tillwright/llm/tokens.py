@@ -18,7 +18,7 @@ import pyarrow as pa
 
 #: Bytes of text that are encoded together, and known pieces kept by a worker.
 BATCH_BYTES = 8 << 20
-KEPT_PIECES = 300_000
+KEPT_PIECES = 150_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[list(b" \t\n\r\x0b\x0c")] = True
@@ -134,7 +134,9 @@ class Encoder:
             if size >= BATCH_BYTES:
                 out += self._group(group)
                 group, size = [], 0
-        return out + self._group(group)
+        out += self._group(group)
+        pa.default_memory_pool().release_unused()
+        return out
 
     def _group(self, group: list[bytes]) -> list[np.ndarray]:
         if not group:
