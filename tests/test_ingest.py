@@ -250,3 +250,20 @@ def test_every_catalog_table_has_a_spec():
         spec = ingest.check_spec(table.spec("/x"))
         rule = ingest._partition_rule(spec)
         assert (rule["target"] if rule else ingest.native_partition(spec)) == table.partition, table.name
+
+
+def test_load_reports_what_it_could_not_read(spark, tmp_path):
+    lines = ['{"k": "1", "amount": "2.50"}', '{"k": "two", "amount": "3"}', '{"k": "3", "amount": "much"}', '{"k": ', '{"k": null}']
+    spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.text(str(tmp_path / "in"))
+    spec = {
+        "source": {"database": "d", "table": "x", "format": "json_serde", "path": str(tmp_path / "in"), "schema": "k string, amount string"},
+        "target": {"table": "x", "schema": "k bigint, amount decimal(9,2), later date"},
+        "transforms": {"type_widening": [{"col": "k", "from": "STRING", "to": "INT64"}]},
+        "validation": {"null_check_cols": ["k"]},
+    }
+    load = ingest.load_table(spark, spec, None, str(tmp_path / "out"))
+    assert load.rows == 5 and load.lost == {"_corrupt_record": 1, "k": 1, "amount": 1}
+    assert spark.read.parquet(str(tmp_path / "out")).columns == ["k", "amount", "later"]
+    (tmp_path / "none").mkdir()
+    nothing = spec | {"source": spec["source"] | {"path": str(tmp_path / "none")}}
+    assert ingest.load_table(spark, nothing, None, str(tmp_path / "out2")).lost == {"_corrupt_record": 0, "k": 0, "amount": 0}

@@ -11,7 +11,7 @@ from tillwright.plans.adapters import TestTables
 
 # these write a file in the format at hand first, so building them runs jobs
 STORED = {n for n in driver.queries() if n.endswith("_feed") or n.startswith("stream_")} | {
-    "partition_directories", "table_load", "clustered_write",
+    "partition_directories", "table_load", "load_report", "clustered_write",
 }
 
 
@@ -119,3 +119,16 @@ def test_views_under_their_names(spark, t):
     assert names == ["vw_daily_sales_by_country", "vw_sales_rollup_by_region"]
     top = spark.sql("SELECT country, sum(orders) AS n FROM vw_daily_sales_by_country GROUP BY country")
     assert top.count() == 8
+
+
+def test_category_chains_double_and_share_exchanges(spark, t):
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = views.vw_category_hierarchy_recursive({"dim_category": t["dim_category"]})
+        df.collect()
+        final = plan_of(df).split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    made = [line for line in final.splitlines() if "Exchange hashpartitioning" in line and "ReusedExchange" not in line]
+    assert len(made) <= 8 and "ReusedExchange" in final

@@ -13,8 +13,8 @@ from pyspark.sql import types as T
 
 from tillwright.functions.dates import date_of_key
 from tillwright.operators.checks import null_keys, profile
-from tillwright.sources.readers import read_source
-from tillwright.sources.writers import write_table
+from tillwright.sources.readers import CORRUPT, read_source
+from tillwright.sources.writers import write_counted
 
 log = logging.getLogger(__name__)
 
@@ -191,8 +191,19 @@ def load_spec(spark: SparkSession, path: str) -> Mapping[str, Any]:
 
 
 class Load(NamedTuple):
+    """Rows written, the null-key check, and per column how many written rows lost their value
+    because it could not be read (``_corrupt_record``: whole lines)."""
+
     rows: int
     checks: DataFrame | None
+    lost: Mapping[str, int] = {}
+
+
+_LOST = "_lost_values"
+
+
+def _unreadable(column: str, kind: T.DataType | str) -> Column:
+    return F.col(column).isNotNull() & F.col(column).try_cast(kind).isNull()
 
 
 def load_table(
@@ -206,22 +217,42 @@ def load_table(
     """Read, transform and write one table, then set up its null-key check on what was written.
 
     A schema in the target section types the columns; cluster columns may stand there too.
+    Values that the types cannot hold become null and corrupt lines become null rows; both are
+    counted in the pass that writes.
     """
     check_spec(spec)
-    df = apply_transforms(read_source(spark, spec), spec, upto, strict)
+    df = read_source(spark, spec)
+    lost = {CORRUPT: F.col(CORRUPT).isNotNull()} if CORRUPT in df.columns else {}
+    for entry in (spec.get("transforms") or {}).get("type_widening") or ():
+        if entry["col"] in df.columns and entry.get("to") == "INT64":
+            lost[entry["col"]] = _unreadable(entry["col"], "bigint")
+    # as rows of the source: the transforms below may change or drop the columns
+    df = df.withColumn(_LOST, F.struct(F.lit(False).alias("_"), *[c.alias(name) for name, c in lost.items()]))
+    df = apply_transforms(df, spec, upto, strict)
     rule = _partition_rule(spec)
     if rule and rule["generated"]:
         # Parquet has no generated columns, so the layout column is computed here
         df = partition_date(df, rule["target"], rule["source"], rule["parts"])
     partition = rule["target"] if rule else native_partition(spec)
     if spec["target"].get("schema"):
-        df = conform(df, T.StructType.fromDDL(spec["target"]["schema"]))
-    rows = write_table(df, target_path, partition, cluster or spec["target"].get("cluster") or ())
+        schema = T.StructType.fromDDL(spec["target"]["schema"])
+        for field in schema.fields:
+            if field.name in df.columns and df.schema[field.name].dataType != field.dataType:
+                bad = _unreadable(field.name, field.dataType)
+                lost[field.name] = F.col(_LOST)[field.name] | bad if field.name in lost else bad
+                df = df.withColumn(_LOST, F.col(_LOST).withField(field.name, lost[field.name]))
+        flags = df.schema[_LOST]
+        df = conform(df, T.StructType([*schema.fields, flags]))
+    counts = {name: F.count_if(F.col(_LOST)[name]) for name in lost}
+    found = write_counted(
+        df, target_path, partition, cluster or spec["target"].get("cluster") or (), counts, [_LOST]
+    )
+    rows = found.pop("rows")
     keys = (spec.get("validation") or {}).get("null_check_cols") or ()
     if not rows or not keys:
-        return Load(rows, None)
+        return Load(rows, None, found)
     expected = (spec.get("validation") or {}).get("expected_null_counts") or {}
-    return Load(rows, null_keys(spark.read.parquet(target_path), keys, expected))
+    return Load(rows, null_keys(spark.read.parquet(target_path), keys, expected), found)
 
 
 def native_partition(spec: Mapping[str, Any]) -> str | None:

@@ -65,38 +65,32 @@ def with_ancestry(
 ) -> DataFrame:
     """Path and depth of every node that hangs below a root within ``max_depth`` steps.
 
-    Roots have a null or empty parent. Every row climbs one parent per step, so the plan
-    holds ``max_depth`` joins over a frame of constant size; nodes whose climb has not
-    ended at a root by then (deeper nodes, orphans, cycles) are left out.
+    Roots have a null or empty parent. Every row holds the labels and parents of a chain that
+    ends in its node; a join with the chain that ends in the first one's parent doubles its
+    length, so the plan holds about log2(``max_depth``) joins. Both sides of a join are the
+    same frame with the same columns, which lets Spark reuse the exchanges below. A finished
+    chain gets a key of its own that nothing matches (zero characters, which no id holds), so
+    finished rows stay spread out. The key of a node without an id is never null, or the filter
+    that Spark adds for a nullable key would make the two sides differ. Nodes whose chain is
+    longer or has no root (orphans, cycles) are left out.
     """
-    is_root = lambda c: c.isNull() | (c == "")
-    up = df.select(
-        F.col(node).alias("_up_node"), F.col(parent).alias("_up_parent"), F.col(label).alias("_up_label")
-    )
-    rows = (
-        df.select(node, label, parent)
-        .withColumn("path", F.col(label))
-        .withColumn("depth", F.lit(0).cast("bigint"))
-        # null marks a climb that has reached its root
-        .withColumn("_next", F.when(is_root(F.col(parent)), None).otherwise(F.col(parent)))
-        .withColumn("_ok", F.lit(True))
-    )
-    for _ in range(max_depth):
-        found = F.col("_up_node").isNotNull()
-        rows = (
-            rows.join(up, F.col("_next") == F.col("_up_node"), "left")
-            .withColumn("_ok", F.col("_ok") & (F.col("_next").isNull() | found))
-            .withColumn(
-                "path",
-                F.when(found, F.concat(F.col("_up_label"), F.lit(separator), F.col("path"))).otherwise(
-                    F.col("path")
-                ),
-            )
-            .withColumn("depth", F.col("depth") + F.when(found, 1).otherwise(0))
-            .withColumn(
-                "_next", F.when(found & ~is_root(F.col("_up_parent")), F.col("_up_parent"))
-            )
-            .drop("_up_node", "_up_parent", "_up_label")
+    rows = df.select(node, F.array(label).alias("_labels"), F.array(parent).alias("_ups"))
+    first = F.element_at("_ups", 1)
+    at_root = first.isNull() | (first == "")
+    for _ in range(max_depth.bit_length()):
+        upper = rows.select(
+            F.coalesce(node, F.lit("\0")).alias("_end"), F.col("_labels").alias("_up_labels"), F.col("_ups").alias("_up_ups")
         )
-    done = F.col("_ok") & F.col("_next").isNull()
-    return rows.filter(done).select(node, label, parent, "path", "depth")
+        chains = rows.withColumn("_key", F.when(at_root, F.concat(F.lit("\0\0"), node)).otherwise(first))
+        longer = lambda up, own: F.when(F.col("_end").isNull(), F.col(own)).otherwise(F.concat(up, own)).alias(own)
+        rows = chains.join(upper, F.col("_key") == F.col("_end"), "left").select(
+            node, longer("_up_labels", "_labels"), longer("_up_ups", "_ups")
+        )
+    named = F.forall("_labels", lambda x: x.isNotNull())
+    return rows.filter(at_root & (F.size("_labels") <= max_depth + 1)).select(
+        node,
+        F.element_at("_labels", -1).alias(label),
+        F.element_at("_ups", -1).alias(parent),
+        F.when(named, F.array_join("_labels", separator)).alias("path"),
+        (F.size("_labels") - 1).cast("bigint").alias("depth"),
+    )

@@ -368,7 +368,9 @@ class TestTables:
             F.col("o_orderkey").alias("order_no"),
             F.concat(F.lit("Street "), F.col("o_orderkey") % 2).alias("address_line1"),
             F.col("o_orderstatus").alias("address_city"),
+            F.concat(F.lit("R"), F.col("o_custkey") % 7).alias("address_region"),
             F.lit("US").alias("address_country"),
+            F.concat(F.lit("Z"), F.col("o_orderkey") % 3).alias("address_postal"),
             F.timestamp_add("SECOND", (F.col("o_orderkey") % 86400).cast("int"), F.col("o_orderdate")).alias("changed_ts"),
         )
 
@@ -379,9 +381,35 @@ class TestTables:
         ).select(
             F.col("l_suppkey").alias("supplier_sk"),
             (F.col("n") * 15).cast("bigint").alias("payment_terms_days"),
+            (F.col("n") % 3).cast("decimal(5,2)").alias("discount_pct"),
+            F.concat(F.lit("buyer"), F.dayofmonth("changed_on")).alias("changed_by"),
             F.col("changed_on"),
         )
 
+    def employee_states(self) -> DataFrame:
+        """What the staff file of a day says; a customer's orders of the day stand for it."""
+        o = self.raw("orders")
+        daily = o.groupBy("o_custkey", F.to_date("o_orderdate").alias("changed_on")).agg(
+            F.min("o_orderkey").alias("n"), F.min("o_orderpriority").alias("role"), F.min("o_orderstatus").alias("status")
+        )
+        return daily.select(
+            F.col("o_custkey").alias("employee_sk"),
+            "role",
+            F.col("status").alias("department"),
+            (F.col("n") % 2).cast("bigint").alias("home_store_sk"),
+            F.concat(F.lit("B"), F.col("n") % 2).alias("salary_band"),
+            "changed_on",
+        )
+
+    def store_states(self) -> DataFrame:
+        """What the store file of a day says; a supplier's sale lines of the day stand for it."""
+        li = self.raw("lineitem")
+        return li.groupBy("l_suppkey", F.to_date("l_shipdate").alias("changed_on")).agg(
+            F.min("l_returnflag").alias("store_type"),
+            F.min("l_linenumber").cast("bigint").alias("manager_employee_sk"),
+            (F.max("l_linenumber") * 100).cast("bigint").alias("sq_ft"),
+        ).withColumnRenamed("l_suppkey", "store_sk")
+
     def customer_signups(self) -> DataFrame:
         """Sign-up records, one per order, with untidy contact data."""
         o, c = self.raw("orders"), self.raw("customer")

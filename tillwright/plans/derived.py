@@ -626,15 +626,16 @@ def top_countries_daily(fact_sales: DataFrame, k: int = 10) -> DataFrame:
 
 def change_history(
     states: DataFrame, key: str, attributes: Sequence[str], changed: str, tie: str | None = None,
-    grain: str = "month",
+    grain: str = "month", carried: Sequence[str] = (),
 ) -> DataFrame:
     """Slowly changing history: a row per change, valid in ``[eff_from, eff_to)``.
 
-    A state equal to the one before it is no change. ``tie`` orders states of one time.
+    A state equal to the one before it is no change; ``carried`` columns come along with a
+    change without being one. ``tie`` orders states of one time.
     ``history_id`` is a hash of key and start.
     """
     order = [changed, tie] if tie else [changed]
-    hashed = states.select(key, *order, *attributes).withColumn("_hash", attribute_hash(attributes))
+    hashed = states.select(key, *order, *attributes, *carried).withColumn("_hash", attribute_hash(attributes))
     slot = time_slot(changed, grain)
     seen = previous_row(hashed, [key], order, ["_hash"], "_before", slot)
     reason = F.when(F.col("_before").isNull(), "initial").otherwise("change")
@@ -645,6 +646,7 @@ def change_history(
         F.xxhash64(key, *order).alias("history_id"),
         key,
         *attributes,
+        *carried,
         F.col(changed).alias("eff_from"),
         F.col(f"_after.{changed}").alias("eff_to"),
         F.col(f"_after.{changed}").isNull().alias("is_current"),
@@ -652,6 +654,28 @@ def change_history(
     )
 
 
+def customer_address_history(states: DataFrame) -> DataFrame:
+    attributes = ["address_line1", "address_city", "address_region", "address_country", "address_postal"]
+    return change_history(states, "customer_sk", attributes, "changed_ts", "order_no")
+
+
+def supplier_terms_history(states: DataFrame) -> DataFrame:
+    """Terms and discount; who made a change is noted, but a new name alone is none."""
+    return change_history(
+        states, "supplier_sk", ["payment_terms_days", "discount_pct"], "changed_on", carried=["changed_by"]
+    ).drop("change_reason")
+
+
+def employee_history(states: DataFrame) -> DataFrame:
+    attributes = ["role", "department", "home_store_sk", "salary_band"]
+    history = change_history(states, "employee_sk", attributes, "changed_on").drop("change_reason")
+    return history.withColumn("eff_from_year", F.year("eff_from").cast("bigint"))
+
+
+def store_history(states: DataFrame) -> DataFrame:
+    return change_history(states, "store_sk", ["store_type", "manager_employee_sk", "sq_ft"], "changed_on")
+
+
 def loyalty_points_ledger(events: DataFrame, valid_days: int = 365) -> DataFrame:
     """Every member's points movements with the balance after each. Earned points expire."""
     delta = F.when(F.col("event_type") == "REDEEM", -F.col("points")).otherwise(F.col("points"))

@@ -146,7 +146,7 @@ def _parity(measure: str, where: str, customer: bool) -> str:
         FROM have LEFT JOIN want ON have."table" = want."table" {where}""")
 
 
-def _history(key: str, attributes: str, source: str, order: str, ts: str, show) -> str:
+def _history(key: str, attributes: str, source: str, order: str, ts: str, show, more: str = "", reason: bool = True) -> str:
     names = [a.strip() for a in attributes.split(",")]
     changed = " OR ".join(f"{a} IS DISTINCT FROM lag({a}) OVER w" for a in names)
     return f"""
@@ -154,9 +154,9 @@ def _history(key: str, attributes: str, source: str, order: str, ts: str, show)
         flagged AS (SELECT *, row_number() OVER w = 1 AS first_state, {changed} OR row_number() OVER w = 1 AS changed
                     FROM states
                     WINDOW w AS (PARTITION BY {key} ORDER BY {order}))
-        SELECT {key}, {attributes}, {show(ts)} AS eff_from,
-               {show(f'lead({ts}) OVER w')} AS eff_to, lead({ts}) OVER w IS NULL AS is_current,
-               CASE WHEN first_state THEN 'initial' ELSE 'change' END AS change_reason
+        SELECT {key}, {attributes}, {show(ts)} AS eff_from, {more}
+               {show(f'lead({ts}) OVER w')} AS eff_to, lead({ts}) OVER w IS NULL AS is_current
+               {", CASE WHEN first_state THEN 'initial' ELSE 'change' END AS change_reason" if reason else ""}
         FROM flagged WHERE changed WINDOW w AS (PARTITION BY {key} ORDER BY {order})"""
 
 
@@ -347,6 +347,10 @@ ORACLE: dict[str, str] = {
     "table_load": _with("keyed_orders", f"""
         SELECT o_orderkey, date_ts, {_day("date_trunc('month', o_orderdate)")} AS partition_month FROM keyed_orders
         WHERE CAST(o_orderdate AS DATE) <= {BOUND_DAY}"""),
+    "load_report": """
+        SELECT 'rows' AS name, count(*) AS n FROM orders
+        UNION ALL SELECT '_corrupt_record', count(*) FROM orders WHERE o_orderkey % 7 = 0
+        UNION ALL SELECT 'o_totalprice', count(*) FROM orders WHERE o_orderkey % 7 <> 0 AND o_orderkey % 10 = 0""",
     "clustered_write": _with("fact_sales", f"""
         SELECT {_day("date_trunc('month', fact_sales.sale_date)")} AS sale_month,
                {_day('sale_date')} AS sale_date, count(*) AS n, {_dbl('sum(line_total)')} AS revenue
@@ -542,15 +546,32 @@ ORACLE: dict[str, str] = {
                rank() OVER (PARTITION BY sale_date ORDER BY daily.revenue DESC) AS "rank"
         FROM daily QUALIFY rank() OVER (PARTITION BY sale_date ORDER BY daily.revenue DESC) <= 3"""),
     "address_history": _history(
-        "customer_sk", "address_line1, address_city, address_country",
+        "customer_sk", "address_line1, address_city, address_region, address_country, address_postal",
         """SELECT o_custkey AS customer_sk, o_orderkey, 'Street ' || (o_orderkey % 2) AS address_line1,
-                  o_orderstatus AS address_city, 'US' AS address_country,
+                  o_orderstatus AS address_city, 'R' || (o_custkey % 7) AS address_region, 'US' AS address_country,
+                  'Z' || (o_orderkey % 3) AS address_postal,
                   o_orderdate + (o_orderkey % 86400) * INTERVAL 1 SECOND AS seen_at FROM orders""",
         "seen_at, o_orderkey", "seen_at", _ts,
     ),
     "supplier_terms_history": _history(
-        "supplier_sk", "payment_terms_days",
+        "supplier_sk", "payment_terms_days, discount_pct",
         """SELECT l_suppkey AS supplier_sk, CAST(min(l_linenumber) * 15 AS BIGINT) AS payment_terms_days,
+                  CAST(min(l_linenumber) % 3 AS DOUBLE) AS discount_pct,
+                  CAST(l_shipdate AS DATE) AS seen_at FROM lineitem GROUP BY l_suppkey, CAST(l_shipdate AS DATE)""",
+        "seen_at", "seen_at", _day, "'buyer' || day(seen_at) AS changed_by,", reason=False,
+    ),
+    "employee_history": _history(
+        "employee_sk", "role, department, home_store_sk, salary_band",
+        """SELECT o_custkey AS employee_sk, min(o_orderpriority) AS role, min(o_orderstatus) AS department,
+                  CAST(min(o_orderkey) % 2 AS BIGINT) AS home_store_sk, 'B' || (min(o_orderkey) % 2) AS salary_band,
+                  CAST(o_orderdate AS DATE) AS seen_at FROM orders GROUP BY o_custkey, CAST(o_orderdate AS DATE)""",
+        "seen_at", "seen_at", _day, "CAST(year(seen_at) AS BIGINT) AS eff_from_year,", reason=False,
+    ),
+    "store_history": _history(
+        "store_sk", "store_type, manager_employee_sk, sq_ft",
+        """SELECT l_suppkey AS store_sk, min(l_returnflag) AS store_type,
+                  CAST(min(l_linenumber) AS BIGINT) AS manager_employee_sk,
+                  CAST(max(l_linenumber) * 100 AS BIGINT) AS sq_ft,
                   CAST(l_shipdate AS DATE) AS seen_at FROM lineitem GROUP BY l_suppkey, CAST(l_shipdate AS DATE)""",
         "seen_at", "seen_at", _day,
     ),

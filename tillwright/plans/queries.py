@@ -380,6 +380,27 @@ def table_load(t):
     return plain(loaded)
 
 
+@query
+def load_report(t):
+    """What a load of damaged lines could not read, per column, beside the rows it wrote."""
+    source, target = scratch_dir(t.spark, "report-in"), scratch_dir(t.spark, "report-out")
+    price = F.when(F.col("o_orderkey") % 10 == 0, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string"))
+    line = F.to_json(F.struct("o_orderkey", price.alias("o_totalprice")))
+    cut = F.when(F.col("o_orderkey") % 7 == 0, F.left(line, F.lit(9))).otherwise(line)
+    t.raw("orders").select(cut.alias("value")).write.text(source)
+    spec = {
+        "source": {
+            "database": "raw", "table": "orders", "format": "json_serde", "path": source,
+            "schema": "o_orderkey bigint, o_totalprice string",
+        },
+        "target": {"table": "orders", "schema": "o_orderkey bigint, o_totalprice double"},
+        "transforms": {},
+        "validation": {},
+    }
+    load = ingest.load_table(t.spark, spec, None, target)
+    return t.spark.createDataFrame(sorted({"rows": load.rows, **load.lost}.items()), "name string, n bigint")
+
+
 @query
 def clustered_write(t):
     path = scratch_dir(t.spark, "write")
@@ -535,21 +556,22 @@ def top_countries(t):
 
 @query
 def address_history(t):
-    attributes = ["address_line1", "address_city", "address_country"]
-    return plain(
-        derived.change_history(t["customer_addresses"], "customer_sk", attributes, "changed_ts", "order_no").drop(
-            "history_id"
-        )
-    )
+    return plain(derived.customer_address_history(t["customer_addresses"]).drop("history_id"))
 
 
 @query
 def supplier_terms_history(t):
-    return plain(
-        derived.change_history(
-            t["supplier_terms_changes"], "supplier_sk", ["payment_terms_days"], "changed_on"
-        ).drop("history_id")
-    )
+    return plain(derived.supplier_terms_history(t["supplier_terms_changes"]).drop("history_id"))
+
+
+@query
+def employee_history(t):
+    return plain(derived.employee_history(t["employee_states"]).drop("history_id"))
+
+
+@query
+def store_history(t):
+    return plain(derived.store_history(t["store_states"]).drop("history_id"))
 
 
 @query

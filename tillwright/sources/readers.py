@@ -38,13 +38,17 @@ def read_csv(
     header: bool = True,
     null_value: str = "",
 ) -> DataFrame:
-    """Delimited text. Without a schema every column is a string."""
+    """Delimited text. Without a schema every column is a string.
+
+    A schema that names ``_corrupt_record`` gets the lines there that do not fit it.
+    """
     reader = (
         spark.read.option("header", str(header).lower())
         .option("sep", delimiter)
         .option("inferSchema", "false")
         .option("nullValue", null_value)
         .option("emptyValue", null_value)
+        .option("columnNameOfCorruptRecord", CORRUPT)
     )
     if schema is not None:
         # with a header, a column in another place than the schema says is an error

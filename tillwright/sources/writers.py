@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -22,19 +22,33 @@ def write_table(
     source is not scanned a second time and a repeated map stage cannot inflate it. The
     check for empty input stops at the first row it finds.
     """
+    return write_counted(df, path, partition, cluster)["rows"]
+
+
+def write_counted(
+    df: DataFrame, path: str, partition: str | None = None, cluster: Sequence[str] = (),
+    counts: Mapping[str, Column] | None = None, without: Sequence[str] = (),
+) -> dict[str, int]:
+    """``write_table`` that gives back ``rows`` and further counts of the same pass.
+
+    ``without`` names helper columns that the counts need and the table does not get.
+    """
+    counts = counts or {}
     if df.isEmpty():
-        return 0
+        return {"rows": 0, **dict.fromkeys(counts, 0)}
     if partition:
         df = df.hint("rebalance", partition)
     sort_by = [c for c in (partition, *cluster) if c]
     if sort_by:
         df = df.sortWithinPartitions(*sort_by)
-    rows = Observation()
-    writer = df.observe(rows, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    seen = Observation()
+    measures = [F.count(F.lit(1)).alias("_rows"), *[c.alias(name) for name, c in counts.items()]]
+    writer = df.observe(seen, *measures).drop(*without).write.mode("overwrite")
     if partition:
         writer = writer.partitionBy(partition)
     writer.parquet(path)
-    return rows.get["rows"]
+    found = seen.get
+    return {"rows": found["_rows"], **{name: found[name] for name in counts}}
 
 
 class DryRun(NamedTuple):
