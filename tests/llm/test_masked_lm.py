@@ -68,3 +68,30 @@ def test_query_covers_every_document_and_repeats(spark, nothing):
     assert len(rows) == spark.read.parquet(f"{SF}/documents.parquet").count()
     assert sorted(rows) == sorted(QUERIES["op8_masked_lm"](spark, SF).collect())
     assert lm.score(nothing).count() == 0
+
+
+def test_every_word_is_a_target_in_documents_of_one_to_ten_words_and_small_tasks(spark):
+    rng = random.Random(4)
+    docs = [" ".join(rng.choices("abcdefgh", k=k % 10 + 1)) for k in range(60)]
+    texts = spark.createDataFrame([(t,) for t in docs], "text string").repartition(20)
+    vocabulary = lm.Vocabulary(lm.count(texts))
+    start = lm.Network.start(vocabulary).weights
+    seen = 0
+    for turn in range(2):
+        given = texts.mapInArrow(lm._trained(start, vocabulary, turn, 2), "k int, weight long, seen long")
+        seen += sum(r.seen for r in given.filter("k = 0").collect())
+    assert seen == sum(len(t.split()) for t in docs)
+    moved = lm.train(texts, vocabulary) != start
+    ends = moved[: lm._ENDS[0]].reshape(lm.PLACES, lm.CLASSES + 1, lm.WIDTH)[:, lm.CLASSES]
+    assert ends.all()
+
+
+def test_a_last_partial_batch_and_a_long_document_are_learned_from():
+    import pyarrow as pa
+
+    vocabulary = lm.Vocabulary(np.ones(lm.WORDS))
+    start = lm.Network.start(vocabulary).weights
+    for n in (1, 7, lm.BATCH, lm.BATCH + 1, 3 * lm.BATCH + 5):
+        batch = pa.RecordBatch.from_arrays([pa.array(["w " * n])], ["text"])
+        got = [next(lm._trained(start, vocabulary, turn, 2)(iter([batch])), None) for turn in range(2)]
+        assert sum(g.column("seen")[0].as_py() for g in got if g) == n

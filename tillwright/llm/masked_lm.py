@@ -6,8 +6,9 @@ share of the class's count in the corpus. The network adds embeddings of the cla
 place has its own), takes the hyperbolic tangent and predicts the class by a softmax. A document's score
 is the sum of the logarithms over all its words, each predicted with itself masked.
 
-Training runs over all documents: each task starts from the same network, learns from every ``EVERY``-th window of each of its documents (another
-one each round), and gives back its network weighted by its windows; the mean is the next round's start. Counts and weights
+Training meets every word of every document as a target, in one of the rounds: each task starts from the same network, learns in round ``turn`` of
+``rounds`` from the words at the places ``turn``, ``turn + rounds`` and so on of each of its documents, however few there are, and gives back its network
+weighted by its windows; the mean is the next round's start. Counts and weights
 are summed as whole numbers, so the order of tasks makes no difference. The network and the counts have a fixed size.
 
 Null and empty texts have no words and score 0. Equal rows give equal rows; ids may be null; other columns play no part. In an empty table nothing
@@ -31,7 +32,7 @@ OWN, SHARED = 128, 64
 CLASSES = OWN + SHARED
 REACH, WIDTH = 2, 32
 PLACES = 2 * REACH
-EVERY, ROUNDS = 16, 2
+ROUNDS = 2
 BATCH = 1024
 RATE = 0.01
 #: Weights are summed as whole multiples of 2^-20.
@@ -91,13 +92,15 @@ class Network:
         z = h @ self.out + self.out_bias
         z -= z.max(axis=1, keepdims=True)
         np.exp(z, out=z)
-        z /= z.sum(axis=1, keepdims=True)
-        z[np.arange(len(z)), target] -= 1
-        z /= len(z)
+        z *= 1 / (len(z) * z.sum(axis=1, keepdims=True))
+        z[np.arange(len(z)), target] -= 1 / len(z)
         dh = (z @ self.out.T) * (1 - h**2)
         de = np.zeros_like(self.embedding)
+        places = np.arange(WIDTH)
         for p in range(PLACES):
-            np.add.at(de, around[:, p], dh)
+            rows = slice(p * (CLASSES + 1), (p + 1) * (CLASSES + 1))
+            at = (around[:, p, None] - rows.start) * WIDTH + places
+            de[rows] = np.bincount(at.ravel(), dh.ravel(), (CLASSES + 1) * WIDTH).reshape(-1, WIDTH)
         return np.concatenate([de.ravel(), dh.sum(0), (h.T @ z).ravel(), z.sum(0)])
 
 
@@ -126,29 +129,35 @@ def count(texts: DataFrame) -> np.ndarray:
     return counts
 
 
-def _trained(network: np.ndarray, vocabulary: Vocabulary, turn: int):
+def _trained(network: np.ndarray, vocabulary: Vocabulary, turn: int, rounds: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, seen = Network(network.copy()), 0
         first, second, step = np.zeros(_ENDS[-1], np.float32), np.zeros(_ENDS[-1], np.float32), 0
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
+
+        def learn() -> None:
+            nonlocal first, second, step, seen, held, size
+            around, target = (np.concatenate(x) for x in zip(*held))
+            g, step = model.gradient(around, target), step + 1
+            first += 0.1 * (g - first)
+            second += 0.001 * (g * g - second)
+            model.weights -= RATE / (1 + step / 500) * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+            seen, held, size = seen + size, [], 0
+
         for batch in batches:
             for some in text_slices(batch, "text"):
                 for text in some.column("text"):
                     classes = vocabulary.of[numbers(text.as_py())]
-                    # a document shorter than a stride is met in the round that its length gives
-                    at = np.arange((len(classes) + turn) % EVERY, len(classes), EVERY)
-                    for a in range(0, len(at), BATCH):
-                        part = at[a : a + BATCH]
+                    at = np.arange(turn, len(classes), rounds)
+                    while len(at):
+                        part, at = at[: BATCH - size], at[BATCH - size :]
                         held.append((windows(classes, part), classes[part]))
                         size += len(part)
                         if size >= BATCH:
-                            around, target = (np.concatenate(x) for x in zip(*held))
-                            g, step = model.gradient(around, target), step + 1
-                            first += 0.1 * (g - first)
-                            second += 0.001 * (g * g - second)
-                            model.weights -= RATE / (1 + step / 500) * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-                            seen, held, size = seen + size, [], 0
+                            learn()
+        if held:
+            learn()
         if seen:
             whole = np.rint(model.weights.astype(np.float64) * FIXED).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(whole), dtype=np.int32)), pa.array(whole), pa.array(np.full(len(whole), seen))], ["k", "weight", "seen"])
@@ -159,7 +168,7 @@ def _trained(network: np.ndarray, vocabulary: Vocabulary, turn: int):
 def train(texts: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
     weights = Network.start(vocabulary).weights
     for turn in range(rounds):
-        given = texts.mapInArrow(_trained(weights, vocabulary, turn * (EVERY // rounds)), "k int, weight long, seen long")
+        given = texts.mapInArrow(_trained(weights, vocabulary, turn, rounds), "k int, weight long, seen long")
         exact = (F.col("weight").cast("decimal(20,0)") * F.col("seen").cast("decimal(12,0)")).cast("decimal(32,0)")
         sums = given.groupBy("k").agg(F.sum(exact).alias("weight"), F.sum("seen").alias("seen"))
         means = sums.select("k", (F.col("weight").cast("double") / F.col("seen")).alias("mean")).collect()
