@@ -96,3 +96,12 @@ def test_odd_rows_and_nothing_pass_every_stage(spark, odd, nothing):
             docs = stage(spark, docs, SF)
             docs = spark.createDataFrame(docs.collect(), docs.schema)
         assert docs.count() >= 0
+
+
+def test_columns_named_as_the_prediction_pass_every_stage(spark, odd, nothing):
+    for docs in (odd, nothing):
+        columns = docs.dtypes
+        for name, stage in corpus_pipeline.STAGES:
+            docs = stage(spark, docs, SF)
+            docs = spark.createDataFrame(docs.collect(), docs.schema)
+            assert docs.dtypes == columns or name == "pack_sequences"
