@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import ball_tree, langid, masked_lm, mixing, multi_index, packing, sharding, simhash, token_orc, warc
-from tillwright.llm.common import shared_path, table
+from tillwright.llm import ball_tree, filter_audit, golomb_dedup, langid, masked_lm, mixing, multi_index, packing, periodic_runs, sharding, simhash, token_orc, warc
+from tillwright.llm.common import WORD, shared_path, table
 
 SHARDS = [f"shard-{k:03d}" for k in range(128)]
 
@@ -65,9 +65,54 @@ def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(docs, "doc_id", SHARDS)
 
 
+def repeating(docs: DataFrame) -> DataFrame:
+    """doc_id and text; of every tenth document, by a checksum of the id, the words from some place on repeat the first of them."""
+    number = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), number.alias("h"))
+    rows = rows.withColumn("words", F.when(F.col("h") % 10 == 0, words)).withColumns({"n": F.size("words"), "g": F.floor(F.col("h") / 10)})
+    rows = rows.withColumn("a", (F.col("g") % F.greatest("n", F.lit(1))).cast("int"))
+    rows = rows.withColumn("p", F.lit(1) + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)).cast("int"))
+    left = F.col("n") - F.col("a")
+    period = F.slice("words", F.col("a") + 1, F.col("p"))
+    tail = F.slice(F.flatten(F.array_repeat(period, F.ceil(left / F.col("p")).cast("int"))), F.lit(1), left)
+    changed = F.concat_ws(" ", F.slice("words", F.lit(1), F.col("a")), tail)
+    return rows.select("doc_id", F.when((F.col("h") % 10 == 0) & (F.col("n") > 0), changed).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(repeating(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    # a / b > c / d in whole numbers; of equal ones the first by start, then period, stays
+    best = F.reduce("runs", F.element_at("runs", 1), lambda b, r: F.when(r["length"] * b["period"] > b["length"] * r["period"], r).otherwise(b))
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    found = found.withColumn("best", F.when(F.size("runs") > 0, best))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_golomb_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return golomb_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{sf_dir.rstrip('/')}/documents.parquet"
+    log = filter_audit.new_log(spark, path)
+    filter_audit.add_files(spark, path, table(spark, sf_dir, "labels"), log)
+    return filter_audit.interactions(filter_audit.counters(spark, log), "ABCDE")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_multi_index, op2_token_orc, op3_mix, op4_pack, op5_simhash, op6_ball_tree, op7_language, op8_masked_lm, op9_warc, op10_shard)
-}
+    f.__name__: f for f in (op1_multi_index, op2_token_orc, op3_mix, op4_pack, op5_simhash, op6_ball_tree, op7_language, op8_masked_lm, op9_warc, op10_shard,
+              op11_periodic_runs, op12_golomb_dedup, op13_filter_audit)
+}
 _WORDS = "len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
 
@@ -153,6 +198,55 @@ FROM p LEFT JOIN f ON p.d = f.d
 """
 
 
+_COPIES = """
+WITH n AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+)
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+  row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
+FROM n WINDOW g AS (PARTITION BY t)
+"""
+
+#: Every order is a row of its own; each document's failures are compared with the filters before each step.
+_AUDIT = f"""
+WITH w AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), l AS (
+  SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+), m AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, (len(words) < 200)::INT
+    + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INT
+    + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t))::INT
+    + 8 * regexp_matches(t, '[#$%&*|]')::INT
+    + 16 * coalesce(w.doc_id > min(w.doc_id) OVER (PARTITION BY t), false)::INT AS mask
+  FROM w LEFT JOIN l ON w.doc_id = l.doc_id
+), c AS (
+  SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY part, mask
+), f AS (
+  SELECT unnest([0, 1, 2, 3, 4]) AS k
+), o AS (
+  SELECT [a.k, b.k, x.k, y.k, z.k] AS ks, list_transform([a.k, b.k, x.k, y.k, z.k], lambda k: substr('ABCDE', k + 1, 1)) AS letters
+  FROM f a, f b, f x, f y, f z WHERE len(list_distinct([a.k, b.k, x.k, y.k, z.k])) = 5
+), s AS (
+  SELECT array_to_string(letters, '') AS filter_order, step, 1 << ks[step] AS own, list_sum(list_transform(ks[1:step - 1], lambda k: 1 << k)) AS gone
+  FROM (SELECT *, unnest([1, 2, 3, 4, 5]) AS step FROM o)
+), r AS (
+  SELECT part, filter_order, step, own,
+    coalesce(sum(n) FILTER (mask & (own | coalesce(gone, 0)::INT) = 0), 0) AS kept,
+    coalesce(sum(n) FILTER (mask & own > 0 AND mask & coalesce(gone, 0)::INT = 0), 0) AS removed,
+    coalesce(sum(n) FILTER (mask & own > 0 AND mask & coalesce(gone, 0)::INT > 0), 0) AS redundant,
+    coalesce(sum(n) FILTER (mask = own), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (mask & own > 0 AND mask & coalesce(gone, 0)::INT = 0), 0) AS good_lost,
+    coalesce(sum(toxic) FILTER (mask & own > 0 AND mask & coalesce(gone, 0)::INT = 0), 0) AS toxic_lost
+  FROM c, s GROUP BY ALL
+)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+  unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM r
+"""
+
+
 def _shards() -> str:
     """The table of slots as a literal, tested against a plain filling."""
     held = ",".join(map(str, sharding.fill(SHARDS)))
@@ -165,4 +259,5 @@ SELECT doc_id, slot, 'shard-' || lpad(held[slot + 1], 3, '0') AS shard FROM s, h
 
 ORACLE: dict[str, str] = {
     "op3_mix": _MIX, "op6_ball_tree": _BEST, "op9_warc": _WARC, "op10_shard": _shards(),
+    "op12_golomb_dedup": _COPIES, "op13_filter_audit": _AUDIT,
 }
