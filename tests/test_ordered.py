@@ -107,11 +107,45 @@ def test_rank_desc(make, values):
     assert out.count() == len(data)
 
 
-def test_falling_slot_is_monotone(make):
-    values = (None, float("-inf"), -1e15, -12.5, -0.01, 0.0, 0.004, 0.5, 3.0, 1e6, 1e15, float("inf"), float("nan"))
-    df = make([(x,) for x in values], "v double")
-    slots = [r.s for r in df.select(ordered.falling_slot("v").alias("s")).collect()]
-    assert slots == sorted(slots, reverse=True)
+ODD_VALUES = (None, float("-inf"), -1e15, -12.5, -0.01, 0.0, -0.0, 0.004, 0.5, 3.0, 1e6, 1e15, float("inf"), float("nan"))
+
+
+@pytest.mark.parametrize("bounds, block", [(1024, 32), (4, 2), (1, 1)])
+def test_ranks_of_odd_values_and_few_bounds(make, monkeypatch, bounds, block):
+    monkeypatch.setattr(ordered, "BOUNDS", bounds)
+    monkeypatch.setattr(ordered, "BLOCK", block)
+    data = [(g, v, i) for i, (g, v) in enumerate((g, v) for v in ODD_VALUES for g in ("a", "a", "b", None))]
+    size = lambda v: -2e308 if v is None else 1e400 if v != v else v
+    place = {id(v): k for k, v in enumerate(ODD_VALUES)}
+    order = lambda v: (0 if v is None else 2 if v != v else 1, size(v))
+    distinct = sorted({order(v) for v in ODD_VALUES}, reverse=True)
+    out = ordered.rank_desc(make(data, "g string, v double, id bigint").repartition(3), "v", ["g"], "r", "d").collect()
+    assert len(out) == len(data) and place
+    for row in out:
+        assert row.d == 1 + distinct.index(order(row.v))
+        assert row.r == 1 + sum(g == row.g and order(v) > order(row.v) for g, v, _ in data)
+
+
+def test_ranking_is_spread_when_all_values_are_close_and_one_is_hot(spark):
+    """All values within a hundredth, a third of the rows with one and the same."""
+    close = 1_000_000 + F.pmod(F.xxhash64("id"), F.lit(10_000))
+    df = spark.range(0, 60_000, 1, 8).select(F.when(F.col("id") % 3 == 0, 1_000_500).otherwise(close).alias("v"), (F.col("id") % 5).alias("g"), "id")
+    rows_ = df.withColumn("_row", F.xxhash64("v", "g", "id"))
+    slot, equal = ordered._between_bounds(rows_, F.col("v"))
+    dealt = rows_.withColumns({"s": slot, "salt": F.when(equal, F.pmod("_row", F.lit(ordered.SALTS)))})
+    sizes = sorted(r["count"] for r in dealt.groupBy("s", "salt").count().collect())
+    assert len(sizes) > 1000 and sizes[-1] < 60_000 / 64
+    out = ordered.rank_desc(df, "v", ["g"], "r", "d")
+    values = [r.v for r in df.select("v").distinct().collect()]
+    place = {v: k + 1 for k, v in enumerate(sorted(values, reverse=True))}
+    found = out.collect()
+    assert len(found) == 60_000 and all(r.d == place[r.v] for r in found)
+    first = {g: sorted((r.v for r in found if r.g == g), reverse=True) for g in range(5)}
+    for g, vs in first.items():
+        ranks = {}
+        for k, v in enumerate(vs):
+            ranks.setdefault(v, k + 1)
+        assert all(r.r == ranks[r.v] for r in found if r.g == g)
 
 
 def test_latest_per_key(make):
@@ -120,7 +154,8 @@ def test_latest_per_key(make):
     assert {r.k: r.id for r in out.collect()} == {k: g[-1][2] for k, g in by_key(data).items()}
 
 
-def test_followed_within(make):
+@pytest.mark.parametrize("pairs_per_key", [1 << 24, 50, 1])
+def test_followed_within(make, pairs_per_key):
     left = [(r[0], r[1], r[2]) for r in skewed(200, 6, 20000)]
     right = [(r[0], r[1], r[2]) for r in skewed(200, 7, 20000)]
     # exactly one day later still counts, a second more does not; times before 1970 work too
@@ -135,5 +170,27 @@ def test_followed_within(make):
         hits = [j for k2, t2, j in right if k is not None and k2 == k and t <= t2 <= t + day]
         want += [(i, j) for j in hits] or [(i, None)]
     a, b = make(left, "k string, ts timestamp, id bigint"), make(right, "rk string, rts timestamp, rid bigint")
-    out = joins.followed_within(a, b, [("k", "rk")], "ts", "rts", 24 * 3600)
+    out = joins.followed_within(a, b, [("k", "rk")], "ts", "rts", 24 * 3600, pairs_per_key=pairs_per_key)
     assert rows(out, "id", "rid") == sorted(want, key=repr)
+
+
+def test_pairs_of_a_hot_key_are_dealt_to_many_tasks(spark):
+    """Two thirds of both sides belong to one customer, most of them to one day."""
+    spread = lambda n, key: spark.range(0, n, 1, 4).select(
+        F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias(key),
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") % 7200 * 3).alias(f"{key}_ts"),
+        F.col("id").alias(f"{key}_id"),
+    )
+    left, right, limit = spread(6000, "l"), spread(3000, "r"), 100_000
+    lhs, rhs = joins.dealt_by_pairs(left, right, [("l", "r")], "l_ts", "r_ts", 24 * 3600, limit)
+    starts = lhs.groupBy("l", "_lslot", "_lpart").agg(F.count(F.lit(1)).alias("n"))
+    ends = rhs.groupBy("r", "_rslot", "_rpart").agg(F.count(F.lit(1)).alias("m"))
+    cells = starts.join(ends, (F.col("l") == F.col("r")) & (F.col("_lslot") == F.col("_rslot")) & (F.col("_lpart") == F.col("_rpart")))
+    hot = cells.filter("l = 'hot'").collect()
+    assert len(hot) > 40 and max(r.n * r.m for r in hot) < 1.6 * limit
+    # rows of other keys are listed in their two slots and no more
+    assert rhs.filter("r <> 'hot'").count() == 2 * 1000 and lhs.count() == 6000
+    want = left.join(right, (F.col("l") == F.col("r")) & (F.col("r_ts").between(F.col("l_ts"), F.col("l_ts") + F.expr("interval 1 day"))), "left")
+    got = joins.followed_within(left, right, [("l", "r")], "l_ts", "r_ts", 24 * 3600, pairs_per_key=limit)
+    mark = [F.count(F.lit(1)), F.count("r"), F.sum(F.xxhash64("l_id", "r_id").cast("decimal(38,0)"))]
+    assert got.agg(*mark).first() == want.agg(*mark).first()

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _MICROS_PER_SECOND = 1_000_000
+#: Pairs that the rows of one equality key may make before its left rows are dealt to several keys.
+PAIRS_PER_KEY = 1 << 24
 
 
 def followed_within(
@@ -18,30 +20,69 @@ def followed_within(
     right_ts: str,
     seconds: int,
     how: str = "left",
+    pairs_per_key: int = PAIRS_PER_KEY,
 ) -> DataFrame:
     """Join where ``right_ts`` lies in ``[left_ts, left_ts + seconds]``, bounds included.
 
     Both sides are cut into time slots as wide as the interval, and the slot becomes an
     equality key. Each right row is listed in the two slots its partners can start in;
     a left row has one slot only, so every pair appears once and outer rows stay single.
-    A hot key is thus spread over its slots instead of meeting all its rows in one task.
+
+    A hot key can still have so many rows in one slot that their pairs, few bytes before the
+    join, overwhelm one task. So both sides are counted per key and slot, and where the product
+    of the counts passes ``pairs_per_key``, the left rows are dealt to as many parts as that
+    takes; only the right rows of such slots are copied, once for each part.
     """
-    width = F.lit(seconds * _MICROS_PER_SECOND)
-    # start of the slot in whole microseconds; all arithmetic stays in integers
-    slot_of = lambda ts: F.unix_micros(ts) - F.pmod(F.unix_micros(ts), width)
-    lhs = left.withColumn("_lslot", slot_of(F.col(left_ts)))
-    slot = slot_of(F.col(right_ts))
-    rhs = right.filter(F.col(right_ts).isNotNull()).withColumn(
-        "_rslot", F.explode(F.array(slot - width, slot))
-    )
+    lhs, rhs = dealt_by_pairs(left, right, on, left_ts, right_ts, seconds, pairs_per_key)
     condition = [lhs[a] == rhs[b] for a, b in on]
     condition += [
         F.col("_lslot") == F.col("_rslot"),
+        F.col("_lpart") == F.col("_rpart"),
         F.col(right_ts).between(
             F.col(left_ts), F.col(left_ts) + F.make_dt_interval(secs=F.lit(seconds))
         ),
     ]
-    return lhs.join(rhs, condition, how).drop("_lslot", "_rslot")
+    return lhs.join(rhs, condition, how).drop("_lslot", "_rslot", "_lpart", "_rpart")
+
+
+def dealt_by_pairs(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[tuple[str, str]],
+    left_ts: str,
+    right_ts: str,
+    seconds: int,
+    pairs_per_key: int,
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides of an interval join with their slots and parts."""
+    width = F.lit(seconds * _MICROS_PER_SECOND)
+    # start of the slot in whole microseconds; all arithmetic stays in integers
+    slot_of = lambda ts: F.unix_micros(ts) - F.pmod(F.unix_micros(ts), width)
+    lkeys, rkeys = [a for a, _ in on], [b for _, b in on]
+    both = lambda slot: F.explode(F.array(slot - width, slot))
+    lhs = left.withColumn("_lslot", slot_of(F.col(left_ts)))
+    rhs = right.filter(F.col(right_ts).isNotNull()).withColumn("_rslot", slot_of(F.col(right_ts)))
+
+    names = [f"_k{k}" for k in range(len(on))]
+    starts = lhs.groupBy(*[F.col(c).alias(n) for c, n in zip(lkeys, names)], F.col("_lslot").alias("_cell"))
+    starts = starts.agg(F.count(F.lit(1)).alias("_n"))
+    # counted before the rows are listed twice
+    ends = rhs.groupBy(*[F.col(c).alias(n) for c, n in zip(rkeys, names)], "_rslot").agg(F.count(F.lit(1)).alias("_m"))
+    ends = ends.withColumn("_cell", both(F.col("_rslot"))).groupBy(*names, "_cell").agg(F.sum("_m").alias("_m"))
+    pairs = F.col("_n").cast("double") * F.col("_m")
+    parts = F.least(F.col("_n"), F.ceil(pairs / pairs_per_key)).cast("int")
+    hot = starts.join(ends, [*names, "_cell"]).filter(pairs > pairs_per_key).select(*names, "_cell", parts.alias("_parts"))
+
+    def with_parts(df: DataFrame, keys: list[str], slot: str) -> DataFrame:
+        same = [F.col(c) == F.col(n) for c, n in zip(keys, names)]
+        return df.join(hot, [*same, F.col(slot) == F.col("_cell")], "left").drop(*names, "_cell")
+
+    columns = [F.col(c) for c, kind in left.dtypes if "map<" not in kind]
+    part = F.coalesce(F.pmod(F.xxhash64(*columns), F.col("_parts")), F.lit(0)).cast("int")
+    lhs = with_parts(lhs, lkeys, "_lslot").withColumn("_lpart", part).drop("_parts")
+    rhs = with_parts(rhs.withColumn("_rslot", both(F.col("_rslot"))), rkeys, "_rslot")
+    every = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
+    return lhs, rhs.withColumn("_rpart", F.explode(every)).drop("_parts")
 
 
 def lookup_with_default(

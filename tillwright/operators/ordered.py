@@ -16,29 +16,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _HELPERS = ("_slot", "_carry", "_step")
+#: Rows sampled for the bounds of ranking slots, bounds compared at a time, and tasks over which equal values are spread.
+BOUNDS, BLOCK, SALTS = 1024, 32, 64
 
 
 def time_slot(ts: str | Column, grain: str = "hour") -> Column:
     return F.date_trunc(grain, F.col(ts) if isinstance(ts, str) else ts)
 
 
-def falling_slot(value: str | Column, steps: int = 512) -> Column:
-    """Slot number for a numeric ordering from large to small.
-
-    Logarithmic, so it needs no pass over the data to find its bounds, and it has at
-    most ``2 * steps * ln(max)`` values. Nulls come last, infinity and NaN first.
-    """
-    number = (F.col(value) if isinstance(value, str) else value).cast("double")
-    size = F.floor(F.log1p(F.abs(number)) * steps)
-    last, infinity = F.lit(2**62), F.lit(float("inf"))
-    return (
-        F.when(number.isNull() | (number == -infinity), last)
-        .when(F.isnan(number) | (number == infinity), -last)
-        .when(number < 0, size)
-        .otherwise(-size)
-    )
-
-
 def _with_carry(rows: DataFrame, carry: DataFrame) -> DataFrame:
     return rows.unionByName(carry, allowMissingColumns=True)
 
@@ -168,6 +153,31 @@ def group_ordinal(
     )
 
 
+def _between_bounds(rows: DataFrame, value: Column) -> tuple[Column, Column]:
+    """Slot of a value from large to small, and whether all rows of that slot are equal.
+
+    The distinct values of a sample are bounds: each is a slot of its own, and so is what lies between two of them.
+    The sample holds the rows with the smallest hashes, so it is the same whenever the plan is run, and slots
+    are about equally full whatever the values look like; a value that many rows share is a bound almost surely.
+    Nulls are the last slot.
+    """
+    sample = rows.filter(value.isNotNull()).select(value.alias("_bound"), "_row").orderBy("_row", "_bound").limit(BOUNDS)
+    found = sample.agg(F.array_sort(F.array_distinct(F.collect_list("_bound"))).alias("_all"))
+    found = found.select(F.struct("_all", F.filter("_all", lambda _, k: k % BLOCK == 0).alias("_heads")).alias("_bounds")).scalar()
+    bounds, heads = found["_all"], found["_heads"]
+    # a search in two steps, for the block of bounds and for the place in it
+    smaller = lambda some: (F.array_position(F.sort_array(F.array_append(some, value)), value) - 1).cast("int")
+    first = F.greatest(smaller(heads) - 1, F.lit(0)) * BLOCK
+    block = F.slice(bounds, first + 1, F.lit(BLOCK))
+    is_bound = F.array_contains(block, value)
+    # a bound at the start of a block is larger than all of the block before it
+    next_head = F.coalesce(F.get(bounds, first + BLOCK) == value, F.lit(False))
+    is_bound = (is_bound | next_head).cast("int")
+    above = F.size(bounds) - (first + smaller(block)) - is_bound
+    slot = F.when(value.isNull() | (F.size(bounds) == 0), 2 * F.size(bounds) + 1).otherwise(2 * above + is_bound)
+    return slot.cast("int"), slot % 2 == 1
+
+
 def rank_desc(
     df: DataFrame,
     value: str,
@@ -175,34 +185,42 @@ def rank_desc(
     rank_as: str | None = None,
     dense_rank_as: str | None = None,
 ) -> DataFrame:
-    """RANK inside ``within`` and/or DENSE_RANK over everything, both from large to small.
+    """RANK inside ``within`` and/or DENSE_RANK over everything, both from large to small, nulls last.
 
-    Equal values are first folded into one counted row, so neither a hot group nor a
-    hot value reaches a single task; ranks are running totals over those rows. ``df`` is
-    read twice, so it should be stored or cheap.
+    Rows are dealt to slots of the value that a sample bounds (see above), and rank inside their slot; what lies in
+    greater slots comes in by carry rows, one for each slot and group. Equal values of a slot
+    of their own need not meet, so a hot value is spread by a hash of its rows. No task holds a whole group.
     """
-    slot = falling_slot(value)
-    order = [F.col(value).desc_nulls_last()]
-    counted = df.groupBy(*within, value).agg(F.count(F.lit(1)).alias("_n"))
-    ranks = counted
+    kind = dict(df.dtypes)[value]
+    number = F.when(F.col(value) == 0, F.lit(0).cast(kind)).otherwise(F.col(value)) if kind in ("double", "float") else F.col(value)
+    whole = [F.col(c) for c, k in df.dtypes if "map<" not in k]
+    # the hash needs all columns, so every use of the rows reads the same exchanges below
+    rows = df.withColumn("_row", F.xxhash64(*whole))
+    slot, equal = _between_bounds(rows, number)
+    rows = rows.withColumn("_slot", slot).withColumn("_salt", F.when(equal, F.pmod("_row", F.lit(SALTS))).otherwise(0).cast("int")).drop("_row")
+    falling = F.col(value).desc_nulls_last()
+
+    here = ["_slot", "_salt"]
+    before = F.lag(number).over(Window.partitionBy(*here).orderBy(falling))
+    # of the distinct values, those that are bounds are counted by their slots' numbers
+    fresh = F.when(F.col("_slot") % 2 == 1, 0).when(before.isNull() | (before != number), 1).otherwise(0)
+    counted = rows.select(*within, *here, fresh.alias("_fresh"))
+    counted = counted.withColumn("_entry", F.explode(F.array(*[F.struct(F.lit(k).alias("of"), n.cast("long").alias("n")) for k, n in ((0, F.lit(1)), (1, F.col("_fresh")))])))
+    groups = [F.when(F.col("_entry.of") == 0, F.col(c)).alias(c) for c in within]
+    sums = counted.groupBy(F.col("_entry.of").alias("_of"), *groups, *here).agg(F.sum("_entry.n").alias("_n"))
+    earlier = Window.partitionBy("_of", *within).orderBy("_slot").rangeBetween(Window.unboundedPreceding, -1)
+    carry = sums.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
+
+    both = rows.withColumn("_of", F.lit(-1)).unionByName(carry, allowMissingColumns=True)
+    found = both
+    brought = lambda of, *group: F.max(F.when(F.col("_of") == of, F.col("_before"))).over(Window.partitionBy(*here, *group))
     if rank_as:
-        ranks = running_total(counted, list(within), order, "_n", "_seen", slot).withColumn(
-            rank_as, F.col("_seen") - F.col("_n") + 1
-        )
-        ranks = ranks.drop("_seen")
+        inside = F.rank().over(Window.partitionBy(*here, "_of", *within).orderBy(falling))
+        found = found.withColumn(rank_as, brought(0, *within) + inside)
     if dense_rank_as:
-        # counting keeps the column needs of both rankings equal, so they share one shuffle
-        distinct = counted.groupBy(value).agg(F.sum("_n").alias("_rows"))
-        one = F.least("_rows", F.lit(1).cast("bigint"))
-        dense = running_total(distinct, [], order, one, dense_rank_as, slot).drop("_rows")
-        dense = dense.withColumnRenamed(value, "_value")
-        ranks = ranks.join(dense, F.col(value).eqNullSafe(F.col("_value"))).drop("_value")
-    ranks = ranks.drop("_n").select(
-        *[F.col(c).alias(f"_r_{c}") for c in (*within, value)],
-        *[c for c in (rank_as, dense_rank_as) if c],
-    )
-    same = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in (*within, value)]
-    return df.join(ranks, same).drop(*[f"_r_{c}" for c in (*within, value)])
+        inside = F.dense_rank().over(Window.partitionBy(*here, "_of").orderBy(falling))
+        found = found.withColumn(dense_rank_as, brought(1) + F.floor(F.col("_slot") / 2) + inside)
+    return found.filter(F.col("_of") == -1).drop("_of", "_before", *here)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column]) -> DataFrame:

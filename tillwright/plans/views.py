@@ -183,8 +183,13 @@ def vw_product_performance(t: Tables, as_of: Day | None = None) -> DataFrame:
         F.count("invoice_no").alias("orders"),
     )
     # a repeated dimension row repeats its product's sales
-    products = t["dim_product"].groupBy("product_sk", "stock_code", "description").agg(
-        F.count(F.lit(1)).alias("copies")
+    # dealt by the join's key at once, which the grouping can use as well
+    products = (
+        t["dim_product"]
+        .select("product_sk", "stock_code", "description")
+        .repartition("product_sk")
+        .groupBy("product_sk", "stock_code", "description")
+        .agg(F.count(F.lit(1)).alias("copies"))
     )
     sold = products.join(per_country, "product_sk").select(
         "product_sk", "stock_code", "description", "country",
