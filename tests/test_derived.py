@@ -104,3 +104,22 @@ def test_customers_without_coordinates(make):
     out = derived.cleansed_customers(make([old, new], schema)).collect()
     assert [(r.email_norm, r.phone_norm, r.load_date, r.geocoded_lat) for r in out] == [("b@x", None, date(2024, 2, 1), None)]
     assert len(out[0].record_hash) == 64
+
+
+def test_fraud_score_knows_no_later_signal(make):
+    from datetime import datetime, timedelta
+
+    at = lambda minutes: datetime(2024, 1, 1) + timedelta(minutes=minutes)
+    pos = make([(1, "c", at(10)), (2, "c", at(30)), (3, "d", at(30)), (4, None, at(30))], "txn_id long, customer_id string, txn_ts timestamp")
+    signals = make(
+        [("c", "velocity", 0.9, at(20)), ("c", "address", 0.2, at(5)), ("d", "velocity", 0.95, at(31)), (None, "velocity", 1.0, at(1))],
+        "customer_id string, signal_type string, score double, signal_ts timestamp",
+    )
+    clicks = make([("d", at(29), 0.6), ("d", at(32), 1.0), ("c", at(10), 0.1)], "user_id string, event_ts timestamp, bot_score double")
+    found = {r.txn_id: r for r in derived.fraud_scored(pos, clicks, signals).collect()}
+    assert [(float(found[k].fraud_score), found[k].risk_band, found[k].signals, found[k].scored_at) for k in (1, 2, 3, 4)] == [
+        (0.2, "LOW", ["address"], at(10)),
+        (0.9, "HIGH", ["velocity"], at(20)),
+        (0.6, "MEDIUM", ["bot"], at(29)),
+        (0.0, "LOW", [], at(30)),
+    ]

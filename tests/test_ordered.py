@@ -194,3 +194,18 @@ def test_pairs_of_a_hot_key_are_dealt_to_many_tasks(spark):
     got = joins.followed_within(left, right, [("l", "r")], "l_ts", "r_ts", 24 * 3600, pairs_per_key=limit)
     mark = [F.count(F.lit(1)), F.count("r"), F.sum(F.xxhash64("l_id", "r_id").cast("decimal(38,0)"))]
     assert got.agg(*mark).first() == want.agg(*mark).first()
+
+
+def test_last_before_takes_nothing_later(make):
+    """Two other tables, ties, guests without a key, a hot key, slots without rows."""
+    data, others = skewed(300, 11, 20000), {"a": skewed(200, 12, 20000), "b": skewed(60, 13, 20000)}
+    data += [("hot", START, 900, 0), (None, START, 901, 0), ("a", None, 902, 0), ("late", START, 903, 0)]
+    others["a"] += [("hot", START, 5, 1), ("hot", START, 7, 1), ("late", START + timedelta(microseconds=1), 8, 1), (None, START, 9, 1), ("a", None, 9, 1)]
+    tables = {name: (make(rows_, "rk string, rts timestamp, rid bigint, rv bigint"), "rk", "rts", ["rid", "rv"]) for name, rows_ in others.items()}
+    left = make(data, SCHEMA)
+    out = ordered.last_before(left, "k", "ts", tables)
+    assert out.columns == [*left.columns, "a", "b"] and out.count() == len(data)
+    for row in out.collect():
+        for name, rows_ in others.items():
+            seen = [(t, i, v) for k, t, i, v in rows_ if k == row.k and k and t and row.ts and t <= row.ts]
+            assert (row[name] and tuple(row[name])) == (max(seen)[1:] if seen else None)

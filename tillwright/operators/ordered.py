@@ -10,13 +10,14 @@ them sees one row per slot.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _HELPERS = ("_slot", "_carry", "_step")
-#: Rows sampled for the bounds of ranking slots, bounds compared at a time, and tasks over which equal values are spread.
+#: Rows sampled for the bounds of ranking slots, bounds compared at a time, and tasks over which equal rows are spread.
 BOUNDS, BLOCK, SALTS = 1024, 32, 64
 
 
@@ -106,6 +107,53 @@ def next_row(
     return _neighbour(df, keys, order, fields, out, slot, forward=True)
 
 
+def last_before(
+    left: DataFrame,
+    on: str,
+    ts: str,
+    others: Mapping[str, tuple[DataFrame, str, str, Sequence[str]]],
+    grain: str = "day",
+) -> DataFrame:
+    """As-of join: for each row of ``left``, the last row of every other table that has its key, at its time or before.
+
+    ``others`` names a new struct column for each table, given with its key, its time and the columns of the struct.
+    Of rows with the same time the one with the greatest columns counts. All rows go through one shuffle by
+    key and slot of time; what was last before a slot comes in by a carry row, so a hot key is
+    spread over its slots and nothing but one row per slot is carried along a key. Rows of ``left``
+    that nothing precedes have nulls, and so do those without a key or a time, which are spread by a hash.
+    """
+    slot = time_slot("_ts", grain)
+    kinds = {name: df.select(F.struct(*fields).alias("s")).schema["s"].dataType for name, (df, _, _, fields) in others.items()}
+    seen = [
+        df.filter(F.col(key).isNotNull() & F.col(at).isNotNull()).select(
+            F.col(key).alias("_key"),
+            F.col(at).alias("_ts"),
+            *[(F.struct(*fields) if of == name else F.lit(None).cast(kind)).alias(of) for of, kind in kinds.items()],
+        )
+        for name, (df, key, at, fields) in others.items()
+    ]
+    seen = reduce(DataFrame.unionByName, seen).withColumn("_slot", slot)
+    whole = [F.col(c) for c, kind in left.dtypes if "map<" not in kind]
+    known = F.col("_key").isNotNull() & F.col("_ts").isNotNull()
+    asked = left.withColumns({"_key": F.col(on), "_ts": F.col(ts)}).withColumn("_slot", slot)
+    asked = asked.withColumn("_salt", F.when(known, 0).otherwise(F.pmod(F.xxhash64(*whole), F.lit(SALTS))).cast("int"))
+    # a slot's last rows, next to the slots that are asked about
+    last = [F.max_by(name, F.when(F.col(name).isNotNull(), F.struct("_ts", name))).alias(name) for name in kinds]
+    edges = seen.groupBy("_key", "_slot").agg(*last)
+    slots = asked.filter(known).select("_key", "_slot").distinct()
+    earlier = Window.partitionBy("_key").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    both = edges.withColumn("_asked", F.lit(False)).unionByName(slots.withColumn("_asked", F.lit(True)), allowMissingColumns=True)
+    both = both.groupBy("_key", "_slot").agg(F.max("_asked").alias("_asked"), *[F.max(name).alias(name) for name in kinds])
+    carry = both.select("_key", "_slot", "_asked", *[F.last(name, ignorenulls=True).over(earlier).alias(name) for name in kinds]).filter("_asked")
+    # order inside a slot: what is carried in, then by time, the others before the rows that ask
+    rows = asked.withColumn("_carry", F.lit(2))
+    for mark, brought in ((1, seen), (0, carry.drop("_asked"))):
+        rows = rows.unionByName(brought.withColumns({"_carry": F.lit(mark), "_salt": F.lit(0)}), allowMissingColumns=True)
+    inside = Window.partitionBy("_key", "_slot", "_salt").orderBy(F.col("_ts").asc_nulls_first(), "_carry", *kinds)
+    found = {name: F.last(name, ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0)) for name in kinds}
+    return rows.withColumns({name: F.when(known, c) for name, c in found.items()}).filter("_carry = 2").drop("_key", "_ts", "_slot", "_salt", "_carry")
+
+
 def ordered_lists(df: DataFrame, keys: Sequence[str], order: Sequence[str], fields: Sequence[str], out: str) -> DataFrame:
     """All ``fields`` of a key in order, as one array.
 

@@ -523,6 +523,17 @@ class TestTables:
             F.col("ts").alias("signal_ts"),
         )
 
+    def online_transactions(self) -> DataFrame:
+        """Till transactions of the web shop, one per purchase event; some are made by guests."""
+        e = self.raw("events").filter(F.col("event_type") == "purchase")
+        return e.select(
+            F.col("event_id").alias("txn_id"),
+            F.when(F.col("event_id") % 11 > 0, F.col("user_id").cast("string")).alias("customer_id"),
+            F.col("ts").alias("txn_ts"),
+            money("value", 14).alias("gross_amount"),
+            F.to_date("ts").alias("partition_date"),
+        )
+
     def omniture_logs(self) -> DataFrame:
         """The positional web log: sixty string columns, eight of them filled."""
         e = self.raw("events")

@@ -19,6 +19,7 @@ from tillwright.functions.enrich import trimmed
 from tillwright.operators.grouping import with_blank_row
 from tillwright.operators.ordered import (
     group_ordinal,
+    last_before,
     latest_per_key,
     next_row,
     ordered_lists,
@@ -30,6 +31,8 @@ from tillwright.plans.views import recency_bucket
 
 SESSION_GAP_MINUTES = 30
 BOT_CLICKS_PER_MINUTE = 60
+#: Bot score of a click from which on it counts as a signal of its own.
+BOT_SUSPECT = 0.5
 
 # Carrier status words and the event type they stand for.
 CARRIER_STATUS = {
@@ -321,24 +324,35 @@ def merged_returns_cdc(changes: DataFrame) -> DataFrame:
     return state.withColumn("is_deleted", F.coalesce(F.col("op") == "D", F.lit(False))).drop("op")
 
 
-def fraud_scored(pos_transactions: DataFrame, fraud_signals: DataFrame) -> DataFrame:
-    """Transactions with the strongest signal of their customer and the kinds of signals seen."""
-    per_customer = fraud_signals.groupBy("customer_id").agg(
-        F.max("score").alias("score"),
-        F.sort_array(F.collect_set("signal_type")).alias("signals"),
-        F.max("signal_ts").alias("scored_at"),
-    )
-    score = F.coalesce("score", F.lit(0.0))
+def fraud_scored(pos_transactions: DataFrame, clicks: DataFrame, fraud_signals: DataFrame) -> DataFrame:
+    """Transactions scored by what was known of their customer when they were made.
+
+    The last fraud signal and the last click at or before a transaction count, never a later one. The score is
+    the greater of the signal's score and the click's bot score; ``signals`` names the signal's type, and
+    ``bot`` if the click looks like one, so it has two entries at most.
+    """
+    known = last_before(
+        pos_transactions,
+        "customer_id",
+        "txn_ts",
+        {
+            "_signal": (fraud_signals, "customer_id", "signal_ts", ["signal_ts", "score", "signal_type"]),
+            "_click": (clicks, "user_id", "event_ts", ["event_ts", "bot_score"]),
+        },
+    )
+    of_click = F.coalesce(F.col("_click.bot_score").cast("double"), F.lit(0.0))
+    score = F.greatest(F.coalesce("_signal.score", F.lit(0.0)), of_click)
     band = F.when(score >= FRAUD_BANDS[0][0], FRAUD_BANDS[0][1])
     for low, name in FRAUD_BANDS[1:]:
         band = band.when(score >= low, name)
-    return pos_transactions.join(per_customer, "customer_id", "left").select(
+    seen = F.array(F.col("_signal.signal_type"), F.when(of_click >= BOT_SUSPECT, F.lit("bot")))
+    return known.select(
         "txn_id",
         "customer_id",
         score.cast("decimal(5,4)").alias("fraud_score"),
         band.alias("risk_band"),
-        F.coalesce("signals", F.array().cast("array<string>")).alias("signals"),
-        F.coalesce("scored_at", "txn_ts").alias("scored_at"),
+        F.array_compact(seen).alias("signals"),
+        F.coalesce(F.greatest("_signal.signal_ts", "_click.event_ts"), "txn_ts").alias("scored_at"),
         F.to_date("txn_ts").alias("score_date"),
     )
 

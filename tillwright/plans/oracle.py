@@ -416,16 +416,26 @@ ORACLE: dict[str, str] = {
                {_ts('ts')} AS return_ts, {_dbl('CAST(value AS DECIMAL(12,2))')} AS refund_amount,
                {_pick(REASONS, 'user_id', 5)} AS reason_code, event_type AS status, {_day('ts')} AS snapshot_date, event_type = 'error' AS is_deleted
         FROM events QUALIFY row_number() OVER (PARTITION BY event_id // 3 ORDER BY ts DESC) = 1""",
-    "fraud_scored": _with("pos", f""", per_customer AS (
-            SELECT CAST(user_id AS VARCHAR) AS customer_id, max(event_id % 1000) / 1000.0 AS score,
-                   string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS signals, max(ts) AS seen_at
-            FROM events GROUP BY 1)
-        SELECT txn_id, pos.customer_id, {_dbl('coalesce(score, 0)')} AS fraud_score,
-               CASE WHEN coalesce(score, 0) >= 0.8 THEN 'HIGH' WHEN coalesce(score, 0) >= 0.5 THEN 'MEDIUM'
-                    ELSE 'LOW' END AS risk_band,
-               coalesce(signals, '') AS signals, {_ts('coalesce(seen_at, txn_ts)')} AS scored_at,
-               {_day('txn_ts')} AS score_date
-        FROM pos LEFT JOIN per_customer ON pos.customer_id = per_customer.customer_id"""),
+    "fraud_scored": f"""
+        WITH pos AS (
+            SELECT event_id AS txn_id, CASE WHEN event_id % 11 > 0 THEN user_id END AS customer, ts AS txn_ts
+            FROM events WHERE event_type = 'purchase'),
+        signal AS (
+            SELECT user_id, ts, event_type, event_id % 1000 / 1000.0 AS score FROM events
+            QUALIFY row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id % 1000 DESC, event_type DESC) = 1),
+        single AS (SELECT DISTINCT user_id, date_trunc('hour', ts) AS seen_at, event_type FROM events),
+        click AS (SELECT user_id, seen_at, round({_dbl("least(1.0, count(*) / 8.0)")}, 3) AS bot FROM single GROUP BY ALL),
+        last_signal AS (
+            SELECT pos.*, s.ts AS signal_ts, s.event_type, s.score FROM pos ASOF LEFT JOIN signal s
+            ON pos.customer = s.user_id AND pos.txn_ts >= s.ts),
+        known AS (
+            SELECT p.*, c.seen_at, greatest(coalesce(score, 0), coalesce(bot, 0)) AS risk, coalesce(bot, 0) >= 0.5 AS is_bot
+            FROM last_signal p ASOF LEFT JOIN click c ON p.customer = c.user_id AND p.txn_ts >= c.seen_at)
+        SELECT txn_id, CAST(customer AS VARCHAR) AS customer_id, {_dbl('risk')} AS fraud_score,
+               CASE WHEN risk >= 0.8 THEN 'HIGH' WHEN risk >= 0.5 THEN 'MEDIUM' ELSE 'LOW' END AS risk_band,
+               concat_ws(',', event_type, CASE WHEN is_bot THEN 'bot' END) AS signals,
+               {_ts('coalesce(greatest(signal_ts, seen_at), txn_ts)')} AS scored_at, {_day('txn_ts')} AS score_date
+        FROM known""",
     "warehouse_kpi": _with("movements kpi", f"""
         SELECT 'W-' || warehouse_sk AS warehouse_id, {_ts('hour')} AS snapshot_ts, {_int('units_in')} AS units_in,
                {_int('units_picked')} AS units_picked, {_int('units_shipped')} AS units_shipped,

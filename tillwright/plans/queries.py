@@ -489,7 +489,8 @@ def cdc_merge(t):
 
 @query
 def fraud_scored(t):
-    df = derived.fraud_scored(t["pos_transactions"], t["fraud_signals"])
+    clicks = derived.dedup_clickstream(t["clicks"], bot_limit=2.0, per_minute=8)
+    df = derived.fraud_scored(t["online_transactions"], clicks, t["fraud_signals"])
     return plain(df.withColumn("signals", F.array_join("signals", ",")))
 
 
