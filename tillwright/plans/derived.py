@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tillwright.functions.dates import date_of_key, day_key, month_start
 from tillwright.functions.enrich import trimmed
 from tillwright.operators.grouping import with_blank_row
+from tillwright.operators.history import History, attribute_hash
 from tillwright.operators.ordered import (
     group_ordinal,
     last_before,
@@ -55,12 +56,6 @@ def _ratio(over: Column, under: Column, kind: str) -> Column:
     return F.try_divide(over.cast("decimal(20,6)"), under.cast("decimal(20,6)")).cast(kind)
 
 
-def attribute_hash(columns: Sequence[str]) -> Column:
-    """SHA-256 over the attributes; a null differs from an empty text."""
-    parts = [F.coalesce(F.concat(F.lit("v"), F.col(c).cast("string")), F.lit("n")) for c in columns]
-    return F.sha2(F.concat_ws("\x1f", *parts), 256)
-
-
 # ---------------------------------------------------------------- calendar
 
 
@@ -668,26 +663,32 @@ def change_history(
     )
 
 
+ADDRESSES = History("customer_sk", ("address_line1", "address_city", "address_region", "address_country", "address_postal"), "changed_ts", "order_no")
+#: Who made a change of terms is noted, but a new name alone is none.
+SUPPLIER_TERMS = History("supplier_sk", ("payment_terms_days", "discount_pct"), "changed_on", carried=("changed_by",))
+EMPLOYEES = History("employee_sk", ("role", "department", "home_store_sk", "salary_band"), "changed_on")
+STORES = History("store_sk", ("store_type", "manager_employee_sk", "sq_ft"), "changed_on")
+
+
+def _whole_history(states: DataFrame, h: History) -> DataFrame:
+    return change_history(states, h.key, h.attributes, h.changed, h.tie, h.grain, h.carried)
+
+
 def customer_address_history(states: DataFrame) -> DataFrame:
-    attributes = ["address_line1", "address_city", "address_region", "address_country", "address_postal"]
-    return change_history(states, "customer_sk", attributes, "changed_ts", "order_no")
+    return _whole_history(states, ADDRESSES)
 
 
 def supplier_terms_history(states: DataFrame) -> DataFrame:
-    """Terms and discount; who made a change is noted, but a new name alone is none."""
-    return change_history(
-        states, "supplier_sk", ["payment_terms_days", "discount_pct"], "changed_on", carried=["changed_by"]
-    ).drop("change_reason")
+    return _whole_history(states, SUPPLIER_TERMS).drop("change_reason")
 
 
 def employee_history(states: DataFrame) -> DataFrame:
-    attributes = ["role", "department", "home_store_sk", "salary_band"]
-    history = change_history(states, "employee_sk", attributes, "changed_on").drop("change_reason")
+    history = _whole_history(states, EMPLOYEES).drop("change_reason")
     return history.withColumn("eff_from_year", F.year("eff_from").cast("bigint"))
 
 
 def store_history(states: DataFrame) -> DataFrame:
-    return change_history(states, "store_sk", ["store_type", "manager_employee_sk", "sq_ft"], "changed_on")
+    return _whole_history(states, STORES)
 
 
 def loyalty_points_ledger(events: DataFrame, valid_days: int = 365) -> DataFrame:

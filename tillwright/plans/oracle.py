@@ -713,3 +713,5 @@ _ORDERS_FEED = f"""
 ORACLE["csv_feed"] = _ORDERS_FEED
 ORACLE["orc_feed"] = _ORDERS_FEED
 ORACLE["parquet_feed"] = _ORDERS_FEED
+# batches that keep a history up to date give the same history
+ORACLE["address_history_merged"] = ORACLE["address_history"]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillwright.functions import enrich
-from tillwright.operators import checks, ingest
+from tillwright.operators import checks, history, ingest
 from tillwright.plans import derived, register, views
 from tillwright.plans.adapters import SALE_COUNTRIES, TestTables, money, pick
 from tillwright.session import scratch_dir
@@ -560,6 +560,17 @@ def address_history(t):
     return plain(derived.customer_address_history(t["customer_addresses"]).drop("history_id"))
 
 
+@query
+def address_history_merged(t):
+    """The same history, from three batches of which the last two come late."""
+    states, path = t["customer_addresses"], scratch_dir(t.spark, "address-history")
+    batch = lambda k: states.filter(F.pmod("order_no", F.lit(3)) == k)
+    history.create(batch(0), path, derived.ADDRESSES)
+    for k in (1, 2):
+        history.merge(batch(k), path, derived.ADDRESSES)
+    return plain(history.changes(t.spark, path, derived.ADDRESSES, states.schema).drop("history_id"))
+
+
 @query
 def supplier_terms_history(t):
     return plain(derived.supplier_terms_history(t["supplier_terms_changes"]).drop("history_id"))
