@@ -23,6 +23,7 @@ from __future__ import annotations
 import json
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
+from contextlib import ExitStack
 from itertools import permutations
 
 import pandas as pd
@@ -33,11 +34,15 @@ from pyspark.sql import functions as F
 from tillwright.llm.common import WORD, ready, shared_path
 from tillwright.session import setting
 
-BATCHES = 8
-TEXTS_IN_GROUP = 32
+BATCHES = 4
+TEXTS_IN_GROUP = 256
 #: Folded rows that a task holds before it sends them on.
 FOLDED = 1 << 17
-STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State on the executors' disks, of which each micro-batch logs its changes only.
+STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 SEEN = "bucket long, digest string, part string, mask int, good int, toxic int, low long, at_low long, n long"
 CHANGE = "part string, mask int, good int, toxic int, n long"
 
@@ -158,7 +163,9 @@ def add_files(spark: SparkSession, path: str, labels: DataFrame, log: str, part:
         summed.write.mode("overwrite").parquet(f"{log}/changes/batch_id={batch_id}")
 
     writer = changes.writeStream.foreachBatch(write).outputMode("update").option("checkpointLocation", f"{log}/checkpoint")
-    with setting(spark, "spark.sql.streaming.stateStore.providerClass", STORE):
+    with ExitStack() as held:
+        for key, value in STORE.items():
+            held.enter_context(setting(spark, key, value))
         query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
 
