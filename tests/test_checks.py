@@ -1,3 +1,5 @@
+import pytest
+
 from pyspark.sql.types import StructType
 
 from conftest import rows
@@ -41,3 +43,26 @@ def test_conformance(make):
     assert rows(checks.conformance(df, shape, ["j"]), "column", "bad_values", "status") == [
         ("d", 1, "FAIL"), ("j", 1, "FAIL"), ("n", 1, "FAIL"),
     ]
+
+
+@pytest.mark.parametrize("kind", ["parquet", "orc"])
+def test_counts_come_from_footers(spark, tmp_path, kind):
+    path = str(tmp_path / "t")
+    rows_ = spark.range(100).selectExpr("id", "CASE WHEN id % 10 > 0 THEN id % 3 END AS part", "CASE WHEN id % 2 = 0 THEN id END AS v")
+    rows_.write.partitionBy("part").format(kind).save(path)
+    with checks.counts_from_footers(spark):
+        df = checks.partition_counts(spark, path, kind, ["part"])
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        found = {r.part: r.row_count for r in df.collect()}
+    assert "PushedAggregation: [COUNT(*)]" in plan and "PushedGroupBy: [part]" in plan
+    assert found == {r.part: r["count"] for r in rows_.groupBy("part").count().collect()} and found[None] == 10
+    got = checks.stored_profile(spark, {"t": (path, kind, ["part"]), "all": (path, kind, [])}).collect()
+    assert [tuple(r) for r in got] == [("t", 100, 3), ("all", 100, None)]
+    # what is read outside goes by the usual readers again
+    assert "PushedAggregation" not in checks.partition_counts(spark, path, kind, ["part"])._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stored_profile_of_text_scans(spark, tmp_path):
+    spark.range(7).selectExpr("CAST(id AS STRING) AS value", "id % 2 AS part").write.partitionBy("part").text(str(tmp_path / "t"))
+    got = checks.stored_profile(spark, {"t": (str(tmp_path / "t"), "text", ["part"])}).first()
+    assert (got.row_count, got.partition_count) == (7, 2)

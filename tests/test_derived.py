@@ -123,3 +123,26 @@ def test_fraud_score_knows_no_later_signal(make):
         (0.6, "MEDIUM", ["bot"], at(29)),
         (0.0, "LOW", [], at(30)),
     ]
+
+
+def test_sketches_of_days_merge_to_any_window(spark, make):
+    from pyspark.sql import functions as F
+
+    events = spark.range(60_000).select(
+        F.concat(F.lit("M"), F.pmod(F.xxhash64("id"), F.lit(9000))).alias("member_id"),
+        F.when(F.col("id") % 5 > 0, "REDEEM").otherwise("EARN").alias("event_type"),
+        F.lit(1).cast("bigint").alias("points"),
+        (F.col("id") % 4).alias("store_sk"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 31).cast("int")).alias("event_date"),
+    )
+    stores = make([(0, "north"), (1, "north"), (2, "south")], "store_sk bigint, region string")
+    daily = derived.member_sketches(events, stores)
+    assert daily.count() == 31 * 3
+    for first, last in (("2024-01-01", "2024-01-31"), ("2024-01-07", "2024-01-07"), ("2024-01-10", "2024-01-12")):
+        panel = {r.region: r for r in derived.sketched_panel(daily, first, last).collect()}
+        days = events.filter(F.col("event_date").between(first, last) & (F.col("event_type") == "REDEEM"))
+        exact = days.join(stores, "store_sk", "left").groupBy("region").agg(F.count_distinct("member_id").alias("n"), F.sum("points").alias("p"))
+        for r in exact.collect():
+            assert abs(panel[r.region].approx_active_members - r.n) <= 0.03 * r.n and panel[r.region].total_points_redeemed == r.p
+    plan = derived.sketched_panel(daily, "2024-01-01", "2024-01-31")._jdf.queryExecution().executedPlan().toString()
+    assert "keys=[member_id" not in plan

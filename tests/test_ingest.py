@@ -1,5 +1,6 @@
 import json
 from datetime import date, datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,26 +9,20 @@ from pyspark.sql.types import TimestampType
 from conftest import rows
 from tillwright.operators import ingest
 
-W = "2024-06-01T00:00:00Z"
+W = "1987-10-19T16:30:00Z"
 
 
-@pytest.mark.parametrize(
-    "keys, kept",
-    [
-        (["20231109_07", "20240530_18", "20240715_21"], ["20231109_07", "20240530_18"]),
-        (["20240601_23", "20240602_00"], ["20240601_23"]),  # the whole boundary day stays
-        (["20240601", "20240602", None], ["20240601"]),
-    ],
-)
-def test_bound_on_text_key(make, keys, kept):
-    df = make([(k, "v") for k in keys], "date_ts string, value string")
-    assert [r.date_ts for r in ingest.bound(df, "date_ts", W).collect()] == kept
+@pytest.mark.parametrize("hour", ["", "_00", "_16", "_23"])
+def test_bound_on_text_key_keeps_the_whole_boundary_day(make, hour):
+    days = ["19861231", "19871018", "19871019", "19871020", "19880101"]
+    df = make([(day + hour, k) for k, day in enumerate(days)] + [(None, 9)], "date_ts string, k bigint")
+    assert [r.k for r in ingest.bound(df, "date_ts", W).orderBy("k").collect()] == [0, 1, 2]
 
 
 def test_bound_on_time_and_date(make):
-    times = make([(datetime(2024, 6, 1),), (datetime(2024, 6, 1, 0, 0, 1),)], "t timestamp")
+    times = make([(datetime(1987, 10, 19, 16, 30),), (datetime(1987, 10, 19, 16, 30, 0, 1),)], "t timestamp")
     assert ingest.bound(times, "t", W).count() == 1
-    days = make([(date(2024, 6, 1),), (date(2024, 6, 2),)], "d date")
+    days = make([(date(1987, 10, 19),), (date(1987, 10, 20),)], "d date")
     assert ingest.bound(days, "d", W).count() == 1
 
 
@@ -71,19 +66,19 @@ def test_partition_date_from_parts(make):
     assert [r.p for r in out] == [date(2022, 9, 1), date(2025, 12, 1)]
 
 
-def test_generated_partition_is_left_to_the_target(make):
-    df = make([(2024, 3, 15, "EU", "v")], "year bigint, month bigint, day bigint, region string, value string")
-    rule = {
-        "transforms": {
-            "partition_key_conversion": {
-                "source_cols": ["year", "month", "day"], "target_col": "partition_date",
-                "parse_fn": "DATE", "generated_column": True,
-            }
-        }
-    }
-    assert ingest.apply_transforms(df, rule, None).columns == df.columns
-    filled = df.withColumn("partition_date", F.lit(date(2024, 3, 15)))
-    assert "partition_date" not in ingest.apply_transforms(filled, rule, None).columns
+@pytest.mark.parametrize("generated", [True, False])
+def test_a_generated_partition_is_the_targets_affair(make, generated):
+    """The same rule with and without generation, on sources that lack the column and that bring a wrong one."""
+    rule = {"source_cols": ["jahr", "monat"], "target_col": "quartal", "parse_fn": "DATE", "generated_column": generated}
+    spec = {"transforms": {"partition_key_conversion": rule}}
+    without = make([(1999, 12), (2001, 13)], "jahr int, monat int")
+    brought = without.withColumn("quartal", F.lit(date(1900, 1, 1)))
+    for df in (without, brought):
+        out = ingest.apply_transforms(df, spec, None)
+        if generated:
+            assert out.columns == ["jahr", "monat"] and rows(out) == rows(without)
+        else:
+            assert rows(out, "quartal") == [(None,), (date(1999, 12, 1),)]
 
 
 def test_no_steps_change_nothing(make):
@@ -127,16 +122,35 @@ def test_conform_widens_and_fills(make):
     assert rows(out) == [(1, 12, None, None)]
 
 
-def test_text_key_and_map_together(make):
-    df = make([("20240315_14", {"k": "v"}, "x")], "date_ts string, properties map<string,string>, value string")
+def test_steps_work_on_each_other(make):
+    """Bound, partition date, map and epoch in one specification; the bound sees the key, not the date made of it."""
+    schema = "slot string, labels map<string,string>, seen bigint, n int"
+    data = [("19871019_23", {"b": None, "a": "1"}, 0, 1), ("19871020_00", {"a": "2"}, 1, 2), ("1987x", {}, None, 3), (None, None, 2, 4)]
     spec = {
         "transforms": {
-            "partition_key_conversion": {"source_col": "date_ts", "target_col": "partition_date"},
-            "map_to_json": [{"source_col": "properties", "target_col": "properties"}],
+            "partition_key_conversion": {"source_col": "slot", "target_col": "tag"},
+            "map_to_json": [{"source_col": "labels", "target_col": "labels_json"}],
+            "kudu_epoch_conversion": [{"col": "seen", "from_unit": "seconds"}],
         },
-        "validation": {"watermark_col": "date_ts"},
+        "validation": {"watermark_col": "slot"},
     }
-    assert rows(ingest.apply_transforms(df, spec, W)) == [("20240315_14", '{"k":"v"}', "x", date(2024, 3, 15))]
+    out = ingest.apply_transforms(make(data, schema), spec, W).collect()
+    assert [(r.n, r.tag, json.loads(r.labels_json), r.seen) for r in out] == [(1, date(1987, 10, 19), {"a": "1", "b": None}, datetime(1970, 1, 1))]
+
+
+def test_json_as_variant(make, spark, tmp_path):
+    texts = ['{"a": {"b": [1, "x"]}, "n": 12.50}', "[1, 2]", "null", "no json", "", None, '{"n": "12", "n2": 3}']
+    df = ingest.json_to_variant(make(list(enumerate(texts)), "k int, payload string"), "payload")
+    df.write.parquet(str(tmp_path / "v"))
+    back = spark.read.parquet(str(tmp_path / "v"))
+    assert dict(back.dtypes)["payload"] == "variant"
+    fields = {"b": ("$.a.b[1]", "string"), "n": ("$.n", "decimal(6,2)"), "whole": ("$.n", "int"), "first": ("$[0]", "int")}
+    found = {r.k: r for r in ingest.variant_fields(back.withColumn("none", F.col("payload").isNull()), "payload", fields).collect()}
+    assert [found[k].none for k in range(7)] == [False, False, False, True, True, True, False]
+    assert (found[0].b, found[0].n, found[0].first) == ("x", Decimal("12.50"), None)
+    assert found[1].first == 1 and found[6].whole == 12 and found[2].b is None
+    maps = ingest.json_to_variant(make([({"a": "1"},), (None,)], "m map<string,string>"), "m", "v")
+    assert maps.columns == ["v"] and [r[0] for r in ingest.variant_fields(maps, "v", {"a": ("$.a", "int")}).select("a").collect()] == [1, None]
 
 
 def spec_for(path, fmt="textfile_csv", **changes):
@@ -166,7 +180,7 @@ def test_spec_from_file(spark, tmp_path):
 def test_load_table(spark, tmp_path):
     source, target = tmp_path / "in", tmp_path / "out"
     source.mkdir()
-    (source / "a.csv").write_text("id,date_ts,q\n1,20240531_23,5\n,20240601_01,6\n3,20240602_00,7\n")
+    (source / "a.csv").write_text("id,date_ts,q\n1,19871018_23,5\n,19871019_01,6\n3,19871020_00,7\n")
     spec = spec_for(
         str(source),
         transforms={
@@ -179,10 +193,10 @@ def test_load_table(spark, tmp_path):
     assert load.rows == 2
     assert rows(load.checks, "column", "null_count", "status") == [("date_ts", 0, "PASS"), ("id", 1, "FAIL")]
     assert sorted(p.name for p in target.iterdir() if p.is_dir()) == [
-        "partition_date=2024-05-31", "partition_date=2024-06-01",
+        "partition_date=1987-10-18", "partition_date=1987-10-19",
     ]
     # loading again replaces the table
-    assert ingest.load_table(spark, spec, "2024-05-31T00:00:00Z", str(target)).rows == 1
+    assert ingest.load_table(spark, spec, "1987-10-18T00:00:00Z", str(target)).rows == 1
     assert spark.read.parquet(str(target)).count() == 1
 
 
@@ -191,30 +205,30 @@ def test_catalog_specs_load(spark, tmp_path):
     from tillwright import catalog
 
     sales, target = tmp_path / "sales", str(tmp_path / "sales-out")
-    (sales / "date_ts=20240531_23").mkdir(parents=True)
+    (sales / "date_ts=19871018_23").mkdir(parents=True)
     head = "invoice_no,stock_code,description,quantity,invoice_date,unit_price,customer_id,country"
-    (sales / "date_ts=20240531_23" / "a.csv").write_text(f"{head}\nI1,S,d,2,2024-05-31,1.50,c,US\n,S,d,x,,,,\n")
+    (sales / "date_ts=19871018_23" / "a.csv").write_text(f"{head}\nI1,S,d,2,1987-10-18,1.50,c,US\n,S,d,x,,,,\n")
     table = catalog.table("raw.sales_retail")
     load = ingest.load_table(spark, table.spec(str(sales)), W, target)
     back = spark.read.parquet(target)
     assert load.rows == 2 and dict(back.dtypes) == {f.name: f.dataType.simpleString() for f in table.schema}
     assert rows(back, "quantity", "date_ts", "partition_date") == [
-        (2, "20240531_23", date(2024, 5, 31)), (None, "20240531_23", date(2024, 5, 31)),
+        (2, "19871018_23", date(1987, 10, 18)), (None, "19871018_23", date(1987, 10, 18)),
     ]
     assert rows(load.checks, "column", "null_count") == [("invoice_no", 1)]
 
     events, target = tmp_path / "events", str(tmp_path / "events-out")
-    folder = events / "event_date=20240531" / "hour_bucket=5"
+    folder = events / "event_date=19871018" / "hour_bucket=5"
     folder.mkdir(parents=True)
     (folder / "a.json").write_text(
-        '{"event_id": "e1", "user_id": "u", "event_ts": "2024-05-31T05:00:00Z", "properties": {"k": null},'
+        '{"event_id": "e1", "user_id": "u", "event_ts": "1987-10-18T05:00:00Z", "properties": {"k": null},'
         ' "context": {"referrer": "ad"}, "items": [{"sku": "s", "qty": 1, "price": 1.5}]}\n'
     )
     table = catalog.table("raw.mobile_events")
     assert ingest.load_table(spark, table.spec(str(events)), W, target).rows == 1
     row = spark.read.parquet(target).first()
     assert (row.properties, row.context.referrer, row.hour_bucket) == ('{"k":null}', "ad", 5)
-    assert row.partition_date == date(2024, 5, 31)
+    assert row.partition_date == date(1987, 10, 18)
 
     stock, target = str(tmp_path / "stock"), str(tmp_path / "stock-out")
     kudu = "'w' AS warehouse_id, 's' AS sku, 3 AS on_hand, 1 AS allocated, 2 AS available, 1650000000000 AS last_updated_ts"
@@ -231,7 +245,7 @@ def test_source_and_target_profiles_agree(make):
         "transforms": {"partition_key_conversion": {"source_col": "date_ts", "target_col": "partition_date"}},
         "validation": {"watermark_col": "date_ts"},
     }
-    df = make([("20240531_22",), ("20240531_23",), ("20240601_00",), ("20240602_00",)], "date_ts string")
+    df = make([("19871018_22",), ("19871018_23",), ("19871019_00",), ("19871020_00",)], "date_ts string")
     native = {"source": {"partition_cols": ["sale_date"]}, "validation": {}}
     days = make([(date(2024, 1, 1),), (date(2024, 1, 1),)], "sale_date date")
     plain = make([("x",)], "snapshot_hour string")

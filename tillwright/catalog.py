@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 from functools import cache
 from pathlib import Path
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from tillwright.sources.readers import scan_bounded
@@ -129,3 +130,52 @@ def table(name: str) -> Table:
         return tables()[name]
     except KeyError:
         raise KeyError(f"unknown table {name!r}") from None
+
+
+class BoundedTables(Mapping[str, DataFrame]):
+    """Tables by their short names, as views take them, each scanned the way the catalog demands.
+
+    ``bounds`` gives the lowest and highest partition value of a table, or the column to bound and both. A view over a table that
+    may not be scanned whole gets an error unless a bound is given; tables that the catalog does not know pass as they are.
+    """
+
+    def __init__(self, held: Mapping[str, DataFrame], bounds: Mapping[str, tuple] | None = None):
+        self.held, self.bounds = held, dict(bounds or {})
+        self.known = {t.name.split(".", 1)[1]: t for t in tables().values()}
+        if unknown := self.bounds.keys() - self.known.keys():
+            raise KeyError(f"bounds on unknown tables {sorted(unknown)}")
+
+    def __getitem__(self, name: str) -> DataFrame:
+        df = self.held[name]
+        if name not in self.known:
+            return df
+        *column, low, high = self.bounds.get(name, (None, None))
+        if column:
+            return scan_bounded(df, column[0], low, high)
+        return self.known[name].scan(df, low, high)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.held.keys())
+
+    def __len__(self) -> int:
+        return len(list(self.held.keys()))
+
+
+class StoredTables(Mapping[str, DataFrame]):
+    """Tables by their short names, read from Parquet folders ``root/database.table`` with their declared columns."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.names = {name.split(".", 1)[1]: name for name in tables()}
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{self.names[name]}"
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.spark.read.schema(table(self.names[name]).schema).parquet(self.path(name))
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.names)
+
+    def __len__(self) -> int:
+        return len(self.names)

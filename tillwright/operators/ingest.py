@@ -93,6 +93,25 @@ def map_to_json(df: DataFrame, source: str, target: str | None = None) -> DataFr
     return df.withColumnRenamed(source, target)
 
 
+def json_to_variant(df: DataFrame, source: str, target: str | None = None) -> DataFrame:
+    """JSON text, or a map, to a VARIANT column, parsed once when the table is written.
+
+    Null stays null, the JSON word ``null`` becomes a variant that holds null, and text that is no JSON becomes null;
+    ``checks.conformance`` run on the input counts those.
+    """
+    target = target or source
+    df = map_to_json(df, source, target)
+    return df.withColumn(target, F.try_parse_json(F.col(target)))
+
+
+def variant_fields(df: DataFrame, column: str, fields: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """Typed columns out of a VARIANT column; ``fields`` gives path and type by name.
+
+    A missing field, a null and a value that does not fit the type are null.
+    """
+    return df.withColumns({name: F.try_variant_get(F.col(column), path, kind) for name, (path, kind) in fields.items()})
+
+
 _FROM_EPOCH = {
     "millis": F.timestamp_millis,
     "seconds": F.timestamp_seconds,

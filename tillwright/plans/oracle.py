@@ -715,3 +715,27 @@ ORACLE["orc_feed"] = _ORDERS_FEED
 ORACLE["parquet_feed"] = _ORDERS_FEED
 # batches that keep a history up to date give the same history
 ORACLE["address_history_merged"] = ORACLE["address_history"]
+ORACLE["member_sketches"] = f"""
+    SELECT region, exact_active_members, 0.0::DOUBLE AS members_beyond_bound, total_points_redeemed
+    FROM ({ORACLE["active_member_panel"]})"""
+ORACLE["stored_profile"] = """
+    SELECT 'events' AS "table", count(*) AS row_count, count(DISTINCT CAST(ts AS DATE)) AS partition_count FROM events
+    UNION ALL SELECT 'events_orc', count(*), count(DISTINCT CAST(ts AS DATE)) FROM events
+    UNION ALL SELECT 'orders', count(*), NULL FROM orders UNION ALL SELECT 'orders_text', count(*), NULL FROM orders"""
+ORACLE["variant_fields"] = """
+    SELECT CAST(event_id AS VARCHAR) AS event_id, event_id % 7 < 2 AS is_null,
+           CASE WHEN event_id % 7 > 2 THEN CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS BIGINT) END AS k,
+           CASE WHEN event_id % 7 = 2 THEN 'many' WHEN event_id % 7 > 2 THEN regexp_extract(props, '"k": ([0-9]+)', 1) END AS k_text,
+           CASE WHEN event_id % 7 = 2 THEN 2.5::DOUBLE END AS second
+    FROM events"""
+ORACLE["catalog_scan"] = _with("web_log", f"""
+    SELECT strftime(d, '%Y-%m-%d') AS event_date, country, count(*) AS n, {_ts('max(seen_at)')} AS last_ts
+    FROM (SELECT CAST(event_ts AS TIMESTAMP) AS seen_at, CAST(CAST(event_ts AS TIMESTAMP) AS DATE) AS d, country FROM web_log)
+    WHERE d BETWEEN DATE '2024-01-10' AND DATE '2024-01-25' AND isodow(d) = 1 GROUP BY d, country""")
+ORACLE["sequence_feed"] = """
+    SELECT 'INV-' || o_orderkey AS invoice_no, o_orderstatus AS status, CAST(o_custkey AS VARCHAR) AS customer_id FROM orders"""
+ORACLE["dry_run"] = "SELECT count(*) AS row_count, 6::BIGINT AS columns, least(5, count(*)) AS preview_rows FROM lineitem"
+ORACLE["audit_row"] = """
+    SELECT '2024-01-31 12:30:00.000000' AS migration_completed_at, '1998-06-30 00:00:00.000000' AS frozen_watermark_w,
+           count(DISTINCT o_orderstatus) AS total_tables_loaded, 'table_load' AS dag_id, 'run-7' AS dag_run_id FROM orders"""
+ORACLE["lenient_bound"] = "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus"

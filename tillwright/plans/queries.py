@@ -8,11 +8,13 @@ answer can be compared value by value.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillwright import catalog
 from tillwright.functions import enrich
 from tillwright.operators import checks, history, ingest
 from tillwright.plans import derived, register, views
@@ -648,6 +650,99 @@ def approx_members(t):
     return panel.select("region", (off <= F.col("exact_active_members") * 0.05).alias("close"))
 
 
+@query
+def member_sketches(t):
+    """A panel merged from stored daily sketches, and by how many members it misses the exact one beyond 3 %."""
+    path = scratch_dir(t.spark, "member-sketches")
+    daily = derived.member_sketches(t["fact_loyalty_events"], t["dim_store"])
+    daily.repartition("event_date").write.partitionBy("event_date").parquet(path)
+    first = F.date_sub(F.lit(EVENTS_TODAY).cast("date"), 30)
+    panel = derived.sketched_panel(t.spark.read.parquet(path), first, EVENTS_TODAY)
+    exact = views.vw_active_member_panel(t, EVENTS_TODAY).select(F.col("region").alias("_region"), "exact_active_members")
+    both = panel.join(exact, F.col("region").eqNullSafe(F.col("_region")))
+    off = F.abs(F.col("approx_active_members") - F.col("exact_active_members"))
+    beyond = F.greatest(F.lit(0.0), off - 0.03 * F.col("exact_active_members"))
+    return plain(both.select("region", "exact_active_members", beyond.alias("members_beyond_bound"), "total_points_redeemed"))
+
+
+@query
+def stored_profile(t):
+    """Row and partition counts of stored tables, from footers where there are any."""
+    root = scratch_dir(t.spark, "profile")
+    e, o = t.raw("events"), t.raw("orders")
+    e.withColumn("day", F.to_date("ts")).repartition("day").write.partitionBy("day").parquet(f"{root}/events")
+    e.withColumn("day", F.to_date("ts")).repartition("day").write.partitionBy("day").orc(f"{root}/events_orc")
+    o.write.parquet(f"{root}/orders")
+    o.select(F.to_json(F.struct("*")).alias("value")).write.text(f"{root}/orders_text")
+    return checks.stored_profile(
+        t.spark,
+        {
+            "events": (f"{root}/events", "parquet", ["day"]),
+            "events_orc": (f"{root}/events_orc", "orc", ["day"]),
+            "orders": (f"{root}/orders", "parquet", []),
+            "orders_text": (f"{root}/orders_text", "text", []),
+        },
+    )
+
+
+@query
+def variant_fields(t):
+    """JSON text stored as VARIANT, its fields read with their types; broken and null texts among them."""
+    path, number = scratch_dir(t.spark, "variant"), F.col("event_id").cast("bigint")
+    text = F.when(number % 7 == 0, F.lit(None)).when(number % 7 == 1, F.rtrim(F.col("payload_json"), F.lit("}")))
+    text = text.when(number % 7 == 2, F.lit('{"k": "many", "nested": {"list": [1, 2.5]}}')).otherwise(F.col("payload_json"))
+    ingest.json_to_variant(t["events_eu"].withColumn("payload", text), "payload").drop("payload_json").write.parquet(path)
+    fields = {"k": ("$.k", "bigint"), "k_text": ("$.k", "string"), "second": ("$.nested.list[1]", "decimal(4,1)")}
+    found = ingest.variant_fields(t.spark.read.parquet(path), "payload", fields)
+    return plain(found.select("event_id", F.col("payload").isNull().alias("is_null"), *fields))
+
+
+@query
+def catalog_scan(t):
+    """A table that must be bounded, scanned within days and joined with the Mondays of a calendar."""
+    stored = catalog.StoredTables(t.spark, scratch_dir(t.spark, "catalog"))
+    sessions = derived.fact_web_session(views.omniture(t))
+    sessions.repartition("event_date").write.partitionBy("event_date").parquet(stored.path("fact_web_session"))
+    bounded = catalog.BoundedTables(stored, {"fact_web_session": ("2024-01-10", "2024-01-25")})
+    days = derived.calendar(t.spark, "2024-01-01", "2024-01-31").filter("d_dow = 1").select("d_date")
+    mondays = bounded["fact_web_session"].join(days, F.col("event_date") == F.col("d_date"))
+    return plain(mondays.groupBy("event_date", "country").agg(F.count(F.lit(1)).alias("n"), F.max("event_ts").alias("last_ts")))
+
+
+@query
+def sequence_feed(t):
+    """Tab-separated invoice lines as the values of a sequence file, written and read back."""
+    path = scratch_dir(t.spark, "sequence")
+    o = t.raw("orders")
+    line = F.concat_ws("\t", F.concat(F.lit("INV-"), F.col("o_orderkey")), F.col("o_orderstatus"), F.col("o_custkey").cast("string"))
+    o.select(F.col("o_orderkey").cast("string"), line).rdd.map(tuple).saveAsSequenceFile(path)
+    return readers.read_sequence(t.spark, path, ["invoice_no", "status", "customer_id", "missing"]).drop("missing")
+
+
+@query
+def dry_run(t):
+    """What a load would write: its rows and declared columns."""
+    found = writers.dry_run(t["fact_shipments"])
+    return t.spark.createDataFrame([(found.rows, found.schema.count("|--"), len(found.preview))], "row_count bigint, columns bigint, preview_rows bigint")
+
+
+@query
+def audit_row(t):
+    """The record of a load of all orders, written over an earlier one and read back."""
+    path = scratch_dir(t.spark, "audit")
+    for loaded in (1, t.raw("orders").select("o_orderstatus").distinct().count()):
+        record = writers.audit_row(t.spark, LOAD_BOUND, loaded, "run-7", completed_at=datetime(2024, 1, 31, 12, 30))
+        writers.write_table(record, path)
+    return plain(t.spark.read.parquet(path))
+
+
+@query
+def lenient_bound(t):
+    """A bound on a column that cannot carry one: leniently, the whole table passes."""
+    found = ingest.bound(t.raw("orders"), "o_custkey", LOAD_BOUND, strict=False)
+    return found.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def parquet_feed(t):
     path = scratch_dir(t.spark, "parquet")
