@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 from typing import NamedTuple
@@ -13,14 +14,13 @@ from pyspark.sql import functions as F
 def write_table(
     df: DataFrame, path: str, partition: str | None = None, cluster: Sequence[str] = ()
 ) -> int:
-    """Replace the table at ``path``; returns the number of rows. Empty input writes nothing.
+    """Replace the table at ``path``; returns the number of rows. Empty input leaves the table as it is.
 
-    A partitioned table is rebalanced on its partition column: adaptive execution merges
+    The plan runs once: rows go to a folder beside the table, which takes the table's place if there were any. A partitioned table is rebalanced on its partition column: adaptive execution merges
     small dates and splits a hot one into several files, so no task has to write a whole
     hot date. Inside a file rows are sorted by the cluster columns, which makes the
     min/max statistics useful. The count is observed in the writing stage itself, so the
-    source is not scanned a second time and a repeated map stage cannot inflate it. The
-    check for empty input stops at the first row it finds.
+    source is not scanned a second time and a repeated map stage cannot inflate it.
     """
     return write_counted(df, path, partition, cluster)["rows"]
 
@@ -34,8 +34,6 @@ def write_counted(
     ``without`` names helper columns that the counts need and the table does not get.
     """
     counts = counts or {}
-    if df.isEmpty():
-        return {"rows": 0, **dict.fromkeys(counts, 0)}
     if partition:
         df = df.hint("rebalance", partition)
     sort_by = [c for c in (partition, *cluster) if c]
@@ -46,9 +44,32 @@ def write_counted(
     writer = df.observe(seen, *measures).drop(*without).write.mode("overwrite")
     if partition:
         writer = writer.partitionBy(partition)
-    writer.parquet(path)
+    beside = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+    writer.parquet(beside)
     found = seen.get
-    return {"rows": found["_rows"], **{name: found[name] for name in counts}}
+    if found["_rows"]:
+        _put_in_place(df.sparkSession, beside, path)
+    else:
+        _remove(df.sparkSession, beside)
+    return {"rows": found["_rows"], **{name: found[name] or 0 for name in counts}}
+
+
+def _folder(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    files, place = _folder(spark, path)
+    files.delete(place, True)
+
+
+def _put_in_place(spark: SparkSession, new: str, path: str) -> None:
+    """Let the folder ``new`` take the place of ``path``."""
+    files, place = _folder(spark, path)
+    files.delete(place, True)
+    if not files.rename(_folder(spark, new)[1], place):
+        raise OSError(f"{new} could not be renamed to {path}")
 
 
 class DryRun(NamedTuple):
