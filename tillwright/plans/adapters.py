@@ -33,6 +33,7 @@ SALE_COUNTRIES = ("usa", "United Kingdom", "DE", "france", "Italia", "canada", "
 MASTER_COUNTRIES = ("United States", " uk ", "Germany", "FR", "italy", "CA", "IN", "es")
 CARRIERS = ("UPS", "FEDEX", "DHL", "USPS")
 REASONS = ("DAMAGED", "WRONG_ITEM", "LATE", "NOT_NEEDED", "OTHER")
+PLATFORMS = ("iOS", "Android", "web")
 CHANNELS = ("email", "search", "social")
 
 
@@ -318,6 +319,35 @@ class TestTables:
             F.date_format("l_shipdate", "yyyyMMdd").alias("date_ts"),
         )
 
+    def postal_tracking(self) -> DataFrame:
+        """The feed of a further carrier, one parcel per order, in its own words."""
+        o = self.raw("orders")
+        words = ("Collected", "Departed", "With Courier", "Proof of Delivery", "Customs", None)
+        return o.select(
+            F.concat(F.lit("PO-"), F.col("o_orderkey")).alias("tracking_no"),
+            F.lit("Post ").alias("carrier"),
+            F.col("o_orderdate").alias("shipped_at"),
+            F.when(F.col("o_orderstatus") == "F", F.col("o_orderdate") + hours(F.lit(60))).alias("delivered_at"),
+            pick(words, F.col("o_orderkey")).alias("status"),
+            F.concat(F.lit("Depot"), F.col("o_custkey") % 5).alias("last_location"),
+            F.date_format("o_orderdate", "yyyyMMdd").alias("date_ts"),
+        )
+
+    def shipment_orders(self) -> DataFrame:
+        """One shipment per order, before its scans are known."""
+        o, key = self.raw("orders"), F.col("o_orderkey")
+        return o.select(
+            F.concat(F.lit("SH-"), key).alias("shipment_id"),
+            F.concat(F.lit("INV-"), key).alias("invoice_no"),
+            F.col("o_custkey").alias("customer_sk"),
+            (key % 10).alias("warehouse_sk"),
+            pick(CARRIERS, F.col("o_custkey")).alias("carrier"),
+            F.concat(F.lit("T-"), key).alias("tracking_no"),
+            F.col("o_orderdate").alias("shipped_ts"),
+            F.when(F.col("o_orderstatus") != "O", F.col("o_orderdate") + hours(F.lit(48))).alias("delivered_ts"),
+            F.lit(36).cast("bigint").alias("sla_hours"),
+        )
+
     def invoice_documents(self) -> DataFrame:
         """Nested supplier invoices: an article line and a freight line each."""
         quantity = F.col("l_quantity").cast("bigint")
@@ -567,12 +597,22 @@ class TestTables:
 
     def app_clicks(self) -> DataFrame:
         e = self.raw("events")
+        number = F.col("event_id")
+        device = F.struct(
+            pick(PLATFORMS, F.col("user_id")).alias("platform"),
+            F.concat(F.lit("v"), F.col("user_id") % 3).alias("version"),
+            F.concat(F.lit("M"), F.col("user_id") % 7).alias("model"),
+        )
         return e.select(
-            "event_id",
+            number,
             F.col("user_id").alias("user_sk"),
             F.col("ts").alias("event_ts"),
             "event_type",
             F.concat(F.lit("screen-"), F.col("event_type")).alias("screen"),
+            F.when(F.col("event_type") != "view", F.concat(F.lit("item-"), number % 50)).alias("target_id"),
+            F.col("props").alias("properties"),
+            device.alias("device"),
+            pick(("US", "DE", "JP"), F.col("user_id")).alias("geo_country"),
             F.floor("value").cast("bigint").alias("amount"),
         )
 

@@ -718,6 +718,8 @@ def sessionised_clicks(
     gap = gap_minutes * 60 * 1_000_000
     numbered = group_ordinal(clicks, [user], ts, event_id, gap, "_session", time_slot(ts))
     named = {"session_id": F.concat_ws("-", user, "_session"), "event_date": F.to_date(ts)}
+    if "device" in clicks.columns:
+        named["platform_partition"] = F.lower("device.platform")
     return numbered.withColumns(named).drop("_session")
 
 
@@ -725,7 +727,8 @@ def session_state_snapshot(sessions: DataFrame) -> DataFrame:
     """Latest state of every session; platform and country where the clicks carry them."""
     latest = lambda c: F.max_by(c, F.struct("event_ts", "event_id"))
     bought = F.col("event_type") == "purchase"
-    carried = [c for c in ("platform", "geo_country") if c in sessions.columns]
+    carried = {"platform": "device.platform", "geo_country": "geo_country"}
+    carried = {name: c for name, c in carried.items() if c.split(".")[0] in sessions.columns}
     return sessions.groupBy("session_id").agg(
         latest(F.col("user_sk").cast("string")).alias("user_id"),
         F.min("event_ts").alias("started_ts"),
@@ -733,7 +736,7 @@ def session_state_snapshot(sessions: DataFrame) -> DataFrame:
         F.sum(F.when(bought, F.col("amount")).otherwise(0)).cast("decimal(12,2)").alias("cart_value"),
         F.count_if(bought).alias("cart_items"),
         latest("screen").alias("current_screen"),
-        *[latest(c).alias(c) for c in carried],
+        *[latest(c).alias(name) for name, c in carried.items()],
     )
 
 
@@ -798,6 +801,24 @@ def tracking_history(scans: DataFrame) -> DataFrame:
     return ordered_lists(dated, ["shipment_id", "scan_date"], fields, fields, "tracking_events")
 
 
+def fact_shipments(shipments: DataFrame, scans: DataFrame) -> DataFrame:
+    """Shipments with all their scans in time order, as declared; one without scans has an empty array.
+
+    A parcel's scans are few, so one row can hold them; for a feed whose keys are not parcels use ``tracking_history``.
+    """
+    fields = ["ts", "status", "location"]
+    events = ordered_lists(scans.filter(F.col("shipment_id").isNotNull()), ["shipment_id"], fields, fields, "tracking_events")
+    none = F.array().cast(events.schema["tracking_events"].dataType)
+    day = F.to_date("shipped_ts")
+    return shipments.join(events, "shipment_id", "left").select(
+        *shipments.columns,
+        F.coalesce("tracking_events", none).alias("tracking_events"),
+        *[part(day).cast("bigint").alias(f"ship_{name}") for name, part in (("year", F.year), ("month", F.month), ("day", F.dayofmonth))],
+        F.col("carrier").alias("carrier_partition"),
+        day.alias("partition_date"),
+    )
+
+
 def email_clicks(events: DataFrame) -> DataFrame:
     """The clicks of every send and day in time order, with its last event and the number of all its events."""
     sends = ["send_id", "campaign_sk", "user_sk", "event_date"]

@@ -102,7 +102,8 @@ _INPUTS = {
         SELECT *, CAST(user_sk AS VARCHAR) || '-' || CAST(sum(is_start) OVER (
                    PARTITION BY user_sk ORDER BY event_ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS session_id
         FROM (SELECT event_id, user_id AS user_sk, ts AS event_ts, event_type, 'screen-' || event_type AS screen,
-                     CAST(floor(value) AS BIGINT) AS amount,
+                     CAST(floor(value) AS BIGINT) AS amount, props, CASE WHEN event_type <> 'view' THEN 'item-' || (event_id % 50) END AS target,
+                     ['iOS', 'Android', 'web'][user_id % 3 + 1] AS platform, ['US', 'DE', 'JP'][user_id % 3 + 1] AS country,
                      CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w > INTERVAL 30 MINUTE
                           THEN 1 ELSE 0 END AS is_start
               FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))""",
@@ -410,7 +411,13 @@ ORACLE: dict[str, str] = {
                    AS event_ts,
                'City' || (l_suppkey % 7) AS location_city, 'Region' AS location_region, 'US' AS location_country,
                strftime(l_shipdate, '%Y%m%d') AS date_ts, {_day('l_shipdate')} AS partition_date
-        FROM lineitem""",
+        FROM lineitem
+        UNION ALL
+        SELECT 'PO-' || o_orderkey, 'POST',
+               {_pick(_list('PICKED_UP', 'IN_TRANSIT', 'OUT_FOR_DELIVERY', 'DELIVERED', 'EXCEPTION', 'none'), 'o_orderkey', 6)},
+               {_ts("CASE WHEN o_orderstatus = 'F' THEN o_orderdate + INTERVAL 60 HOUR ELSE o_orderdate END")},
+               'Depot' || (o_custkey % 5), NULL, NULL, strftime(o_orderdate, '%Y%m%d'), {_day('o_orderdate')}
+        FROM orders""",
     "cdc_merge": f"""
         SELECT event_id // 3 AS return_id, 'INV-' || (event_id // 3) AS invoice_no, user_id AS customer_sk,
                {_ts('ts')} AS return_ts, {_dbl('CAST(value AS DECIMAL(12,2))')} AS refund_amount,
@@ -587,14 +594,15 @@ ORACLE: dict[str, str] = {
     ),
     "sessionise": _with("sessions", f"""
         SELECT event_id, user_sk, {_ts('event_ts')} AS event_ts, event_type, screen, amount, session_id,
-               {_day('event_ts')} AS event_date
+               {_day('event_ts')} AS event_date, target AS target_id, props AS properties, country AS geo_country, platform,
+               'v' || (user_sk % 3) AS version, 'M' || (user_sk % 7) AS model, lower(platform) AS platform_partition
         FROM sessions"""),
     "session_state": _with("sessions", f"""
         SELECT session_id, CAST(arg_max(user_sk, event_ts) AS VARCHAR) AS user_id, {_ts('min(event_ts)')} AS started_ts,
                {_ts('max(event_ts)')} AS last_event_ts,
                {_dbl("sum(CASE WHEN event_type = 'purchase' THEN amount ELSE 0 END)")} AS cart_value,
                count(*) FILTER (event_type = 'purchase') AS cart_items,
-               arg_max(screen, event_ts) AS current_screen
+               arg_max(screen, event_ts) AS current_screen, any_value(platform) AS platform, any_value(country) AS geo_country
         FROM sessions GROUP BY session_id"""),
     "points_ledger": f"""
         WITH entries AS (
@@ -739,3 +747,19 @@ ORACLE["audit_row"] = """
     SELECT '2024-01-31 12:30:00.000000' AS migration_completed_at, '1998-06-30 00:00:00.000000' AS frozen_watermark_w,
            count(DISTINCT o_orderstatus) AS total_tables_loaded, 'table_load' AS dag_id, 'run-7' AS dag_run_id FROM orders"""
 ORACLE["lenient_bound"] = "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus"
+ORACLE["carrier_events"] = f"""
+    SELECT * REPLACE (nullif(event_type, 'none') AS event_type) FROM ({ORACLE["carrier_events"]})"""
+ORACLE["shipments_tracked"] = f"""
+    WITH scans AS (
+        SELECT 'SH-' || l_orderkey AS shipment_id, l_shipdate + l_linenumber * INTERVAL 1 HOUR AS ts,
+               ['PICKED_UP', 'IN_TRANSIT', 'DELIVERED'][l_linenumber % 3 + 1] AS status, 'D' || l_partkey AS location
+        FROM lineitem),
+    lists AS (
+        SELECT shipment_id, string_agg(status || '@' || strftime(ts, '%Y-%m-%d %H') || '@' || location, ',' ORDER BY ts, status, location) AS events
+        FROM scans GROUP BY shipment_id)
+    SELECT 'SH-' || o_orderkey AS shipment_id, 'INV-' || o_orderkey AS invoice_no, o_custkey AS customer_sk, o_orderkey % 10 AS warehouse_sk,
+           {_pick(CARRIERS, 'o_custkey', 4)} AS carrier, 'T-' || o_orderkey AS tracking_no, {_ts('o_orderdate')} AS shipped_ts,
+           {_ts("CASE WHEN o_orderstatus <> 'O' THEN o_orderdate + INTERVAL 48 HOUR END")} AS delivered_ts, 36::BIGINT AS sla_hours,
+           coalesce(events, '') AS tracking_events, year(o_orderdate) AS ship_year, month(o_orderdate) AS ship_month, day(o_orderdate) AS ship_day,
+           {_pick(CARRIERS, 'o_custkey', 4)} AS carrier_partition, {_day('o_orderdate')} AS partition_date
+    FROM orders LEFT JOIN lists ON shipment_id = 'SH-' || o_orderkey"""

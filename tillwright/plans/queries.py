@@ -481,7 +481,7 @@ def dedup_clickstream(t):
 
 @query
 def carrier_events(t):
-    return plain(derived.normalized_carrier_events(t["shipment_tracking"]))
+    return plain(derived.normalized_carrier_events(t["shipment_tracking"], t["postal_tracking"]))
 
 
 @query
@@ -590,7 +590,8 @@ def store_history(t):
 
 @query
 def sessionise(t):
-    return plain(derived.sessionised_clicks(t["app_clicks"]))
+    clicks = derived.sessionised_clicks(t["app_clicks"])
+    return plain(clicks.select("*", "device.*").drop("device"))
 
 
 @query
@@ -619,6 +620,13 @@ def tracking_history(t):
     return plain(df.select("shipment_id", "scan_date", _joined("tracking_events", show).alias("history")))
 
 
+@query
+def shipments_tracked(t):
+    df = derived.fact_shipments(t["shipment_orders"], t["tracking_scans"])
+    show = lambda e: F.concat_ws("@", e["status"], F.date_format(e["ts"], "yyyy-MM-dd HH"), e["location"])
+    return plain(df.withColumn("tracking_events", _joined("tracking_events", show)))
+
+
 @query
 def email_clicks(t):
     df = derived.email_clicks(t["email_events"])
