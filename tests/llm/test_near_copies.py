@@ -62,6 +62,33 @@ def test_all_pairs_of_the_test_table_are_found_and_no_others(spark):
     assert len(set(found.values())) == len({find(i) for i in sets if sets[i]}) + any(not s for s in sets.values())
 
 
+def test_pairs_inside_a_family_that_shares_most_of_its_words(spark):
+    """Near pairs among strangers of similarity 0.6 to 0.75: every pair shares band keys with thousands."""
+    rng, rows = random.Random(3), []
+    shared = [f"s{k}" for k in range(174)]
+    for k in range(600):
+        own = [f"o{k}_{j}" for j in range(26)]
+        close = own.copy()
+        for at in rng.sample(range(26), 2):
+            close[at] = f"x{k}_{at}"
+        rows += [(2 * k, " ".join(shared + own)), (2 * k + 1, " ".join(shared + close))]
+    near = [k for k in range(600) if similar(plain_set(rows[2 * k][1]), plain_set(rows[2 * k + 1][1]))]
+    assert len(near) > 500 and not similar(plain_set(rows[0][1]), plain_set(rows[2][1]))
+    found = grouped(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    assert sum(found[2 * k] == found[2 * k + 1] for k in near) >= 0.99 * len(near)
+    assert len(set(found.values())) >= 600
+
+
+def test_a_frequent_passage_alone_pairs_nothing(spark):
+    """400 texts that share a passage: no shared sum is rare, and the bands' centres rule the rest out."""
+    passage = " ".join(f"p{k}" for k in range(60))
+    rows = [(k, passage + " " + " ".join(f"w{k}_{j}" for j in range(140))) for k in range(400)]
+    sets = [(k, [1, 2, 3, 10 + k]) for k in range(400)]
+    shared = near_copies._sharing_rare(spark.createDataFrame(sets, "set long, sketch array<long>"))
+    assert shared.count() == 0
+    assert len(set(grouped(spark.createDataFrame(rows, "doc_id long, text string")).values())) == 400
+
+
 def test_odd_rows(odd, nothing):
     rows = near_copies.near_copies(odd).collect()
     assert len(rows) == odd.count()

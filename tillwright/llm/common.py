@@ -12,6 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillwright.session import setting
+
 #: The white space that separates words in all contracts: space and the five controls from tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -42,6 +44,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def by_part(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder in buckets of its column ``part``.
+
+    Groups by part read it in place, and so do, inside ``in_place``, joins and groups by part and other columns.
+    """
+    spark, named = df.sparkSession, f"llm_{name}_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = df.write.bucketBy(buckets, "part").format("parquet").option("compression", "zstd")
+    writer.option("path", shared_path(spark, name)).saveAsTable(named)
+    rows = spark.read.table(named)
+    spark.sql(f"DROP TABLE {named}")  # the name only; the files stay
+    return rows
+
+
+def in_place(spark: SparkSession):
+    """While jobs run in this block, two tables in equal buckets are joined bucket by bucket also if the join has more columns than the buckets."""
+    return setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false")
+
+
 def row_key(df: DataFrame, columns: list[str]) -> Column:
     """A hash of the named columns that exist, nulls included; equal rows have equal keys."""
     return F.xxhash64(*[F.col(c) for c in columns if c in df.columns])

@@ -21,7 +21,6 @@ that was read first stays, so exactly one of a group is kept. Other columns play
 from __future__ import annotations
 
 import math
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import sha256
@@ -32,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tillwright.llm.common import ready, shared_path, text_slices
+from tillwright.llm.common import by_part, in_place, ready, text_slices
 
 #: Rows of a part (as a power of two) and fingerprints of an owner, and bits beyond those that tell the documents apart.
 PART_BITS = 17
@@ -124,23 +123,12 @@ def _normalised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([some.column("doc_id"), pa.array(hashes), sums, pa.array(texts, pa.binary())], ["doc_id", "hash", "sum", "text"])
 
 
-def _by_part(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder in buckets of part, which joins and groups by part then read in place."""
-    spark, table = df.sparkSession, f"llm_{name}_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    writer = df.write.bucketBy(buckets, "part").format("parquet").option("compression", "zstd")
-    writer.option("path", shared_path(spark, name)).saveAsTable(table)
-    rows = spark.read.table(table)
-    spark.sql(f"DROP TABLE {table}")  # the name only; the files stay
-    return rows
-
-
 def exact_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, keep_id, group_size, kept and text_sha256 of every row of ``docs`` (doc_id, text)."""
     ready(docs.sparkSession)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     held = source.mapInArrow(_normalised, "doc_id long, hash long, sum binary, text binary").withColumn("row", F.monotonically_increasing_id())
-    held = _by_part(held.withColumn("part", F.shiftright("row", PART_BITS)), "held")
+    held = by_part(held.withColumn("part", F.shiftright("row", PART_BITS)), "held")
     ranges = Ranges.of(held.count())
 
     prints = held.select("part", "hash")
@@ -148,7 +136,7 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     answers = messages.groupBy("owner").applyInArrow(answer, ANSWER)
     both = prints.groupBy("part").cogroup(answers.groupBy("part"))
     suspects = both.applyInArrow(lambda key, rows, said: ranges.suspects(key, rows, said), "part long, hash long")
-    suspects = _by_part(suspects, "suspects").hint("shuffle_hash")
+    suspects = by_part(suspects, "suspects").hint("shuffle_hash")
 
     rows = held.select("part", "row", "doc_id", "hash", "sum")
     best = F.max(F.struct("doc_id", (-F.col("row")).alias("before")))
@@ -158,8 +146,10 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     groups = local.groupBy("sum").agg(F.max("best").alias("best"), F.sum("n").alias("n")).join(verified, "sum")
     unlike = F.raise_error(F.concat(F.lit("different texts have the SHA-256 "), F.hex("sum"))).cast("long")
     groups = groups.select("sum", "best", F.when(F.col("texts") == 1, F.col("n")).otherwise(unlike).alias("n"))
-    verdicts = _by_part(local.select("part", "sum").join(groups, "sum"), "verdicts").hint("shuffle_hash")
+    with in_place(docs.sparkSession):
+        verdicts = by_part(local.select("part", "sum").join(groups, "sum"), "verdicts")
 
+    # the narrow rows may move; no sum has more rows under one key than its part has
     found = rows.join(verdicts, ["part", "sum"], "left")
     return found.select(
         "doc_id",
