@@ -45,6 +45,14 @@ def test_round_trip(spark, tmp_path, split):
     assert got == plain(PAGES)
 
 
+def test_page_ids_with_several_payloads(spark, tmp_path):
+    one, other = "A" * 150, "B" * 333
+    pages = [(k, "u", body, None, None) for k, body in ((5, one), (5, other), (9, one), (8, other), (5, "C" * 120), (7, one + other), (8, one + other))]
+    warc.write(spark.createDataFrame(pages, SCHEMA), str(tmp_path / "w"))
+    got = sorted((tuple(r) for r in warc.resolved(warc.records(spark, str(tmp_path / "w"))).collect()), key=repr)
+    assert got == plain(pages)
+
+
 def test_archive_is_plain_warc(spark, tmp_path):
     warc.write(spark.createDataFrame(PAGES[:4], SCHEMA).coalesce(1), str(tmp_path / "w"))
     data = b"".join(f.read_bytes() for f in (tmp_path / "w").glob("part-*"))

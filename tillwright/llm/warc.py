@@ -2,7 +2,8 @@
 
 Writing. A page is a record whose block is an HTTP header and the page's bytes. Of pages with equal payloads of ``LEAST`` bytes or more, that
 with the smallest page_id is a response and the others revisit it without its bytes. (Rows that share that
-smallest id are all responses; null ids revisit, unless all are null.) Null pages are empty. The files are uncompressed archives under ``path``.
+smallest id are all responses; null ids revisit, unless all are null. Rows that share an id may have different payloads; a revisit names the
+page and the payload's digest.) Null pages are empty. The files are uncompressed archives under ``path``.
 
 Reading. A file is cut wherever a line begins with ``WARC/1.``, in splits of any size. Each such place may begin a record, or
 be part of a payload. Tasks read the header there and emit where the record after it would begin. Starting from a file's first byte, pointers
@@ -34,7 +35,8 @@ RECORD = "page_id long, payload_bytes long, payload_digest string, record_type s
 PIECE = f"path string, block long, rel long, bytes long, head long, whole boolean, {RECORD}"
 
 _LENGTH = re.compile(rb"\r\ncontent-length:[ \t]*(\d+)[ \t]*(?=\r\n)", re.I)
-_FIELD = {name: re.compile(rb"\r\n" + name + rb":[ \t]*([^\r\n]*)", re.I) for name in (b"warc-type", b"warc-record-id", b"warc-refers-to")}
+_NAMES = (b"warc-type", b"warc-record-id", b"warc-refers-to", b"warc-payload-digest")
+_FIELD = {name: re.compile(rb"\r\n" + name + rb":[ \t]*([^\r\n]*)", re.I) for name in _NAMES}
 _PAGE = re.compile(rb"<urn:page:(-?\d+)>")
 
 
@@ -86,11 +88,13 @@ def _head(data: bytes) -> tuple[int, int] | None:
 
 
 def _fields(data: bytes, head: int, length: int) -> tuple:
-    """What a record says: page_id, payload bytes and digest, type, page referred to."""
+    """What a record says: page_id, payload bytes and digest, type, page referred to. A revisit holds no payload; its header names the digest."""
     header, block = data[:head], data[head : head + length]
-    kind, own, other = (m[1] if (m := _FIELD[k].search(header)) else b"" for k in (b"warc-type", b"warc-record-id", b"warc-refers-to"))
+    kind, own, other, said = (m[1] if (m := _FIELD[k].search(header)) else b"" for k in _NAMES)
     page, refers = (int(m[1]) if (m := _PAGE.match(x)) else None for x in (own, other))
     body = block[block.find(b"\r\n\r\n") + 4 :] if block.startswith(b"HTTP/") else block
+    if kind == b"revisit" and said:
+        return page, len(body), said.decode("latin-1").removeprefix("sha256:"), "revisit", refers
     return page, len(body), sha256(body).hexdigest(), kind.decode("latin-1"), refers
 
 
@@ -193,9 +197,13 @@ def records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def resolved(found: DataFrame) -> DataFrame:
-    """Revisits take size and digest of the full payload from the response they refer to; those without one have null there."""
-    full = found.filter("record_type = 'response'").select(F.col("page_id").alias("r"), F.col("payload_bytes").alias("n"), F.col("payload_digest").alias("d"))
-    full = full.groupBy("r").agg(F.min("n").alias("n"), F.min("d").alias("d"))
-    rows = found.filter("record_type = 'revisit'").join(full, F.col("refers_to").eqNullSafe(F.col("r")), "left")
-    rows = rows.select("page_id", F.col("n").alias("payload_bytes"), F.col("d").alias("payload_digest"), "record_type", "refers_to")
+    """Revisits take the size of the full payload from the response that they refer to and whose payload has the digest they name.
+
+    A page_id may stand for several payloads, so both must agree. Revisits without such a response have a null size.
+    """
+    full = found.filter("record_type = 'response'").select(F.col("page_id").alias("r"), F.col("payload_digest").alias("d"), F.col("payload_bytes").alias("n"))
+    full = full.groupBy("r", "d").agg(F.min("n").alias("n"))
+    match = F.col("refers_to").eqNullSafe(F.col("r")) & (F.col("payload_digest") == F.col("d"))
+    rows = found.filter("record_type = 'revisit'").join(full, match, "left")
+    rows = rows.select("page_id", F.col("n").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
     return found.filter("record_type <> 'revisit'").unionByName(rows)
