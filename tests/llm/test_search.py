@@ -86,19 +86,46 @@ ODD = [
 
 def test_odd_vectors(spark):
     rows = spark.createDataFrame(ODD, SCHEMA)
-    near = by_query(multi_index.nearest(rows, 20, 20).collect())
-    assert near.keys() == {0, 20, 40} and [i for i, _ in near[0]] == [40, 20, 11] and [i for i, _ in near[20]] == [40, 0, 11]
-    small = rows.filter("vec_id is null or vec_id <> 40")
-    assert by_query(ball_tree.best(small, 20, 20).collect()) == {
-        0: [(20, 4096.0), (3, 0.0), (11, -4096.0)],
-        20: [(0, 4096.0), (3, 0.0), (11, -4096.0)],
+    near = lists(multi_index.nearest(rows, 20, 20).collect())
+    assert near == {
+        0: [[40, 20, 20, 11]],
+        20: [[40, 0, 20, 11]] * 2,
+        40: [[0, 20, 20, 11]],
     }
+    with pytest.raises(ValueError, match="vec_id 40"):
+        ball_tree.best(rows, 20, 20)
+    small = ball_tree.best(rows.filter("vec_id is null or vec_id <> 40"), 20, 20).collect()
+    assert lists(small) == {0: [[20, 20, 3, 11]], 20: [[0, 20, 3, 11]] * 2}
+    assert {(r.vec_id, r.score) for r in small} == {(0, 4096), (20, 4096), (3, 0), (11, -4096)}
     for f in (multi_index.nearest, ball_tree.best):
         assert f(spark.createDataFrame([], SCHEMA), 20, 20).count() == 0
         assert f(rows.filter("vec_id = 0"), 20, 20).count() == 0
         assert f(rows.filter("vec_id in (4, 5, 6)"), 20, 20).count() == 0
 
 
+def lists(rows):
+    """The lists of each query_id; rows that share the id have equal lists here, so ranks repeat."""
+    by_id = {}
+    for r in sorted(rows, key=lambda r: (r.query_id, r.rank)):
+        by_id.setdefault(r.query_id, {}).setdefault(r.rank, []).append(r.vec_id)
+    return {q: [list(c) for c in zip(*ranks.values())] for q, ranks in by_id.items()}
+
+
+def test_rows_that_share_an_id_are_candidates_of_their_own(spark):
+    """As the query's SQL has it."""
+    vectors = [(7, [1.0, 0.5]), (7, [3.0, 0.5]), (7, [0.5, 0.5]), (20, [1.0, 1.0]), (20, [2.0, 0.0]), (1, [0.0, 1.0]), (40, [1.0, 0.5])]
+    rows = spark.createDataFrame([(*v, None, None, None) for v in vectors], SCHEMA).repartition(3)
+    x = [[int(np.floor(64 * c)) for c in v] for _, v in vectors]
+    want = []
+    for q, (of, _) in enumerate(vectors):
+        if of % 20 == 0:
+            scores = sorted((-int(np.dot(x[q], x[c])), vectors[c][0]) for c in range(len(vectors)) if c != q)
+            want += [(of, k + 1, i, -s) for k, (s, i) in enumerate(scores[:4])]
+    assert sorted(tuple(r) for r in ball_tree.best(rows, 20, 4).collect()) == sorted(want)
+    found = multi_index.nearest(rows, 20, 6).collect()
+    assert sorted(r.vec_id for r in found if r.query_id == 40) == [1, 7, 7, 7, 20, 20] and sum(r.query_id == 20 for r in found) == 12
+
+
 def test_large_whole_numbers_stay_exact(spark):
     rows = spark.createDataFrame([(k, [float(2**20 + k), float(2**21 - k)], 1, "", 1) for k in range(40)], "vec_id long, embedding array<double>, label int, x string, block int")
     want = {q: sorted(((i, 64 * 64 * ((2**20 + q) * (2**20 + i) + (2**21 - q) * (2**21 - i))) for i in range(40) if i != q), key=lambda f: (-f[1], f[0]))[:3] for q in (0, 20)}

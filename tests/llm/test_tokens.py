@@ -89,15 +89,15 @@ def test_pack_query(spark):
 def test_pack_odd_rows_and_sequences(odd, nothing):
     unique = odd.filter("doc_id <> 1 or doc_id is null")
     made = packing.pieces(unique, public_tokenizers.path("byte_bpe_50k.json"), 0, 64, with_ids=True)
-    packed = packing.pack(made, unique.count(), 64, shard_documents=3)
+    packed = packing.pack(made, 64, shard_pieces=3)
     ids = plain_ids([(r.doc_id, r.text) for r in unique.collect()], "byte_bpe_50k.json", 0)
     check_packing(packed.collect(), ids, 64)
     whole = packing.sequences(packed).collect()
     assert sum(len(r.ids) for r in whole) == sum(len(x) for _, x in ids)
     assert all(r.offsets[0] == 0 and len(r.ids) <= 64 for r in whole)
     made = packing.pieces(odd, public_tokenizers.path("byte_bpe_50k.json"), 0)
-    assert packing.pack(made, odd.count()).filter("doc_id = 1").count() == 2
-    assert packing.pack(packing.pieces(nothing, public_tokenizers.path("byte_bpe_50k.json"), 0), 0).count() == 0
+    assert packing.pack(made).filter("doc_id = 1").count() == 2
+    assert packing.pack(packing.pieces(nothing, public_tokenizers.path("byte_bpe_50k.json"), 0)).count() == 0
 
 
 def test_places_minimise_the_sum_of_squares():
@@ -123,3 +123,30 @@ def test_places_minimise_the_sum_of_squares():
 @pytest.mark.parametrize(("n", "want"), [(1, [0, 1]), (8, [0, 8]), (9, [0, 1, 9]), (16, [0, 8, 16]), (20, [0, 4, 12, 20])])
 def test_cuts(n, want):
     assert packing.cuts(n, 8) == want
+
+
+def test_shards_follow_pieces_and_spread_equal_rows(spark):
+    """One long document, and equal rows without an id that are a third of all."""
+    rows = [(None, "same words here")] * 400 + [(k, f"text {k} " * 5) for k in range(700)] + [(9999, "long text " * 20_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    made = packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), 0, 64)
+    packed = packing.pack(made, 64, shard_pieces=100)
+    shard = (packed["sequence_id"] / (1 << 40)).cast("int")
+    sizes = [r["count"] for r in packed.groupBy(shard.alias("s")).count().collect()]
+    assert len(sizes) >= 15 and max(sizes) < 200
+    equal = [r["count"] for r in packed.filter("doc_id is null").groupBy(shard.alias("s")).count().collect()]
+    assert len(equal) >= 10 and sum(equal) == 400
+    rows_ = packed.orderBy("sequence_id", "offset").collect()
+    assert sum(r.length for r in rows_) == made.agg({"length": "sum"}).first()[0]
+    for a, b in zip(rows_, rows_[1:]):
+        assert b.offset == (a.offset + a.length if a.sequence_id == b.sequence_id else 0) and b.offset + b.length <= 64
+
+
+@pytest.mark.parametrize("kept", [0, 5_000])
+def test_a_small_memory_of_pieces_gives_the_same_ids(kept):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, plain = Encoder(path, False, kept), Tokenizer.from_file(path)
+    for k in range(30):
+        texts = [f"word{j * k} some more, and {j}!" for j in range(40)]
+        assert [i.tolist() for i in encoder.encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+        assert encoder.held <= kept + 40 * 8 * 300

@@ -104,8 +104,8 @@ def _search(code: Code, k: int):
     def search(block: pa.Table, queries: pa.Table) -> pa.Table:
         if not block.num_rows or not queries.num_rows:
             return FOUND.empty_table()
-        x, ids = matrix(block), block.column("vec_id").to_numpy()
-        y, asked = matrix(queries), queries.column("vec_id").to_numpy()
+        x, ids, numbers = matrix(block), block.column("vec_id").to_numpy(), block.column("row").to_numpy()
+        y, asked = matrix(queries), queries.column("row").to_numpy()
         index, codes = Index(code.encode(x, False)), code.encode(y, True)
         out = []
         for q, own, vector in zip(codes, asked, y):
@@ -114,7 +114,7 @@ def _search(code: Code, k: int):
             while radius < BITS and len(rows) <= k:
                 radius = min(BITS, radius + GROWTH)
                 rows = index.within(q, radius)
-            rows = rows[ids[rows] != own]
+            rows = rows[numbers[rows] != own]
             # a sum over one row is the same wherever the row stands, so equal vectors have equal scores
             rough = x[rows] @ vector
             if len(rows) > k:
@@ -122,23 +122,24 @@ def _search(code: Code, k: int):
                 rows = rows[~(rough < np.partition(rough, len(rows) - k)[len(rows) - k] - slack)]
             scores = (x[rows] * vector).sum(1)
             best = top(scores, ids[rows], k)
-            out.append((own, ids[rows][best], scores[best]))
-        counts = [len(i) for _, i, _ in out]
-        columns = [np.repeat([q for q, _, _ in out], counts), np.concatenate([i for _, i, _ in out]), np.concatenate([s for _, _, s in out])]
+            out.append((ids[rows][best], scores[best]))
+        counts = [len(i) for i, _ in out]
+        of = [np.repeat(c, counts) for c in (asked, queries.column("vec_id").to_numpy())]
+        columns = [*of, np.concatenate([i for i, _ in out]), np.concatenate([s for _, s in out])]
         return pa.table([pa.array(c, f.type) for c, f in zip(columns, FOUND)], schema=FOUND)
 
     return search
 
 
 def nearest(vectors: DataFrame, every: int, k: int) -> DataFrame:
-    """query_id, rank, vec_id, score: for each vec_id divisible by ``every``, the k nearest found among all others."""
+    """query_id, rank, vec_id, score: for each row whose vec_id is divisible by ``every``, the k nearest found among all other rows."""
     rows = usable(vectors, zero=False)
     size = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.array_max(F.transform("x", F.abs))).alias("unit")).first()
     unit = size["unit"] or 1.0
     square = F.aggregate("x", F.lit(0.0), lambda a, v: a + (v / unit) * (v / unit))
     norm = float(np.sqrt(rows.agg(F.max(square)).first()[0] or 0.0))
-    sample = [r["x"] for r in rows.orderBy(F.xxhash64("vec_id")).limit(SAMPLE).select("x").collect()]
+    sample = [r["x"] for r in rows.orderBy(F.xxhash64("row")).limit(SAMPLE).select("x").collect()]
     code = learn(np.array(sample), unit, norm, k) if sample else None
     queries = rows.filter(F.col("vec_id") % every == 0)
-    found = meet(rows, queries, blocks(size["n"]), blocks(size["n"] // every, 4096), "also", _search(code, k), "query_id long, vec_id long, score double")
+    found = meet(rows, queries, blocks(size["n"]), blocks(size["n"] // every, 4096), "also", _search(code, k), "row long, query_id long, vec_id long, score double")
     return ranked(found, k)

@@ -1,8 +1,8 @@
 """Sum-of-squares packing of token sequences.
 
 Documents are encoded whole and end with one id. Only a document longer than a sequence is cut: full pieces, and before
-them one with the rest. Pieces are dealt to shards of a bounded expected size by a hash; each shard takes its
-pieces longest first and puts each into the open sequence for which the sum of the squared counts of open
+them one with the rest. Pieces are written once with a number of their own and dealt by a hash of it to shards of a bounded expected
+size, so neither very long documents nor equal rows fill a shard; each shard takes its pieces longest first and puts each into the open sequence for which the sum of the squared counts of open
 sequences per residual gap gets smallest (equal sums: the smaller gap). A sequence is opened only if none has room, which
 keeps the number of sequences near the least possible; within a gap, the sequence opened last is taken.
 
@@ -21,12 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwright.llm.common import text_slices
-from tillwright.llm.tokens import encoder
+from tillwright.llm.common import stored, text_slices
+from tillwright.llm.tokens import KEPT_BYTES, encoder
 
 SEQUENCE = 2048
-#: Documents a shard holds on average.
-SHARD_DOCUMENTS = 32_768
+#: Pieces a shard holds on average.
+SHARD_PIECES = 65_536
 
 PIECE_COLUMNS = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -36,9 +36,9 @@ def cuts(n: int, size: int) -> list[int]:
     return [0, *range(n % size or size, n, size), n] if n > size else [0, n]
 
 
-def _pieces(path: str, lower: bool, end_id: int, size: int, with_ids: bool):
+def _pieces(path: str, lower: bool, end_id: int, size: int, with_ids: bool, kept_bytes: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(path, lower).encode, np.array([end_id], dtype="<u4")
+        encode, end = encoder(path, lower, kept_bytes).encode, np.array([end_id], dtype="<u4")
         for batch in batches:
             for some in text_slices(batch, "text"):
                 of, piece, start, length, crc, kept = [], [], [], [], [], []
@@ -63,10 +63,12 @@ def _pieces(path: str, lower: bool, end_id: int, size: int, with_ids: bool):
     return rows
 
 
-def pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int = SEQUENCE, lower: bool = False, with_ids: bool = False) -> DataFrame:
-    """One row per piece; ``with_ids`` adds the ids themselves as an array."""
+def pieces(
+    docs: DataFrame, tokenizer: str, end_id: int, size: int = SEQUENCE, lower: bool = False, with_ids: bool = False, kept_bytes: int = KEPT_BYTES
+) -> DataFrame:
+    """One row per piece; ``with_ids`` adds the ids themselves as an array. ``kept_bytes``: known pieces of text that a worker's encoder keeps."""
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return source.mapInArrow(_pieces(tokenizer, lower, end_id, size, with_ids), PIECE_COLUMNS + ", ids array<int>" * with_ids)
+    return source.mapInArrow(_pieces(tokenizer, lower, end_id, size, with_ids, kept_bytes), PIECE_COLUMNS + ", ids array<int>" * with_ids)
 
 
 def sum_of_squares(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -96,18 +98,19 @@ def _shard(size: int):
         frame = frame.sort_values(["length", "ids_crc32", "doc_id", "piece"], ascending=[False, True, True, True], kind="stable", ignore_index=True)
         sequence, frame["offset"] = sum_of_squares(frame["length"].to_numpy(), size)
         frame["sequence_id"] = (frame["shard"].to_numpy(np.int64) << 40) + sequence
-        return frame.drop(columns="shard")
+        return frame.drop(columns=["shard", "number"])
 
     return pack
 
 
-def pack(pieces_: DataFrame, documents: int, size: int = SEQUENCE, shard_documents: int = SHARD_DOCUMENTS) -> DataFrame:
-    """Add sequence_id and offset to pieces of so many documents."""
-    shards = max(1, -(-documents // shard_documents))
+def pack(pieces_: DataFrame, size: int = SEQUENCE, shard_pieces: int = SHARD_PIECES) -> DataFrame:
+    """Add sequence_id and offset to pieces."""
     kinds = dict(pieces_.dtypes)
-    schema = ", ".join(f"{c} {kinds[c]}" for c in pieces_.columns) + ", sequence_id long, offset long"
-    dealt = pieces_.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shards)))
-    packed = dealt.groupBy("shard").applyInPandas(_shard(size), schema.replace("sequence_id long, offset long", "offset long, sequence_id long"))
+    schema = ", ".join(f"{c} {kinds[c]}" for c in pieces_.columns) + ", offset long, sequence_id long"
+    numbered = stored(pieces_.withColumn("number", F.monotonically_increasing_id()), "pieces")
+    shards = max(1, -(-numbered.count() // shard_pieces))
+    dealt = numbered.withColumn("shard", F.pmod(F.xxhash64("number"), F.lit(shards)))
+    packed = dealt.groupBy("shard").applyInPandas(_shard(size), schema)
     return packed.select(*pieces_.columns, "sequence_id", "offset")
 
 

@@ -32,7 +32,7 @@ def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     pieces = packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), 0)
-    return packing.pack(pieces, docs.count())
+    return packing.pack(pieces)
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,15 +175,15 @@ FROM r
 """
 
 _BEST = """
-WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda c: floor(64 * c::DOUBLE)) AS x FROM embeddings
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda c: floor(64 * c::DOUBLE)) AS x FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND NOT list_bool_or(list_transform(embedding, lambda c: c IS NULL OR NOT isfinite(c)))
 ), s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.x, c.x)::BIGINT AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+  SELECT q.row, q.vec_id AS query_id, c.vec_id, list_dot_product(q.x, c.x)::BIGINT AS score
+  FROM v q JOIN v c ON q.row <> c.row WHERE q.vec_id % 20 = 0
 )
 SELECT query_id, rank::INTEGER AS rank, vec_id, score
-FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
+FROM (SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
 """
 
 _WARC = """

@@ -1,11 +1,12 @@
 """What the two vector searches share: usable vectors, and queries meeting the index block by block.
 
-The index is dealt to blocks of a fixed expected size by a hash of vec_id, the queries to sides of a fixed expected size, and
+The index is dealt to blocks of a fixed expected size by a hash of a row's number, the queries to sides of a fixed expected size, and
 each (block, side) is one group, so no task holds more than one block and one side whatever the table's size.
 
 Vectors that are null or hold null or non-finite components take no part (nor, if asked, zero ones). The dimension is the most frequent length
-(the greater of equally frequent ones); vectors of another length take no part. Of rows that share a vec_id the least vector
-counts; rows without a vec_id take no part. Other columns play no part; an empty table gives an empty result.
+(the greater of equally frequent ones); vectors of another length take no part, nor do rows without a vec_id. Rows that share a vec_id are
+rows of their own: a query leaves out its own row only, and each row asked about has a list of its own under its vec_id. Other columns
+play no part; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,11 +22,12 @@ from tillwright.llm.common import stored
 
 BLOCK = 16_384
 SIDE = 4_096
-FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+#: What a search returns: the number and vec_id of the query's row, vec_id and score of a row found.
+FOUND = pa.schema([("row", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
 
 def usable(vectors: DataFrame, zero: bool) -> DataFrame:
-    """vec_id long, x array<double>, stored; ``zero``: whether zero vectors take part."""
+    """row (a number of its own) long, vec_id long, x array<double>, stored; ``zero``: whether zero vectors take part."""
     x = F.col("embedding").cast("array<double>")
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), x.alias("x")).filter("vec_id IS NOT NULL AND x IS NOT NULL")
     infinite = F.lit(float("inf"))
@@ -34,7 +36,7 @@ def usable(vectors: DataFrame, zero: bool) -> DataFrame:
         rows = rows.filter(F.exists("x", lambda v: v != 0))
     length = rows.groupBy(F.size("x").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
     rows = rows.filter(F.size("x") == (length["n"] if length else 0))
-    return stored(rows.groupBy("vec_id").agg(F.min("x").alias("x")), "vectors")
+    return stored(rows.select(F.monotonically_increasing_id().alias("row"), "vec_id", "x"), "vectors")
 
 
 def matrix(table: pa.Table, column: str = "x") -> np.ndarray:
@@ -49,18 +51,18 @@ def blocks(n: int, size: int = BLOCK) -> int:
 
 
 def block_of(n: int):
-    return F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
+    return F.pmod(F.xxhash64("row"), F.lit(n)).cast("int")
 
 
 def meet(index: DataFrame, queries: DataFrame, n_blocks: int, n_sides: int, own: str, search: Callable, schema: str) -> DataFrame:
     """search(block, queries) -> table, for each block with each side of the queries.
 
-    ``own``: "only" lets a query meet the block that holds its own vec_id, "not" the others, "also" all.
+    ``own``: "only" lets a query meet the block that holds its own row, "not" the others, "also" all.
     """
     index, queries = index.toDF(*index.columns), queries.toDF(*queries.columns)  # one table on both sides
     held = index.withColumn("block", block_of(n_blocks)).withColumn("side", F.explode(F.sequence(F.lit(0), F.lit(n_sides - 1))))
     home = block_of(n_blocks)
-    asked = queries.withColumn("side", F.pmod(F.xxhash64(F.lit("side"), "vec_id"), F.lit(n_sides)).cast("int"))
+    asked = queries.withColumn("side", F.pmod(F.xxhash64(F.lit("side"), "row"), F.lit(n_sides)).cast("int"))
     if own == "only":
         asked = asked.withColumn("block", home)
     else:
@@ -72,7 +74,7 @@ def meet(index: DataFrame, queries: DataFrame, n_blocks: int, n_sides: int, own:
 
 def ranked(found: DataFrame, k: int) -> DataFrame:
     """The k best of each query, ties to the smaller vec_id. A query has k rows from each block at most."""
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

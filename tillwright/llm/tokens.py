@@ -16,9 +16,10 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-#: Bytes of text that are encoded together, and known pieces kept by a worker.
+#: Bytes of text that are encoded together, bytes of known pieces that a worker keeps (and as many of older ones), bytes that a piece takes besides its own.
 BATCH_BYTES = 8 << 20
-KEPT_PIECES = 150_000
+KEPT_BYTES = 96 << 20
+ENTRY_BYTES = 200
 
 _SPACE = np.zeros(256, bool)
 _SPACE[list(b" \t\n\r\x0b\x0c")] = True
@@ -34,14 +35,15 @@ _LETTERS = re.compile(rb" (?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 
 
 class Encoder:
-    """Encodes with one vocabulary file; ``lower``: the vocabulary ignores ASCII case and white space."""
+    """Encodes with one vocabulary file; ``lower``: the vocabulary ignores ASCII case and white space; ``kept``: bytes of known pieces."""
 
-    def __init__(self, path: str, lower: bool):
+    def __init__(self, path: str, lower: bool, kept: int = KEPT_BYTES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.lower = lower
+        self.kept, self.held = kept, 0
         self.plain = _LETTERS.fullmatch
         self.edge = np.zeros(1 + max(self.tokenizer.get_vocab().values()), bool)
         marked = (lambda t: t.endswith("</w>")) if lower else (lambda t: t.startswith("\u0120"))
@@ -59,6 +61,7 @@ class Encoder:
             for k in [k for k, x in enumerate(found) if x is None]:
                 if (x := self.old.get(pieces[k])) is not None:
                     found[k] = self.young[pieces[k]] = x
+                    self.held += ENTRY_BYTES + len(pieces[k]) + len(x)
         return found
 
     def _learn(self, pieces: list[bytes]) -> None:
@@ -110,7 +113,9 @@ class Encoder:
         words = coded.dictionary.to_pylist()
         known = self._known(words)
         if missing := [w for w, k in zip(words, known) if k is None]:
+            before = len(self.young)
             self._learn(missing)
+            self.held += (len(self.young) - before) * ENTRY_BYTES + sum(len(w) + len(self.young[w]) for w in missing)
             known = [self.young[w] if k is None else k for w, k in zip(words, known)]
         sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
         flat = np.frombuffer(b"".join(known), "<u4")
@@ -119,8 +124,8 @@ class Encoder:
         ends = np.cumsum(taken)
         at = np.repeat((np.cumsum(sizes) - sizes)[codes] - (ends - taken), taken)
         at += np.arange(len(at))
-        if len(self.young) > KEPT_PIECES:
-            self.old, self.young = self.young, {}
+        if self.held > self.kept:
+            self.old, self.young, self.held = self.young, {}, 0
         return flat[at], np.concatenate([[0], ends])[np.searchsorted(offsets, bounds)]
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
@@ -154,6 +159,6 @@ class Encoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str, lower: bool = False) -> Encoder:
+def encoder(path: str, lower: bool = False, kept: int = KEPT_BYTES) -> Encoder:
     """The worker's encoder of a vocabulary file."""
-    return Encoder(path, lower)
+    return Encoder(path, lower, kept)
