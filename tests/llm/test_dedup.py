@@ -79,3 +79,11 @@ def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(k, k + 1) for k in range(200)] + [(1000, k) for k in range(1001, 1200)] + [(-5, -7)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{k: 0 for k in range(201)}, **{k: 1000 for k in range(1000, 1200)}, -5: -7, -7: -7}
+
+
+def test_one_of_each_keeps_columns_of_any_name(odd):
+    from pyspark.sql import functions as F
+
+    named = odd.withColumns({c: F.lit(5) for c in ("_hash", "hashed", "of", "row")})
+    kept = simhash.one_of_each(named, simhash.near_duplicates(named))
+    assert kept.columns == named.columns and all(r["_hash"] == r["hashed"] == r["row"] == 5 for r in kept.collect())

@@ -41,3 +41,11 @@ def test_ties_and_narrow_margins(spark):
     found = langid.identify(docs, same, ["doc_id", "text"])
     assert found.first().lang_pred == "a" and found.first().score == 0
     assert langid.accepted(found).count() == 0
+
+
+def test_names_that_are_taken(odd):
+    dictionaries = {"en": b"the cat and the dog sat on the mat", "fr": "le chat et le chien sont là".encode()}
+    found = langid.identify(odd, dictionaries, odd.columns)
+    assert found.columns == [*odd.columns, "lang_pred_", "score_"]
+    kept = langid.accepted(found).collect()
+    assert {r.lang_pred_ for r in kept} == {"en", "fr"} and {r.lang_pred for r in kept} <= {"x", "y", None}

@@ -136,5 +136,14 @@ def test_place_is_native_and_total(spark, odd, nothing, tmp_path):
     sharding.write_shards(placed, str(tmp_path / "s"))
     assert spark.read.parquet(str(tmp_path / "s")).count() == odd.count()
     assert sharding.place(nothing, "doc_id", ["x"], 11).count() == 0
-    with pytest.raises(ValueError):
-        sharding.place(odd.withColumn("slot", F.lit(1)), "doc_id", ["x"])
+    taken = sharding.place(odd.withColumns({"slot": F.lit(1), "held": F.lit(2)}), "doc_id", ["x"])
+    assert taken.columns == [*odd.columns, "slot", "held", "slot_", "shard"] and {(r.slot, r.held) for r in taken.collect()} == {(1, 2)}
+
+
+def test_columns_named_like_the_mix_own_ones_stay(odd):
+    named = odd.withColumns({c: F.lit(7) for c in ("of", "row", "pieces", "piece", "hashed", "_doc", "_p")})
+    taken = mixing.mix(named)
+    out = mixing.mixed(named, taken)
+    assert out.dtypes == named.dtypes and all(r["of"] == r["row"] == r["_p"] == 7 for r in out.collect())
+    words = lambda t: len(WORD.findall(t or ""))
+    assert sum(words(r.text) for r in out.collect()) == taken.agg(F.sum("taken")).first()[0]

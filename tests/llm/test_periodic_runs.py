@@ -129,8 +129,10 @@ def test_collapsed_keeps_other_texts_as_they_are(odd):
     assert before - after == {r for r in before if r[0] == 6} and len(after) == len(before)
 
 
-def test_clashing_names_are_told(odd):
-    named = odd.withColumn("runs", odd["doc_id"])
-    with pytest.raises(ValueError, match="runs"):
-        periodic_runs.periodic_runs(named)
-    assert periodic_runs.periodic_runs(named, names=("n", "found", "rest")).count() == odd.count()
+def test_names_that_are_taken(odd):
+    named = odd.withColumns({"runs": odd["doc_id"], "Collapsed": odd["n_chars"]})
+    found = periodic_runs.periodic_runs(named)
+    assert found.columns == [*named.columns, "n_words", "runs_", "collapsed_"]
+    assert {(r.doc_id, r.runs) for r in found.collect()} == {(r.doc_id, r.doc_id) for r in odd.collect()}
+    with pytest.raises(ValueError):
+        periodic_runs.periodic_runs(odd, times=2)

@@ -63,6 +63,16 @@ def in_place(spark: SparkSession):
     return setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false")
 
 
+def free_names(wanted: list[str], taken: list[str]) -> list[str]:
+    """Names for added columns: a name that is taken (in any case) gets underscores until it is free."""
+    found: list[str] = []
+    for name in wanted:
+        while name.lower() in {c.lower() for c in [*taken, *found]}:
+            name += "_"
+        found.append(name)
+    return found
+
+
 def row_key(df: DataFrame, columns: list[str]) -> Column:
     """A hash of the named columns that exist, nulls included; equal rows have equal keys."""
     return F.xxhash64(*[F.col(c) for c in columns if c in df.columns])

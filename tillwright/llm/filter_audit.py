@@ -38,10 +38,11 @@ BATCHES = 4
 TEXTS_IN_GROUP = 256
 #: Folded rows that a task holds before it sends them on.
 FOLDED = 1 << 17
-#: State on the executors' disks, of which each micro-batch logs its changes only.
+#: State on the executors' disks, of which each micro-batch logs its changes only; many small stores, so no space is allocated ahead.
 STORE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 SEEN = "bucket long, digest string, part string, mask int, good int, toxic int, low long, at_low long, n long"
 CHANGE = "part string, mask int, good int, toxic int, n long"

@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwright.llm.common import text_slices
+from tillwright.llm.common import free_names, ready, text_slices
 
 SAMPLE = 400
 LONGEST = 20_000
@@ -90,7 +90,7 @@ class Classifier:
         return ordered[0][1], 1 - ordered[0][0] / ordered[1][0]
 
 
-def _predicted(dictionaries: dict[str, bytes]):
+def _predicted(dictionaries: dict[str, bytes], added: list[str]):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classifier = Classifier(dictionaries)
         for batch in batches:
@@ -98,19 +98,24 @@ def _predicted(dictionaries: dict[str, bytes]):
                 found = [classifier.predict(t.as_py()) for t in some.column("text")]
                 columns = [some.column(k) for k in range(some.num_columns)]
                 columns += [pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())]
-                yield pa.RecordBatch.from_arrays(columns, [*some.schema.names, "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays(columns, [*some.schema.names, *added])
 
     return rows
 
 
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], keep: list[str]) -> DataFrame:
-    """The columns named in ``keep`` (``text`` must be one), lang_pred and score, of every document; no shuffle."""
-    if clash := {"lang_pred", "score"}.intersection(keep):
-        raise ValueError(f"rename the columns {sorted(clash)} first")
+    """The columns named in ``keep`` (``text`` must be one), lang_pred and score, of every document; no shuffle.
+
+    Where ``keep`` has one of these two names, the added column's name gets an underscore more.
+    """
+    ready(docs.sparkSession)
     kinds = dict(docs.dtypes)
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", lang_pred string, score double"
-    return docs.select(*keep).mapInArrow(_predicted(dictionaries), schema)
+    language, score = free_names(["lang_pred", "score"], keep)
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + f", {language} string, {score} double"
+    return docs.select(*keep).mapInArrow(_predicted(dictionaries, [language, score]), schema)
 
 
 def accepted(found: DataFrame, narrow: float = NARROW) -> DataFrame:
-    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= narrow))
+    """Of what ``identify`` gives, the rows whose language is known and whose margin, in the last two columns, is wide enough."""
+    language, score = found.columns[-2:]
+    return found.filter((F.col(language) != UNKNOWN) & (F.col(score) >= narrow))

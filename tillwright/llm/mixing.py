@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tillwright.llm.common import WORD, row_key, stored
+from tillwright.llm.common import WORD, free_names, row_key, stored
 
 BLOCK = 8
 SHARD_WORDS = 1 << 20
@@ -140,19 +140,22 @@ def mixed(docs: DataFrame, taken: DataFrame) -> DataFrame:
 
     ``n_chars``, if there, becomes the length of the text. Equal rows are joined as one row with all that is taken of them.
     """
+    doc, row, list_, piece, hashed = free_names(["of", "row", "pieces", "piece", "hashed"], docs.columns)
     spans = F.filter(
         F.array(*[F.struct(F.col(f"from_{k}").alias("a"), F.col(f"to_{k}").alias("b")) for k in (1, 2)]),
         lambda s: s["b"] > s["a"],
     )
     pieces = F.concat(F.array_repeat(F.struct(F.lit(0).cast("long").alias("a"), F.lit(None).cast("long").alias("b")), F.col("copies").cast("int")), spans)
-    wanted = taken.filter("taken > 0").select(F.col("doc_id").alias("_doc"), F.col("row").alias("_row"), F.explode(pieces).alias("_piece"))
-    wanted = wanted.groupBy("_doc", "_row").agg(F.collect_list("_piece").alias("_pieces"))
-    rows = docs.withColumn("_row2", row_key(docs, docs.columns)).dropDuplicates(["doc_id", "_row2"])
-    rows = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_row2") == F.col("_row")))
-    rows = rows.withColumn("_p", F.explode("_pieces"))
+    wanted = taken.filter("taken > 0").select(F.col("doc_id").alias(doc), F.col("row").alias(row), F.explode(pieces).alias(piece))
+    # equal rows are one; a piece that several of them take comes with its number, so the list is as long as the different pieces
+    wanted = wanted.groupBy(doc, row, piece).agg(F.count(F.lit(1)).alias("times")).groupBy(doc, row).agg(F.collect_list(F.struct(piece, "times")).alias(list_))
+    rows = docs.withColumn(hashed, row_key(docs, docs.columns)).dropDuplicates(["doc_id", hashed])
+    rows = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(hashed) == F.col(row)))
+    rows = rows.withColumn(list_, F.explode(list_)).withColumn(piece, F.explode(F.array_repeat(F.col(f"{list_}.{piece}"), F.col(f"{list_}.times").cast("int"))))
     words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    part = F.array_join(F.slice(words, F.col("_p.a").cast("int") + 1, (F.col("_p.b") - F.col("_p.a")).cast("int")), " ")
-    whole = F.col("_p.b").isNull() | ((F.col("_p.a") == 0) & (F.col("_p.b") == F.regexp_count("text", F.lit(WORD))))
+    first, end = F.col(f"{piece}.a"), F.col(f"{piece}.b")
+    part = F.array_join(F.slice(words, first.cast("int") + 1, (end - first).cast("int")), " ")
+    whole = end.isNull() | ((first == 0) & (end == F.regexp_count("text", F.lit(WORD))))
     rows = rows.withColumn("text", F.when(whole, F.col("text")).otherwise(part))
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))

@@ -12,8 +12,8 @@ order, and a pair inside a run that is known already has that run's period, so e
 
 The work is one pass over the documents without a shuffle; a document is looked at whole.
 
-Null and empty texts have no words and no run. Equal rows give equal rows, doc_ids may be null. Added columns have names that the table does not
-use, so columns of any name are kept.
+Null and empty texts have no words and no run. Equal rows give equal rows, doc_ids may be null. Other columns are kept; an added column whose name
+is taken gets underscores until its name is free.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from tillwright.llm.common import ready, text_slices
+from tillwright.llm.common import free_names, ready, text_slices
 
 LEAST = 24
 TIMES = 3
@@ -123,8 +123,7 @@ def periodic_runs(
     """``docs`` with three more columns, named by ``names``: number of words, all runs by start and period, and the words that stay, joined by one space."""
     if times < 3:
         raise ValueError("a run must hold its period three times at least")
-    if clash := set(names) & set(docs.columns):
-        raise ValueError(f"docs has columns {sorted(clash)}; pass other names")
+    names = free_names(list(names), docs.columns)
     ready(docs.sparkSession)
     more = StructType.fromDDL(f"{names[0]} bigint, {names[1]} {RUNS}, {names[2]} string")
     place = docs.columns.index(text)

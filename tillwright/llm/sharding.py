@@ -16,6 +16,8 @@ from hashlib import md5
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillwright.llm.common import free_names
+
 #: A prime well above 100 times the shards used here.
 SLOTS = 65_537
 
@@ -56,12 +58,11 @@ def slot_of(key: Column, slots: int = SLOTS) -> Column:
 
 
 def place(df: DataFrame, key: str, shards: list[str], slots: int = SLOTS, into: tuple[str, str] = ("slot", "shard")) -> DataFrame:
-    """Add the slot and the shard of every row; no shuffle."""
-    if clash := [c for c in into if c in df.columns]:
-        raise ValueError(f"columns {clash} exist already; name others with into")
-    table = lookup(df.sparkSession, shards, slots).toDF("_slot", into[1])
-    keyed = df.withColumn(into[0], slot_of(F.col(key), slots))
-    return keyed.join(F.broadcast(table), keyed[into[0]] == table["_slot"], "left").drop("_slot")
+    """Add the slot and the shard of every row; no shuffle. A name of ``into`` that is taken gets underscores until it is free."""
+    slot, shard, held = free_names([*into, "held"], df.columns)
+    table = lookup(df.sparkSession, shards, slots).toDF(held, shard)
+    keyed = df.withColumn(slot, slot_of(F.col(key), slots))
+    return keyed.join(F.broadcast(table), keyed[slot] == table[held], "left").drop(held)
 
 
 def write_shards(placed: DataFrame, path: str, shard: str = "shard") -> None:

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tillwright.llm.common import row_key, stored, text_slices
+from tillwright.llm.common import free_names, ready, row_key, stored, text_slices
 from tillwright.llm.graph import components
 
 DISTANCE = 3
@@ -65,6 +65,7 @@ def _fingerprints(words_in_shingle: int, seed: int):
 
 def fingerprints(docs: DataFrame, words_in_shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """doc_id, row (hash of all columns), fp of every document; computed once and stored."""
+    ready(docs.sparkSession)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key(docs, docs.columns).alias("row"), F.col("text").cast("string").alias("text"))
     return stored(source.mapInArrow(_fingerprints(words_in_shingle, seed), "doc_id long, row long, fp long"), "fingerprints")
 
@@ -105,7 +106,8 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, kept: int = KEPT)
 def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
     """Of every cluster, the document with the smallest id (null last; then the smallest row hash), once."""
     rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("row").alias("row"))
-    kept = found.groupBy("cluster").agg(F.min(rank).alias("least")).select(F.col("least.id").alias("_id"), F.col("least.row").alias("_row"))
-    rows = docs.withColumn("_hash", row_key(docs, docs.columns))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_row"))
-    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_hash"]).select(*docs.columns)
+    hashed, of, row = free_names(["hashed", "of", "row"], docs.columns)
+    kept = found.groupBy("cluster").agg(F.min(rank).alias("least")).select(F.col("least.id").alias(of), F.col("least.row").alias(row))
+    rows = docs.withColumn(hashed, row_key(docs, docs.columns))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(of)) & (F.col(hashed) == F.col(row))
+    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", hashed]).select(*docs.columns)
