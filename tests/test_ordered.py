@@ -131,9 +131,9 @@ def test_ranking_is_spread_when_all_values_are_close_and_one_is_hot(spark):
     close = 1_000_000 + F.pmod(F.xxhash64("id"), F.lit(10_000))
     df = spark.range(0, 60_000, 1, 8).select(F.when(F.col("id") % 3 == 0, 1_000_500).otherwise(close).alias("v"), (F.col("id") % 5).alias("g"), "id")
     rows_ = df.withColumn("_row", F.xxhash64("v", "g", "id"))
-    slot, equal = ordered._between_bounds(rows_, F.col("v"))
-    dealt = rows_.withColumns({"s": slot, "salt": F.when(equal, F.pmod("_row", F.lit(ordered.SALTS)))})
-    sizes = sorted(r["count"] for r in dealt.groupBy("s", "salt").count().collect())
+    dealt = ordered._between_bounds(rows_, F.col("v"))
+    dealt = dealt.withColumn("salt", F.when(F.col("_slot") % 2 == 1, F.pmod("_row", F.lit(ordered.SALTS))))
+    sizes = sorted(r["count"] for r in dealt.groupBy("_slot", "salt").count().collect())
     assert len(sizes) > 1000 and sizes[-1] < 60_000 / 64
     out = ordered.rank_desc(df, "v", ["g"], "r", "d")
     values = [r.v for r in df.select("v").distinct().collect()]

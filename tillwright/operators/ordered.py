@@ -201,8 +201,8 @@ def group_ordinal(
     )
 
 
-def _between_bounds(rows: DataFrame, value: Column) -> tuple[Column, Column]:
-    """Slot of a value from large to small, and whether all rows of that slot are equal.
+def _between_bounds(rows: DataFrame, value: Column) -> DataFrame:
+    """Add ``_slot``: the slot of a value from large to small; in an odd slot all rows are equal.
 
     The distinct values of a sample are bounds: each is a slot of its own, and so is what lies between two of them.
     The sample holds the rows with the smallest hashes, so it is the same whenever the plan is run, and slots
@@ -214,16 +214,19 @@ def _between_bounds(rows: DataFrame, value: Column) -> tuple[Column, Column]:
     found = found.select(F.struct("_all", F.filter("_all", lambda _, k: k % BLOCK == 0).alias("_heads")).alias("_bounds")).scalar()
     bounds, heads = found["_all"], found["_heads"]
     # a search in two steps, for the block of bounds and for the place in it
-    smaller = lambda some: (F.array_position(F.sort_array(F.array_append(some, value)), value) - 1).cast("int")
-    first = F.greatest(smaller(heads) - 1, F.lit(0)) * BLOCK
-    block = F.slice(bounds, first + 1, F.lit(BLOCK))
-    is_bound = F.array_contains(block, value)
+    smaller = lambda some: (F.array_position(F.sort_array(F.array_append(some, F.col("_v"))), F.col("_v")) - 1).cast("int")
+    n, first = F.size(bounds), F.col("_first")
     # a bound at the start of a block is larger than all of the block before it
-    next_head = F.coalesce(F.get(bounds, first + BLOCK) == value, F.lit(False))
-    is_bound = (is_bound | next_head).cast("int")
-    above = F.size(bounds) - (first + smaller(block)) - is_bound
-    slot = F.when(value.isNull() | (F.size(bounds) == 0), 2 * F.size(bounds) + 1).otherwise(2 * above + is_bound)
-    return slot.cast("int"), slot % 2 == 1
+    next_head = F.coalesce(F.get(bounds, first + BLOCK) == F.col("_v"), F.lit(False))
+    searched = (
+        rows.withColumn("_v", value)
+        .withColumn("_first", F.greatest(smaller(heads) - 1, F.lit(0)) * BLOCK)
+        .withColumn("_block", F.slice(bounds, first + 1, F.lit(BLOCK)))
+        .withColumn("_is", (F.array_contains("_block", F.col("_v")) | next_head).cast("int"))
+        .withColumn("_below", first + smaller(F.col("_block")))
+    )
+    slot = F.when(F.col("_v").isNull() | (n == 0), 2 * n + 1).otherwise(2 * (n - F.col("_below") - F.col("_is")) + F.col("_is"))
+    return searched.withColumn("_slot", slot.cast("int")).drop("_v", "_first", "_block", "_is", "_below")
 
 
 def rank_desc(
@@ -243,9 +246,9 @@ def rank_desc(
     number = F.when(F.col(value) == 0, F.lit(0).cast(kind)).otherwise(F.col(value)) if kind in ("double", "float") else F.col(value)
     whole = [F.col(c) for c, k in df.dtypes if "map<" not in k]
     # the hash needs all columns, so every use of the rows reads the same exchanges below
-    rows = df.withColumn("_row", F.xxhash64(*whole))
-    slot, equal = _between_bounds(rows, number)
-    rows = rows.withColumn("_slot", slot).withColumn("_salt", F.when(equal, F.pmod("_row", F.lit(SALTS))).otherwise(0).cast("int")).drop("_row")
+    rows = _between_bounds(df.withColumn("_row", F.xxhash64(*whole)), number)
+    equal = F.col("_slot") % 2 == 1
+    rows = rows.withColumn("_salt", F.when(equal, F.pmod("_row", F.lit(SALTS))).otherwise(0).cast("int")).drop("_row")
     falling = F.col(value).desc_nulls_last()
 
     here = ["_slot", "_salt"]

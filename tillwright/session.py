@@ -50,8 +50,13 @@ def fit_shuffles(spark: SparkSession, *tables: DataFrame) -> int:
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder path under the cluster's shared ``spark.checkpoint.dir``; where that is
-    unset, under the warehouse, which is shared as well."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    unset, under the warehouse. On a cluster a warehouse on the driver's own disk is refused."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        on_disk = base.startswith(("file:", "/"))
+        if on_disk and not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the whole cluster shares")
     return f"{base.rstrip('/')}/tillwright/{name}-{uuid.uuid4().hex}"
 
 
