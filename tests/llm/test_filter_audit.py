@@ -119,7 +119,7 @@ def test_copies_of_one_text_are_folded_before_they_are_sent(spark, tmp_path, lab
     written(spark, path, rows[225:])
     log = filter_audit.new_log(spark, path)
     filter_audit.add_files(spark, path, labels, log, batches=2)
-    assert audited(spark, log) == plain_audit(rows, BEST)
+    assert audited(spark, log) == plain_audit(rows, BEST | {99: (1, 1)})
 
 
 def test_fold_keeps_the_smallest_id_and_its_rows():
@@ -129,7 +129,17 @@ def test_fold_keeps_the_smallest_id_and_its_rows():
     names = ["bucket", "digest", "part", "mask", "good", "toxic", "doc_id"]
     batch = pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows])
     got = {tuple(r.values()) for out in filter_audit._folded(iter([batch])) for r in out.to_pylist()}
-    assert got == {(1, "d", "en", 0, 0, 0, 4, 2, 4), (1, "d", "en", 0, 0, 0, None, 1, 1), (1, "d", "en", 0, 1, 0, 3, 1, 1)}
+    assert got == {(1, "d", "en", 0, 0, 0, True, 4, 2, 4), (1, "d", "en", 0, 0, 0, False, 0, 1, 1), (1, "d", "en", 0, 1, 0, True, 3, 1, 1)}
+
+
+def test_ids_beyond_floating_numbers_beside_null_ones(spark, tmp_path, labels):
+    big = 2**62
+    rows = [(big + 1, LONG, "en"), (None, LONG, "en"), (big, LONG, "en"), (-big - 1, "short", "en"), (-big, "short", "en"), (None, "short", "de")]
+    path = str(tmp_path / "documents")
+    written(spark, path, rows)
+    log = filter_audit.new_log(spark, path)
+    filter_audit.add_files(spark, path, labels, log)
+    assert audited(spark, log) == plain_audit(rows, {})
 
 
 def test_odd_rows_and_nothing(spark, odd, nothing, tmp_path, labels):

@@ -44,7 +44,7 @@ STORE = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
-SEEN = "bucket long, digest string, part string, mask int, good int, toxic int, low long, at_low long, n long"
+SEEN = "bucket long, digest string, part string, mask int, good int, toxic int, known boolean, low long, at_low long, n long"
 CHANGE = "part string, mask int, good int, toxic int, n long"
 
 
@@ -65,14 +65,15 @@ def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[tuple, list] = {}
 
     def sent() -> pa.RecordBatch:
-        rows = [(*key[:6], *value) for key, value in held.items()]
-        kinds = [pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+        # an id that is null is sent as 0, since nulls would turn the column into floating numbers on the way
+        rows = [(*key, value[0] or 0, *value[1:]) for key, value in held.items()]
+        kinds = [pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int64()]
         names = [f.split()[0] for f in SEEN.split(", ")]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
     for batch in batches:
         for *key, doc_id in zip(*(c.to_pylist() for c in batch.columns)):
-            key = (*key, doc_id is None)
+            key = (*key, doc_id is not None)
             one = held.get(key)
             if one is None:
                 held[key] = [doc_id, 1, 1]
@@ -80,7 +81,7 @@ def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             one[2] += 1
             if doc_id == one[0]:
                 one[1] += 1
-            elif doc_id < one[0]:
+            elif doc_id < one[0]:  # never with null ids, which are equal
                 one[:2] = doc_id, 1
         if len(held) >= FOLDED:
             yield sent()
@@ -96,11 +97,11 @@ def _updater(repeats: int):
         texts = json.loads(state.get[0]) if state.exists else {}
         arrived, change = defaultdict(list), defaultdict(int)
         for frame in frames:
-            for digest, part, mask, good, toxic, low, at_low, n in zip(*(frame[c].tolist() for c in list(frame.columns)[1:])):
-                if low is None or low != low:
-                    change[part, mask, good, toxic] += n
+            for digest, part, mask, good, toxic, known, low, at_low, n in zip(*(frame[c].tolist() for c in list(frame.columns)[1:])):
+                if known:
+                    arrived[digest].append((part, mask, good, toxic, low, at_low, n))
                 else:
-                    arrived[digest].append((part, mask, good, toxic, int(low), at_low, n))
+                    change[part, mask, good, toxic] += n
         for digest, rows in arrived.items():
             least = min(row[4] for row in rows)
             before, holders = texts.get(digest, (least, []))
