@@ -18,7 +18,7 @@ import pyarrow as pa
 
 #: Bytes of text that are encoded together, bytes of known pieces that a worker keeps (and as many of older ones), bytes that a piece takes besides its own.
 BATCH_BYTES = 8 << 20
-KEPT_BYTES = 96 << 20
+KEPT_BYTES = 72 << 20
 ENTRY_BYTES = 200
 
 _SPACE = np.zeros(256, bool)
