@@ -18,8 +18,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: of the five-word shingles of two, 0.8 are common."""
-    return simhash.one_of_each(docs, near_copies.near_copies(docs))
+    """One document of each group that fingerprints at most three bits apart link, or five-word shingles of which two texts share 0.8.
+
+    Fingerprints alone miss most near copies that differ in more than a few words; the shingles bring these in.
+    """
+    return simhash.one_of_each(docs, simhash.joined(simhash.near_duplicates(docs), near_copies.near_copies(docs)))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

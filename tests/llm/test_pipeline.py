@@ -8,7 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tillwright.llm import langid
+from tillwright.llm import langid, simhash
 
 from .test_mix_and_shards import WORD, plain_targets
 from .test_near_copies import plain_set, similar
@@ -118,3 +118,24 @@ def test_columns_named_as_the_prediction_pass_every_stage(spark, odd, nothing):
             docs = stage(spark, docs, SF)
             docs = spark.createDataFrame(docs.collect(), docs.schema)
             assert docs.dtypes == columns or name == "pack_sequences"
+
+
+def test_near_duplicates_link_by_fingerprint_or_by_shingles(spark):
+    """Fingerprints within three bits link texts whose five-word shingles are mostly different, and both kinds of links chain."""
+    line = " ".join(f"r{k}" for k in range(11))
+    own = lambda tag, n: " ".join(f"{tag}{k}" for k in range(n))
+    repeated = {k: f"{line} " * 80 + own(f"t{k}_", 16) for k in (1, 2, 3)}
+    words = own("w", 200).split()
+    close = ["other" if k in (50, 100, 150) else w for k, w in enumerate(words)]
+    texts = {**repeated, 4: " ".join(words), 5: " ".join(close), 6: own("z", 200), 7: None, 8: "  "}
+    # a near copy by shingles, not by fingerprint, of a text that only its fingerprint links to the others
+    texts[9] = f"{line} " * 3 + own("t3_", 16)
+    prints = {k: simhash.fingerprint(t) for k, t in texts.items()}
+    sets = {k: plain_set(t) for k, t in texts.items()}
+    bits = lambda a, b: ((prints[a] ^ prints[b]) & (1 << 64) - 1).bit_count()
+    assert bits(1, 3) <= 3 and not similar(sets[1], sets[3])
+    assert bits(4, 5) > 3 and similar(sets[4], sets[5])
+    assert all(bits(9, k) > 3 for k in (1, 2, 3)) and similar(sets[9], sets[3]) and not similar(sets[9], sets[1])
+    docs = spark.createDataFrame([*texts.items(), (None, texts[6]), (6, texts[6])], "doc_id long, text string")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 4, 6, 7]

@@ -103,6 +103,19 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, kept: int = KEPT)
     return clustered.join(least, "cluster").select("doc_id", "row", "fp", "cluster", "component_id")
 
 
+def joined(found: DataFrame, other: DataFrame) -> DataFrame:
+    """doc_id, row and cluster of every document, where clusters that have a document in common in either grouping are one."""
+    ids = ["doc_id", "row"]
+    mine, others = found.select(*ids, F.col("cluster").alias("met")), other.select(*ids, "cluster")
+    same = mine["doc_id"].eqNullSafe(others["doc_id"]) & (mine["row"] == others["row"])
+    # equal rows are in the same clusters
+    both = stored(mine.distinct().join(others, same).select(*[others[c] for c in ids], "met", "cluster"), "both")
+    pairs = both.select("met", "cluster").distinct()
+    least = pairs.groupBy("met").agg(F.min("cluster").alias("least"))
+    roots = components(pairs.join(least, "met").select(F.col("cluster").alias("a"), F.col("least").alias("b")))
+    return both.join(roots, F.col("cluster") == roots["node"], "left").select(*ids, F.coalesce("root", "cluster").alias("cluster"))
+
+
 def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
     """Of every cluster, the document with the smallest id (null last; then the smallest row hash), once."""
     rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("row").alias("row"))
