@@ -209,3 +209,25 @@ def test_last_before_takes_nothing_later(make):
         for name, rows_ in others.items():
             seen = [(t, i, v) for k, t, i, v in rows_ if k == row.k and k and t and row.ts and t <= row.ts]
             assert (row[name] and tuple(row[name])) == (max(seen)[1:] if seen else None)
+
+
+@pytest.mark.parametrize("look", [ordered.previous_row, ordered.next_row])
+def test_neighbours_read_their_rows_once(spark, tmp_path, look):
+    path = str(tmp_path / "rows")
+    spark.range(50).selectExpr("id % 3 AS k", "timestamp_seconds(id * 900) AS ts", "id").write.parquet(path)
+    found = look(spark.read.parquet(path), ["k"], ["ts"], ["id"], "near", ordered.time_slot("ts"))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+
+
+def test_what_one_task_reads_is_bounded_unless_the_session_says_otherwise(spark):
+    from tillwright import session
+
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key, None)
+    try:
+        for given, want in ((None, "16m"), ("5m", "5m")):
+            spark.conf.unset(key) if given is None else spark.conf.set(key, given)
+            assert session.prepare(spark).conf.get(key) == want
+        assert session.BYTES_PER_PARTITION <= 8 << 20
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)

@@ -3,7 +3,7 @@
 A plain window per key puts all rows of that key into one task. Here every key is
 cut into slots (a value that never decreases along the ordering, such as the hour of
 the event time). The window runs per (key, slot), and one extra "carry" row per
-(key, slot) brings in what came before it. Carry rows are made from map-side combined
+(key, slot) brings in what came before it; neighbours are looked up in the slot, then among the first and last rows of the key's slots. Carry rows are made from map-side combined
 aggregates, so their number is bounded by keys x slots, and the window that chains
 them sees one row per slot.
 """
@@ -63,24 +63,20 @@ def running_total(
 
 
 def _neighbour(df, keys, order, fields, out, slot, forward: bool) -> DataFrame:
-    data = df.withColumn("_slot", slot).withColumn("_step", F.struct(*fields))
-    edge = F.min_by if forward else F.max_by
-    edges = data.groupBy(*keys, "_slot").agg(edge("_step", F.struct(*order)).alias("_edge"))
-    across = Window.partitionBy(*keys).orderBy("_slot")
-    step = F.lead("_edge") if forward else F.lag("_edge")
-    # the carry row stands after the slot's rows when looking ahead, before them otherwise
-    row_mark, carry_mark = (0, 1) if forward else (1, 0)
-    carry = edges.select(
-        *keys, "_slot", F.lit(carry_mark).alias("_carry"), step.over(across).alias("_step")
-    )
-    inside = Window.partitionBy(*keys, "_slot").orderBy("_carry", *order)
-    look = F.lead("_step") if forward else F.lag("_step")
-    return (
-        _with_carry(data.withColumn("_carry", F.lit(row_mark)), carry)
-        .withColumn(out, look.over(inside))
-        .filter(F.col("_carry") == row_mark)
-        .drop(*_HELPERS)
-    )
+    """Rows meet their slot first; then the first and last rows of all slots of a key meet, the others keep apart."""
+    look, at = (F.lead, "_last") if forward else (F.lag, "_first")
+    inside = Window.partitionBy(*keys, "_slot").orderBy(*order)
+    begins, ends = (step(F.lit(True)).over(inside).isNull() for step in (F.lag, F.lead))
+    near = [look(f).over(inside).alias(f"_near{k}") for k, f in enumerate(fields)]
+    rows = df.withColumn("_slot", slot).select("*", *near, begins.alias("_first"), ends.alias("_last"))
+    edge = F.col("_first") | F.col("_last")
+    rows = rows.withColumns({"_edge": edge, "_inner": F.when(~edge, F.col("_slot"))})
+    across = Window.partitionBy(*keys, "_edge", "_inner").orderBy("_slot", F.col("_first").desc())
+    far = [look(f).over(across).alias(f"_far{k}") for k, f in enumerate(fields)]
+    rows = rows.select("*", *far, look(F.lit(True)).over(across).alias("_any"))
+    step = lambda of: F.struct(*[F.col(f"_{of}{k}").alias(f) for k, f in enumerate(fields)])
+    found = F.when(~F.col(at), step("near")).when(F.col("_any"), step("far"))
+    return rows.select(*[df[c] for c in df.columns if c != out], found.alias(out))
 
 
 def previous_row(

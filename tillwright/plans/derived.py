@@ -644,7 +644,7 @@ def change_history(
     ``history_id`` is a hash of key and start.
     """
     order = [changed, tie] if tie else [changed]
-    hashed = states.select(key, *order, *attributes, *carried).withColumn("_hash", attribute_hash(attributes))
+    hashed = states.select(key, *order, *attributes, *carried).withColumn("_hash", F.unhex(attribute_hash(attributes)))
     slot = time_slot(changed, grain)
     seen = previous_row(hashed, [key], order, ["_hash"], "_before", slot)
     reason = F.when(F.col("_before").isNull(), "initial").otherwise("change")

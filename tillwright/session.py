@@ -18,10 +18,19 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# What one task reads, unless the session says otherwise: rows that pack well take ten times as much memory and more.
+TASK_SETTINGS = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    "spark.sql.files.maxPartitionBytes": "32m",
+}
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    for key, value in TASK_SETTINGS.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
     # listing a table with many date folders takes a few tasks per core, not one per folder
     listing = str(4 * spark.sparkContext.defaultParallelism)
     spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", listing)
@@ -30,7 +39,7 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 # Input bytes (compressed columns) meant for one shuffle partition; adaptive execution merges
 # the small ones afterwards.
-BYTES_PER_PARTITION = 64 * 2**20
+BYTES_PER_PARTITION = 8 * 2**20
 
 
 def fit_shuffles(spark: SparkSession, *tables: DataFrame) -> int:
