@@ -96,3 +96,13 @@ def test_a_merge_that_broke_off_can_be_run_again(spark, make, tmp_path):
     done.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("period").parquet(path)
     history.merge(make(data[40:], SCHEMA), path, H)
     assert merged(spark, path, make(data, SCHEMA)) == whole(make(data, SCHEMA))
+
+
+def test_a_merge_computes_its_states_once(spark, make, tmp_path, monkeypatch):
+    """They are stored, and both the altered periods and their rows are read from there."""
+    data, path, kept = states(40, 7), str(tmp_path / "h"), str(tmp_path / "kept")
+    monkeypatch.setattr(history, "scratch_dir", lambda _, name: f"{kept}-{name}", raising=False)
+    history.create(make(data[:30], SCHEMA), path, H)
+    history.merge(make(data[30:], SCHEMA), path, H)
+    assert spark.read.parquet(f"{kept}-merged-states").count() >= 10
+    assert merged(spark, path, make(data, SCHEMA)) == whole(make(data, SCHEMA))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tillwright.operators.ordered import next_row, previous_row, time_slot
+from tillwright.session import scratch_dir
 
 #: Names of periods that are no months; states without a time come before all others, and so does their period.
 OPEN, UNDATED = "open", "0000"
@@ -62,7 +63,7 @@ def _period(h: History) -> Column:
 
 def _chained(states: DataFrame, h: History) -> DataFrame:
     """States with is_change, initial, eff_to and period. Rows that were in the table keep what they were if nothing precedes them here."""
-    hashed = states.withColumn("_hash", attribute_hash(h.attributes))
+    hashed = states.withColumn("_hash", F.unhex(attribute_hash(h.attributes)))
     seen = previous_row(hashed, [h.key], h.order, ["_hash"], "_before", h.slot())
     first = F.col("_before").isNull()
     was = F.col("_was")
@@ -121,7 +122,11 @@ def merge(batch: DataFrame, path: str, h: History) -> list[str]:
     place = Window.partitionBy(h.key, *h.order)
     states = states.unionByName(fresh).withColumn("_in", F.collect_set("_was.period").over(place))
     states = states.withColumn("_n", F.row_number().over(place.orderBy(F.col("_was").isNull()))).filter("_n = 1").drop("_n")
+    # read twice below: for the periods that are altered and for their rows
+    kept = scratch_dir(spark, "merged-states")
     now = _chained(states, h)
+    now.write.parquet(kept)
+    now = spark.read.schema(now.schema).parquet(kept)
 
     unlike = F.col("_was").isNull() | ~was.eqNullSafe(F.col("_was")) | (F.size("_in") > 1)
     altered = now.filter(unlike).select(F.explode(F.array_append("_in", F.col("period"))).alias("period")).distinct()
