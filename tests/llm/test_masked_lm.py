@@ -95,3 +95,17 @@ def test_a_last_partial_batch_and_a_long_document_are_learned_from():
         batch = pa.RecordBatch.from_arrays([pa.array(["w " * n])], ["text"])
         got = [next(lm._trained(start, vocabulary, turn, 2)(iter([batch])), None) for turn in range(2)]
         assert sum(g.column("seen")[0].as_py() for g in got if g) == n
+
+
+def test_a_long_text_is_padded_once(monkeypatch):
+    """Not once for each batch of its words, which copies a long text as often as it has batches."""
+    import pyarrow as pa
+
+    calls, padded = [], lm._padded
+    monkeypatch.setattr(lm, "_padded", lambda classes: calls.append(len(classes)) or padded(classes))
+    vocabulary = lm.Vocabulary(np.ones(lm.WORDS))
+    weights = lm.Network.start(vocabulary).weights
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["w v " * 3 * lm.BATCH])], ["doc_id", "text"])
+    list(lm._trained(weights, vocabulary, 0, 2)(iter([batch])))
+    list(lm._scored(weights, vocabulary)(iter([batch])))
+    assert len(calls) == 2

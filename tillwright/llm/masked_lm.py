@@ -44,7 +44,7 @@ _ENDS = np.cumsum([int(np.prod(s)) for s in _SHAPES])
 def numbers(text: str | None) -> np.ndarray:
     """The number of every word of a text."""
     words = (text or "").encode().lower().split()
-    return np.fromiter(map(crc32, words), np.int64, len(words)) % WORDS
+    return np.fromiter(map(crc32, words), np.int64, len(words)) & (WORDS - 1)
 
 
 class Vocabulary:
@@ -65,6 +65,12 @@ class Network:
         self.embedding, self.bias, self.out, self.out_bias = (
             p.reshape(s) for p, s in zip(np.split(self.weights, _ENDS[:-1]), _SHAPES)
         )
+        self._room(BATCH)
+
+    def _room(self, n: int) -> None:
+        """Memory for n windows, used again by every batch; new pages for each take longer than the sums in them."""
+        self._h, self._one, self._z = (np.empty((n, k), np.float32) for k in (WIDTH, WIDTH, CLASSES))
+        self._at, self._dh = np.empty((n, WIDTH), np.int64), np.empty((n, WIDTH))
 
     @staticmethod
     def start(vocabulary: Vocabulary, seed: int = 5) -> Network:
@@ -74,39 +80,56 @@ class Network:
         return Network(weights)
 
     def hidden(self, around: np.ndarray) -> np.ndarray:
-        h = self.bias + self.embedding[around[:, 0]]
+        n = len(around)
+        if n > len(self._h):
+            self._room(n)
+        h, one = self._h[:n], self._one[:n]
+        # clipping changes no row and, unlike the check, needs no copy
+        np.add(self.bias, self.embedding.take(around[:, 0], axis=0, out=one, mode="clip"), out=h)
         for p in range(1, PLACES):
-            h += self.embedding[around[:, p]]
+            h += self.embedding.take(around[:, p], axis=0, out=one, mode="clip")
         return np.tanh(h, out=h)
 
-    def log_probability(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
-        z = self.hidden(around) @ self.out
+    def _logits(self, h: np.ndarray) -> np.ndarray:
+        """Less the greatest of each row."""
+        z = np.matmul(h, self.out, out=self._z[: len(h)])
         z += self.out_bias
         z -= z.max(axis=1, keepdims=True)
+        return z
+
+    def log_probability(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
+        z = self._logits(self.hidden(around))
         own = z[np.arange(len(z)), target]
         return own.astype(np.float64) - np.log(np.exp(z, out=z).sum(axis=1, dtype=np.float64))
 
     def gradient(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Of the mean negative log-probability."""
         h = self.hidden(around)
-        z = h @ self.out + self.out_bias
-        z -= z.max(axis=1, keepdims=True)
+        z = self._logits(h)
         np.exp(z, out=z)
         z *= 1 / (len(z) * z.sum(axis=1, keepdims=True))
         z[np.arange(len(z)), target] -= 1 / len(z)
         dh = (z @ self.out.T) * (1 - h**2)
         de = np.zeros_like(self.embedding)
-        places = np.arange(WIDTH)
+        places, at, exact = np.arange(WIDTH), self._at[: len(h)], self._dh[: len(h)]
+        exact[:] = dh
         for p in range(PLACES):
             rows = slice(p * (CLASSES + 1), (p + 1) * (CLASSES + 1))
-            at = (around[:, p, None] - rows.start) * WIDTH + places
-            de[rows] = np.bincount(at.ravel(), dh.ravel(), (CLASSES + 1) * WIDTH).reshape(-1, WIDTH)
+            np.add((around[:, p, None] - rows.start) * WIDTH, places, out=at)
+            de[rows] = np.bincount(at.ravel(), exact.ravel(), (CLASSES + 1) * WIDTH).reshape(-1, WIDTH)
         return np.concatenate([de.ravel(), dh.sum(0), (h.T @ z).ravel(), z.sum(0)])
 
 
 def windows(classes: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Rows of the embedding around the given words; beyond the ends is a class of its own."""
-    padded = np.concatenate([np.full(REACH, CLASSES), classes, np.full(REACH, CLASSES)])
+    return _windows(_padded(classes), at)
+
+
+def _padded(classes: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.full(REACH, CLASSES), classes, np.full(REACH, CLASSES)])
+
+
+def _windows(padded: np.ndarray, at: np.ndarray) -> np.ndarray:
     steps = [s for s in range(2 * REACH + 1) if s != REACH]
     return np.stack([padded[at + s] + p * (CLASSES + 1) for p, s in enumerate(steps)], axis=1)
 
@@ -149,10 +172,10 @@ def _trained(network: np.ndarray, vocabulary: Vocabulary, turn: int, rounds: int
             for some in text_slices(batch, "text"):
                 for text in some.column("text"):
                     classes = vocabulary.of[numbers(text.as_py())]
-                    at = np.arange(turn, len(classes), rounds)
+                    at, padded = np.arange(turn, len(classes), rounds), _padded(classes)
                     while len(at):
                         part, at = at[: BATCH - size], at[BATCH - size :]
-                        held.append((windows(classes, part), classes[part]))
+                        held.append((_windows(padded, part), classes[part]))
                         size += len(part)
                         if size >= BATCH:
                             learn()
@@ -192,10 +215,10 @@ def _scored(network: np.ndarray, vocabulary: Vocabulary):
                 at = np.concatenate([np.arange(a, a + k) for a, k in zip(starts, n)])
                 words = np.concatenate(found)
                 every[at] = vocabulary.of[words]
-                logs = vocabulary.log_share[words]
+                logs, padded = vocabulary.log_share[words], _padded(every)
                 for a in range(0, len(at), BATCH):
                     part = at[a : a + BATCH]
-                    logs[a : a + BATCH] += model.log_probability(windows(every, part), every[part])
+                    logs[a : a + BATCH] += model.log_probability(_windows(padded, part), every[part])
                 ends = np.cumsum(n)
                 total = [float(logs[b - k : b].sum()) for b, k in zip(ends.tolist(), n.tolist())]
                 columns = [some.column("doc_id"), pa.array(n), pa.array(total)]
