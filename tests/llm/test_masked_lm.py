@@ -109,3 +109,30 @@ def test_a_long_text_is_padded_once(monkeypatch):
     list(lm._trained(weights, vocabulary, 0, 2)(iter([batch])))
     list(lm._scored(weights, vocabulary)(iter([batch])))
     assert len(calls) == 2
+
+
+@pytest.mark.parametrize("slice_bytes", [1 << 20, 1, 5, 40, 100])
+def test_words_of_many_texts_are_numbered_together_and_as_one_by_one(monkeypatch, slice_bytes):
+    from zlib import crc32
+
+    monkeypatch.setattr(lm, "SLICE_BYTES", slice_bytes)
+    texts = ["", " ", "A bC\tde\r\nF\x0bg\x0ch", "\x1c\x1d \x1e\x1f\x00 \x85\u00a0x", "\u00c4\u00d6 \u65e5\u672c \u2003.", " a" * 9, "x" * 5000 + " y"]
+    texts += [" ".join("Ab!z"[k % 4] * k for k in range(1, 140)), "end", " led by space"]
+    got, n = lm._numbered([t.encode() for t in texts])
+    want = [[crc32(w) & (lm.WORDS - 1) for w in t.encode().lower().split()] for t in texts]
+    assert n.tolist() == [len(w) for w in want] and got.tolist() == [x for w in want for x in w]
+    assert [lm.numbers(t).tolist() for t in texts] == want
+    assert lm._numbered([])[0].size == 0 and lm.numbers(None).size == 0
+
+
+def test_many_short_texts_are_laid_out_together(monkeypatch):
+    """Not one by one in training, which takes as many small steps as there are texts."""
+    import pyarrow as pa
+
+    calls, padded = [], lm._padded
+    monkeypatch.setattr(lm, "_padded", lambda classes: calls.append(len(classes)) or padded(classes))
+    vocabulary = lm.Vocabulary(np.ones(lm.WORDS))
+    weights = lm.Network.start(vocabulary).weights
+    batch = pa.RecordBatch.from_arrays([pa.array(["one two three", None, "", "four"] * 200)], ["text"])
+    got = list(lm._trained(weights, vocabulary, 0, 2)(iter([batch])))
+    assert got[0].column("seen")[0].as_py() == 600 and len(calls) == 1

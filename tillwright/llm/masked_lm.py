@@ -39,12 +39,55 @@ RATE = 0.01
 FIXED = 1 << 20
 _SHAPES = [(PLACES * (CLASSES + 1), WIDTH), (WIDTH,), (WIDTH, CLASSES), (CLASSES,)]
 _ENDS = np.cumsum([int(np.prod(s)) for s in _SHAPES])
+#: Bytes of text that are numbered together, and of a word that is numbered with others.
+SLICE_BYTES = 1 << 20
+SHORT = 64
+_PLAIN = bytes(c + 32 if 65 <= c <= 90 else 32 if c in b"\t\n\r\x0b\x0c" else c for c in range(256))
+# a CRC is the exclusive or of one term for each byte and its distance to the word's end, and one for the word's length
+_TERMS = np.array([[crc32(bytes([b]) + bytes(d)) ^ crc32(bytes(d + 1)) for b in range(256)] for d in range(SHORT)]) & (WORDS - 1)
+_TERMS[:, 32] = 0
+_TERMS = _TERMS.astype(np.uint16).ravel()
+_CELLS = np.arange((CLASSES + 1) * WIDTH).reshape(-1, WIDTH)
+_LENGTHS = np.array([crc32(bytes(n)) & (WORDS - 1) for n in range(SHORT + 1)], np.uint16)
 
 
 def numbers(text: str | None) -> np.ndarray:
     """The number of every word of a text."""
-    words = (text or "").encode().lower().split()
-    return np.fromiter(map(crc32, words), np.int64, len(words)) & (WORDS - 1)
+    return _numbered([(text or "").encode()])[0]
+
+
+def _numbered(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The number of every word of the texts, and each text's count of words."""
+    data = (b" " + b" ".join(texts) + b" ").translate(_PLAIN)
+    raw = np.frombuffer(data, np.uint8)
+    space = raw == 32
+    edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+    starts, ends = edges[::2], edges[1::2]
+    after = 1 + np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+    n = np.diff(np.searchsorted(starts, after), prepend=0)
+    lengths = ends - starts
+    found = _LENGTHS.take(lengths, mode="clip").astype(np.int64)
+    # words are taken by where they end, so that a long text needs no more memory here than a short one
+    cuts = np.searchsorted(ends, np.arange(0, len(raw) + 2 * SLICE_BYTES, 2 * SLICE_BYTES))
+    for j, k in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        if j < k:
+            stop = ends[j:k]
+            begin = max(int(ends[j - 1]) if j else 0, int(stop[0]) - SHORT - 1)
+            left = np.repeat(stop, np.diff(stop, prepend=begin))
+            left -= np.arange(begin + 1, begin + 1 + len(left))
+            np.minimum(left, SHORT - 1, out=left)
+            left <<= 8
+            left |= raw[begin : begin + len(left)]
+            terms = np.bitwise_xor.accumulate(_TERMS.take(left, mode="clip"))
+            found[j:k] ^= terms[stop - 1 - begin] ^ terms[np.maximum(starts[j:k] - 1 - begin, 0)]
+    for k in np.flatnonzero(lengths > SHORT).tolist():
+        found[k] = crc32(data[starts[k] : ends[k]]) & (WORDS - 1)
+    return found, n
+
+
+def _encoded(texts: pa.Array) -> list[bytes]:
+    """Nulls count as empty."""
+    return [(t or "").encode() for t in texts.to_pylist()]
 
 
 class Vocabulary:
@@ -65,12 +108,15 @@ class Network:
         self.embedding, self.bias, self.out, self.out_bias = (
             p.reshape(s) for p, s in zip(np.split(self.weights, _ENDS[:-1]), _SHAPES)
         )
+        self._last = self.weights[_ENDS[1] :].reshape(WIDTH + 1, CLASSES)
         self._room(BATCH)
 
     def _room(self, n: int) -> None:
         """Memory for n windows, used again by every batch; new pages for each take longer than the sums in them."""
         self._h, self._one, self._z = (np.empty((n, k), np.float32) for k in (WIDTH, WIDTH, CLASSES))
-        self._at, self._dh = np.empty((n, WIDTH), np.int64), np.empty((n, WIDTH))
+        # a column of ones takes the bias into the product
+        self._wide = np.ones((n, WIDTH + 1), np.float32)
+        self._at, self._dh, self._rows = np.empty((n, WIDTH), np.int64), np.empty((n, WIDTH)), np.arange(n)
 
     @staticmethod
     def start(vocabulary: Vocabulary, seed: int = 5) -> Network:
@@ -92,14 +138,15 @@ class Network:
 
     def _logits(self, h: np.ndarray) -> np.ndarray:
         """Less the greatest of each row."""
-        z = np.matmul(h, self.out, out=self._z[: len(h)])
-        z += self.out_bias
-        z -= z.max(axis=1, keepdims=True)
+        wide = self._wide[: len(h)]
+        wide[:, :WIDTH] = h
+        z = np.matmul(wide, self._last, out=self._z[: len(h)])
+        z -= z[self._rows[: len(z)], z.argmax(axis=1)][:, None]
         return z
 
     def log_probability(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
         z = self._logits(self.hidden(around))
-        own = z[np.arange(len(z)), target]
+        own = z[self._rows[: len(z)], target]
         return own.astype(np.float64) - np.log(np.exp(z, out=z).sum(axis=1, dtype=np.float64))
 
     def gradient(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -108,16 +155,21 @@ class Network:
         z = self._logits(h)
         np.exp(z, out=z)
         z *= 1 / (len(z) * z.sum(axis=1, keepdims=True))
-        z[np.arange(len(z)), target] -= 1 / len(z)
+        z[self._rows[: len(z)], target] -= 1 / len(z)
         dh = (z @ self.out.T) * (1 - h**2)
-        de = np.zeros_like(self.embedding)
-        places, at, exact = np.arange(WIDTH), self._at[: len(h)], self._dh[: len(h)]
+        g = np.empty_like(self.weights)
+        de, db, dw, dc = np.split(g, _ENDS[:-1])
+        de = de.reshape(PLACES, -1)
+        at, exact = self._at[: len(h)], self._dh[: len(h)]
         exact[:] = dh
         for p in range(PLACES):
-            rows = slice(p * (CLASSES + 1), (p + 1) * (CLASSES + 1))
-            np.add((around[:, p, None] - rows.start) * WIDTH, places, out=at)
-            de[rows] = np.bincount(at.ravel(), exact.ravel(), (CLASSES + 1) * WIDTH).reshape(-1, WIDTH)
-        return np.concatenate([de.ravel(), dh.sum(0), (h.T @ z).ravel(), z.sum(0)])
+            # the cells of each row, from a table
+            _CELLS.take(around[:, p] - p * (CLASSES + 1), axis=0, out=at, mode="clip")
+            de[p] = np.bincount(at.ravel(), exact.ravel(), (CLASSES + 1) * WIDTH)
+        dh.sum(0, out=db)
+        dw.reshape(WIDTH, CLASSES)[:] = (z.T @ h).T
+        z.sum(0, out=dc)
+        return g
 
 
 def windows(classes: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -131,15 +183,27 @@ def _padded(classes: np.ndarray) -> np.ndarray:
 
 def _windows(padded: np.ndarray, at: np.ndarray) -> np.ndarray:
     steps = [s for s in range(2 * REACH + 1) if s != REACH]
-    return np.stack([padded[at + s] + p * (CLASSES + 1) for p, s in enumerate(steps)], axis=1)
+    return np.stack([padded[at + s] + p * (CLASSES + 1) for p, s in enumerate(steps)]).T
+
+
+def _in_one_row(vocabulary: Vocabulary, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The words' numbers, each text's count of them, their places in a row of all classes, and that row, padded.
+
+    Texts stand in the row with gaps at least as wide as a window reaches.
+    """
+    words, n = _numbered(_encoded(texts))
+    starts = np.cumsum(n + REACH) - n
+    row = np.full(int(starts[-1] + n[-1] + REACH), CLASSES)
+    at = np.arange(len(words)) + np.repeat(starts - (np.cumsum(n) - n), n)
+    row[at] = vocabulary.of[words]
+    return words, n, at, _padded(row)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(WORDS, np.int64)
     for batch in batches:
-        for some in text_slices(batch, "text"):
-            for text in some.column("text"):
-                counts += np.bincount(numbers(text.as_py()), minlength=WORDS)
+        for some in text_slices(batch, "text", SLICE_BYTES):
+            counts += np.bincount(_numbered(_encoded(some.column("text")))[0], minlength=WORDS)
     seen = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], ["number", "n"])
 
@@ -155,30 +219,42 @@ def count(texts: DataFrame) -> np.ndarray:
 def _trained(network: np.ndarray, vocabulary: Vocabulary, turn: int, rounds: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, seen = Network(network.copy()), 0
-        first, second, step = np.zeros(_ENDS[-1], np.float32), np.zeros(_ENDS[-1], np.float32), 0
+        first, second, one, two = np.zeros((4, _ENDS[-1]), np.float32)
+        step = 0
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
 
         def learn() -> None:
-            nonlocal first, second, step, seen, held, size
-            around, target = (np.concatenate(x) for x in zip(*held))
+            nonlocal step, seen, held, size
+            around, target = held[0] if len(held) == 1 else (np.concatenate(x) for x in zip(*held))
             g, step = model.gradient(around, target), step + 1
-            first += 0.1 * (g - first)
-            second += 0.001 * (g * g - second)
-            model.weights -= RATE / (1 + step / 500) * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+            np.subtract(g, first, out=one)
+            np.multiply(one, 0.1, out=one)
+            np.add(first, one, out=first)
+            np.multiply(g, g, out=two)
+            np.subtract(two, second, out=two)
+            np.multiply(two, 0.001, out=two)
+            np.add(second, two, out=second)
+            np.divide(first, 1 - 0.9**step, out=one)
+            np.multiply(one, RATE / (1 + step / 500), out=one)
+            np.divide(second, 1 - 0.999**step, out=two)
+            np.sqrt(two, out=two)
+            np.add(two, 1e-8, out=two)
+            np.divide(one, two, out=one)
+            model.weights -= one
             seen, held, size = seen + size, [], 0
 
         for batch in batches:
-            for some in text_slices(batch, "text"):
-                for text in some.column("text"):
-                    classes = vocabulary.of[numbers(text.as_py())]
-                    at, padded = np.arange(turn, len(classes), rounds), _padded(classes)
-                    while len(at):
-                        part, at = at[: BATCH - size], at[BATCH - size :]
-                        held.append((_windows(padded, part), classes[part]))
-                        size += len(part)
-                        if size >= BATCH:
-                            learn()
+            for some in text_slices(batch, "text", SLICE_BYTES):
+                _, n, at, padded = _in_one_row(vocabulary, some.column("text"))
+                place = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+                at = at[place % rounds == turn]
+                while len(at):
+                    part, at = at[: BATCH - size], at[BATCH - size :]
+                    held.append((_windows(padded, part), padded[part + REACH]))
+                    size += len(part)
+                    if size >= BATCH:
+                        learn()
         if held:
             learn()
         if seen:
@@ -206,19 +282,12 @@ def _scored(network: np.ndarray, vocabulary: Vocabulary):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Network(network)
         for batch in batches:
-            for some in text_slices(batch, "text", 1 << 20):
-                found = [numbers(t.as_py()) for t in some.column("text")]
-                n = np.array([len(x) for x in found], np.int64)
-                # documents stand in one row, with gaps at least as wide as a window reaches
-                starts = np.cumsum(n + REACH) - n
-                every = np.full(int(starts[-1] + n[-1] + REACH), CLASSES)
-                at = np.concatenate([np.arange(a, a + k) for a, k in zip(starts, n)])
-                words = np.concatenate(found)
-                every[at] = vocabulary.of[words]
-                logs, padded = vocabulary.log_share[words], _padded(every)
+            for some in text_slices(batch, "text", SLICE_BYTES):
+                words, n, at, padded = _in_one_row(vocabulary, some.column("text"))
+                logs = vocabulary.log_share[words]
                 for a in range(0, len(at), BATCH):
                     part = at[a : a + BATCH]
-                    logs[a : a + BATCH] += model.log_probability(_windows(padded, part), every[part])
+                    logs[a : a + BATCH] += model.log_probability(_windows(padded, part), padded[part + REACH])
                 ends = np.cumsum(n)
                 total = [float(logs[b - k : b].sum()) for b, k in zip(ends.tolist(), n.tolist())]
                 columns = [some.column("doc_id"), pa.array(n), pa.array(total)]
