@@ -150,3 +150,15 @@ def test_a_small_memory_of_pieces_gives_the_same_ids(kept):
         texts = [f"word{j * k} some more, and {j}!" for j in range(40)]
         assert [i.tolist() for i in encoder.encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
         assert encoder.held <= kept + 40 * 8 * 300
+
+
+@pytest.mark.parametrize("name,lower", [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)])
+def test_a_mark_after_a_letter_is_a_piece_of_its_own(name, lower):
+    """So a word is encoded and kept once, not once more with each mark."""
+    encoder = Encoder(public_tokenizers.path(name), lower)
+    texts = ["one two, two. two! 3rd, 3rd; don't, don't. été, té! x×, 7, a... b?! ,", ",", "a,", "é,", "×,", "7.", " ,", "a\n,", "a ", ""]
+    for some in [texts, *([t] for t in texts)]:
+        assert [x.tolist() for x in encoder.encode(some)] == [encoder.whole(t).tolist() for t in some]
+    kept = set(encoder.young)
+    assert {b" two", b" 3rd", b" don't", b" x\xc3\x97,", b" 7,", b" a...", b","} <= kept
+    assert not kept & {b" two,", b" two.", b" two!", b" 3rd,", b" don't,", " été,".encode(), b"a,"}

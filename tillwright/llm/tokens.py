@@ -1,7 +1,7 @@
 """Token ids of whole texts with the tokenizers library, one encoding per distinct piece of text.
 
-A text is cut where white space follows other characters. Neither vocabulary has a token across
-such a place, so the ids of a text are those of its pieces in order. Pieces repeat far more often
+A text is cut where white space follows other characters, and between a letter and one mark that
+ends such a piece. Neither vocabulary has a token across such a place, so the ids of a text are those of its pieces in order. Pieces repeat far more often
 than texts, so each distinct piece of a batch is encoded once and its ids are copied to where it
 stands. Texts in which a cut could change ids (rare kinds of white space, markers of special
 tokens) are encoded whole.
@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Collection, Iterable
 from functools import lru_cache
 
 import numpy as np
@@ -29,7 +30,11 @@ _ODD[[0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3]] = True
 _ODD[ord("<")] = True
 _WHOLE = re.compile(r"<\||[^\S \t\n\r\x0b\x0c]")
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else 32 if c in b"\t\n\r\x0b\x0c" else c for c in range(256))
-_MARKS = b",.;:!?"
+# marks of which neither vocabulary has a token that also holds a letter before it, and letters of ASCII and Latin-1 (those after a lead byte)
+_MARK, _LETTER, _LATIN = np.zeros((3, 256), bool)
+_MARK[list(b",.;:!?")] = True
+_LETTER[[c for c in range(128) if chr(c).isalpha()]] = True
+_LATIN[[c - 64 for c in range(0xC0, 0x100) if chr(c).isalpha()]] = True
 # a space and letters of ASCII and Latin-1, in UTF-8
 _LETTERS = re.compile(rb" (?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 
@@ -58,34 +63,25 @@ class Encoder:
         """What is known of each piece; what only the older half of the memory knows moves to the younger."""
         found = list(map(self.young.get, pieces))
         if self.old:
-            for k in [k for k, x in enumerate(found) if x is None]:
-                if (x := self.old.get(pieces[k])) is not None:
-                    found[k] = self.young[pieces[k]] = x
-                    self.held += ENTRY_BYTES + len(pieces[k]) + len(x)
+            asked = [p for p, x in zip(pieces, found) if x is None]
+            again = {p: x for p, x in zip(asked, map(self.old.get, asked)) if x is not None}
+            if again:
+                self._hold(again, again.values())
+                self.young.update(again)
+                found = [again.get(p) if x is None else x for p, x in zip(pieces, found)]
         return found
 
+    def _hold(self, pieces: Collection[bytes], ids: Iterable[bytes]) -> None:
+        self.held += ENTRY_BYTES * len(pieces) + sum(map(len, pieces)) + sum(map(len, ids))
+
     def _learn(self, pieces: list[bytes]) -> None:
-        """Encode pieces not known yet. A letter run and one mark after it are never one token."""
-        plain = list(filter(self.plain, pieces))
-        rest, parts = [], {}
-        for piece in pieces:
-            if not self.plain(piece):
-                word = piece[:-1]
-                if piece[-1:] in _MARKS and self.plain(word):
-                    parts[piece] = (word, piece[-1:])
-                else:
-                    rest.append(piece)
-        inner = list(dict.fromkeys(x for pair in parts.values() for x in pair))
-        inner = set(x for x, known in zip(inner, self._known(inner)) if known is None)
-        for x in inner.difference(plain, rest):
-            (plain if self.plain(x) else rest).append(x)
+        """Encode pieces not known yet."""
+        plain = [p for p in pieces if (p[1:].isalpha() and p[0] == 32) or self.plain(p)]
         for k in range(0, len(plain), 500):
             self._learn_plain(plain[k : k + 500])
-        rest += [p for p in plain if p not in self.young]
+        rest = [p for p in pieces if p not in self.young]
         for piece, out in zip(rest, self.tokenizer.encode_batch_fast([p.decode() for p in rest], add_special_tokens=False)):
             self.young[piece] = np.array(out.ids, dtype="<u4").tobytes()
-        for piece, (word, mark) in parts.items():
-            self.young[piece] = self.young[word] + self.young[mark]
 
     def _learn_plain(self, words: list[bytes]) -> None:
         """Letter runs after one space are encoded in one text: the vocabulary marks where each begins or ends."""
@@ -97,6 +93,15 @@ class Encoder:
             data = ids.tobytes()
             self.young.update(zip(words, map(data.__getitem__, map(slice, edges.tolist(), edges[1:].tolist()))))
 
+    @staticmethod
+    def _marks(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Places of a mark that ends a piece right after a letter."""
+        at, size = offsets[1:] - 1, np.diff(offsets)
+        ends = _MARK[raw[at]] & (size > 1)
+        at, size = at[ends], size[ends]
+        before = raw[at - 1]
+        return at[_LETTER[before] | ((size > 2) & _LATIN[before] & (raw[at - 2] == 0xC3))]
+
     def _pieces(self, data: bytes, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in ``data`` and the place of each text's first id."""
         if not data:
@@ -107,15 +112,15 @@ class Encoder:
         cut[1:-1] = space[1:] & ~space[:-1]
         cut[bounds] = True
         cut[-1] = True
+        cut[self._marks(raw, np.flatnonzero(cut))] = True
         offsets = np.flatnonzero(cut).astype(np.int32)
         chunks = pa.BinaryArray.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
         coded = chunks.dictionary_encode()
-        words = coded.dictionary.to_pylist()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         known = self._known(words)
         if missing := [w for w, k in zip(words, known) if k is None]:
-            before = len(self.young)
             self._learn(missing)
-            self.held += (len(self.young) - before) * ENTRY_BYTES + sum(len(w) + len(self.young[w]) for w in missing)
+            self._hold(missing, map(self.young.__getitem__, missing))
             known = [self.young[w] if k is None else k for w, k in zip(words, known)]
         sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
         flat = np.frombuffer(b"".join(known), "<u4")
